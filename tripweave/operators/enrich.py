@@ -12,10 +12,15 @@ from tripweave.schemas import RIDES_COLUMNS
 
 
 def enrich(zoned_trips: DataFrame, weather: DataFrame, *,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+           hours_bound: int | None = None) -> DataFrame:
     """C4: attach the weather of the pickup hour; trips whose hour has no
-    observation drop out (inner join, as the reference)."""
-    dim, _ = bounded_broadcast(weather, max_broadcast_rows)
+    observation drop out (inner join, as the reference).
+
+    ``hours_bound``: upper bound of weather rows known by construction (one
+    row per hour of a window); saves the count that otherwise proves the
+    broadcast size."""
+    dim, _ = bounded_broadcast(weather, max_broadcast_rows, known_bound=hours_bound)
     joined = zoned_trips.join(dim, zoned_trips["pickup_hour"] == dim["HOUR"])
     return joined.select(*RIDES_COLUMNS)
 

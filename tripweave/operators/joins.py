@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 500_000
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Return ``(dim marked for broadcast or not, row count)``."""
+def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
+                      known_bound: int | None = None) -> tuple[DataFrame, int]:
+    """Return ``(dim marked for broadcast or not, row bound)``.
+
+    ``known_bound`` is an upper bound that holds by construction (e.g. one
+    weather row per hour of a fixed window); when it is small enough no count
+    job is needed.  Otherwise the dimension is counted."""
+    if known_bound is not None and known_bound <= max_rows:
+        return F.broadcast(dim), known_bound
     n = dim.count()
     return (F.broadcast(dim) if n <= max_rows else dim), n

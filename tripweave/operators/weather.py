@@ -20,36 +20,46 @@ from tripweave.functions.weathercodes import (
 from tripweave.schemas import OBSERVATION_COLUMNS, WEATHER_COLUMNS
 
 
-def parse_observations(obs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed observations: ``obs_ts`` (timestamp_ntz, NULL when the text does
-    not parse), ``HOUR`` and the five cleaned measures; ``keep`` lists source
-    columns carried along (e.g. tie-break keys)."""
+def _stamp(obs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Observation time and hour; the text fields stay raw."""
+    ts = F.col("DATE").try_cast("timestamp_ntz")
+    return obs.select(ts.alias("obs_ts"), hour_bucket(ts).alias("HOUR"),
+                      *OBSERVATION_COLUMNS[1:], *keep)
+
+
+def _typed(stamped: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """X6–X12 on the raw text fields."""
     code = first_code("HourlyPresentWeatherType")
-    return obs.select(
-        F.col("DATE").try_cast("timestamp_ntz").alias("obs_ts"),
+    return stamped.select(
+        "HOUR", "obs_ts",
         parse_precipitation("HourlyPrecipitation").alias("precipitation"),
         tolerant_float("HourlyRelativeHumidity").alias("humidity"),
         tolerant_float("HourlyDryBulbTemperature").alias("temperature"),
         severity_of(code).alias("severity"),
         condition_of(code).alias("condition"),
-        *OBSERVATION_COLUMNS[1:],
         *keep,
-    ).withColumn("HOUR", hour_bucket("obs_ts"))
+    )
 
 
-def first_per_hour(parsed: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """W1 + F3: the earliest observation of each hour.
+def parse_observations(obs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every observation typed: ``HOUR``, ``obs_ts`` (timestamp_ntz, NULL when
+    the text does not parse) and the five cleaned measures; ``keep`` lists
+    source columns carried along."""
+    return _typed(_stamp(obs, keep), keep)
+
+
+def first_per_hour(stamped: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """W1 + F3: the earliest observation of each hour, all columns kept.
 
     The reference orders by the hour itself, which leaves the winner undefined
-    (D3).  Here the order is the full observation time, then ``tie_break``, then
-    the raw fields, so reruns pick the same row."""
+    (D3).  Here the order is the full observation time, then ``tie_break``,
+    then the raw fields, so reruns pick the same row."""
     order = [F.col("obs_ts").asc_nulls_last()]
     order += [F.col(c).asc_nulls_last() for c in tie_break]
     order += [F.col(c).asc_nulls_last() for c in OBSERVATION_COLUMNS[1:]]
     w = Window.partitionBy("HOUR").orderBy(*order)
-    return (parsed.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1)
-            .select(*WEATHER_COLUMNS))
+    return (stamped.withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1).drop("_rn"))
 
 
 def clean_weather(obs: DataFrame, *, window: tuple | None = None,
@@ -58,8 +68,12 @@ def clean_weather(obs: DataFrame, *, window: tuple | None = None,
     severity, condition``.
 
     ``window=(lo, hi)`` keeps hours in ``[lo, hi)`` (the local job keeps one
-    month, the cloud job everything — D1); default keeps all."""
-    parsed = parse_observations(obs, keep=tie_break)
+    month, the cloud job everything — D1); default keeps all.
+
+    Only the time is parsed before the one-per-hour step; the regular
+    expressions and number parsing run after it, on one row per hour instead
+    of on every observation."""
+    stamped = _stamp(obs, keep=tie_break)
     if window is not None:
-        parsed = parsed.filter(year_window(parsed, ["HOUR"], *window))
-    return first_per_hour(parsed, tie_break)
+        stamped = stamped.filter(year_window(stamped, ["HOUR"], *window))
+    return _typed(first_per_hour(stamped, tie_break)).select(*WEATHER_COLUMNS)

@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 
+from tripweave.functions.timecols import year_window
 from tripweave.operators.enrich import enrich
 from tripweave.operators.joins import DEFAULT_BROADCAST_ROWS
 from tripweave.operators.trips import clean_trips
@@ -25,7 +28,28 @@ def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame,
                 trip_window: tuple | None = None, weather_window: tuple | None = None,
                 row_id: str | Column | None = None, tie_break: Sequence[str] = (),
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    trips = clean_trips(raw_trips, mapping, year=year, window=trip_window, row_id=row_id)
+    if trip_window is None and year is not None:
+        trip_window = (f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00")
+    trips = clean_trips(raw_trips, mapping, year=None, window=trip_window, row_id=row_id)
     zoned = with_zones(trips, zones, max_broadcast_rows=max_broadcast_rows)
     weather = clean_weather(observations, window=weather_window, tie_break=tie_break)
-    return enrich(zoned, weather, max_broadcast_rows=max_broadcast_rows)
+    hours_bound = None
+    if trip_window is not None:
+        # Only hours inside the trips' window can match; one weather row per
+        # hour makes the window's hour count a proven bound for the broadcast.
+        lo, hi = _hour_floor(trip_window[0]), _parse(trip_window[1])
+        weather = weather.filter(year_window(weather, ["HOUR"], lo, hi))
+        hours_bound = int((hi - lo).total_seconds() // 3600) + 1
+    return enrich(zoned, weather, max_broadcast_rows=max_broadcast_rows, hours_bound=hours_bound)
+
+
+def _parse(value) -> dt.datetime:
+    if isinstance(value, dt.datetime):
+        return value
+    if isinstance(value, dt.date):
+        return dt.datetime(value.year, value.month, value.day)
+    return dt.datetime.fromisoformat(str(value))
+
+
+def _hour_floor(value) -> dt.datetime:
+    return _parse(value).replace(minute=0, second=0, microsecond=0)
