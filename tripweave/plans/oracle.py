@@ -287,5 +287,19 @@ UNION ALL
 SELECT 'distinct_seq', COUNT(DISTINCT seq) FROM rides"""
 
 
+# Sources, sinks and lifecycle: the data read back must equal the plain result.
+for _k in ("parquet_glob_scan", "recursive_scan", "by_name_load"):
+    SQL[_k] = SQL["trips_canonical"]
+for _k in ("csv_roundtrip", "write_max_records", "publish_promote", "publish_rollback",
+           "stream_incremental"):
+    SQL[_k] = SQL["rides_enriched"]
+
+SQL["partition_backfill"] = BASE + f"""
+SELECT {RIDE_COLS}, strftime(pickup_datetime, '%Y-%m') AS month FROM rides"""
+
+SQL["skip_completed"] = BASE + """
+SELECT strftime(pickup_datetime, '%Y-%m') AS month, COUNT(*) AS row_count FROM rides GROUP BY 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -22,7 +22,14 @@ from tripweave.operators.enrich import join_drop_report, typed_rides
 from tripweave.operators.trips import clean_trips
 from tripweave.operators.weather import clean_weather
 from tripweave.operators.zones import with_zones
+from tripweave.operators.checks import ValidationError
+from tripweave.plans.backfill import backfill, months_ledger, read_backfilled
+from tripweave.plans.publish import RidesStore
 from tripweave.plans.rides import build_rides
+from tripweave.session import scratch_path
+from tripweave.sources.byname import load_by_name
+from tripweave.sources.files import read_observations, read_trips, read_zones, write_csv
+from tripweave.streaming.incremental import start_incremental_rides
 from tripweave.sources.driver_tables import (
     observations_from_trips, raw_trips_from_events, raw_trips_from_orders, table,
     zones_from_nations,
@@ -115,6 +122,122 @@ def q_hour_uniqueness(spark, sf_dir):
     return hour_uniqueness(clean_weather(obs, tie_break=TIE_BREAK), rides(spark, sf_dir))
 
 
+# ---------------------------------------------------------------- sources
+
+def _raw_files(spark, sf_dir) -> str:
+    """Raw trips written as Parquet in one folder per pickup day (the shape of
+    monthly files in per-period folders)."""
+    raw, _, _ = inputs(spark, sf_dir)
+    path = scratch_path(spark, "raw-trips")
+    (raw.withColumn("day", F.date_format("pickup_datetime", "yyyy-MM-dd"))
+     .write.partitionBy("day").parquet(path))
+    return path
+
+
+def q_parquet_glob_scan(spark, sf_dir):
+    """A glob over per-period folders."""
+    path = _raw_files(spark, sf_dir)
+    raw = read_trips(spark, f"{path}/day=*/*.parquet")
+    return clean_trips(raw, "hvfhv", row_id="trip_id")
+
+
+def q_recursive_scan(spark, sf_dir):
+    """Recursive listing with a file-name pattern."""
+    path = _raw_files(spark, sf_dir)
+    raw = read_trips(spark, path, recursive=True, glob_filter="*.parquet")
+    return clean_trips(raw, "hvfhv", row_id="trip_id")
+
+
+def q_by_name_load(spark, sf_dir):
+    """Columns matched by name in any letter case onto the raw schema."""
+    raw, _, _ = inputs(spark, sf_dir)
+    shouted = raw.select(*[F.col(c).alias(c.upper() if i % 2 else c.lower())
+                           for i, c in enumerate(reversed(raw.columns))])
+    return clean_trips(load_by_name(shouted, raw.schema), "hvfhv", row_id="trip_id")
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """Zones and observations through CSV files, all columns text."""
+    raw, zones, obs = inputs(spark, sf_dir)
+    zpath, opath = scratch_path(spark, "zones-csv"), scratch_path(spark, "obs-csv")
+    write_csv(zones, zpath)
+    write_csv(obs, opath)
+    zones_csv = read_zones(spark, zpath)
+    obs_csv = read_observations(spark, opath, extra_columns=["station_seq"]) \
+        .withColumn("station_seq", F.col("station_seq").cast("bigint"))
+    return build_rides(raw, zones_csv, obs_csv, row_id="trip_id", tie_break=TIE_BREAK)
+
+
+# ---------------------------------------------------------------- sinks / lifecycle
+
+def q_write_max_records(spark, sf_dir):
+    """K1: Parquet output with at most 1,000 rows per file, read back."""
+    path = scratch_path(spark, "rides-files")
+    rides(spark, sf_dir).write.mode("overwrite").option("maxRecordsPerFile", 1000).parquet(path)
+    return spark.read.parquet(path)
+
+
+def q_publish_promote(spark, sf_dir):
+    """Stage, validate, promote, refresh views, clean up; read the table."""
+    store = RidesStore(spark, scratch_path(spark, "store"))
+    store.publish(rides(spark, sf_dir))
+    return store.read_current()
+
+
+def q_publish_rollback(spark, sf_dir):
+    """A second publish fails validation; production keeps the first run."""
+    store = RidesStore(spark, scratch_path(spark, "store"))
+    good = rides(spark, sf_dir)
+    store.publish(good)
+    try:
+        store.publish(good.filter(F.lit(False)))
+        raise AssertionError("an empty run must not be promoted")
+    except ValidationError:
+        pass
+    return store.read_current()
+
+
+def _months(spark, sf_dir) -> list[str]:
+    raw, _, _ = inputs(spark, sf_dir)
+    return sorted(r[0] for r in raw.select(F.date_format("pickup_datetime", "yyyy-MM"))
+                  .distinct().collect())
+
+
+def q_partition_backfill(spark, sf_dir):
+    """Month-partitioned output, dynamic overwrite, read back."""
+    raw, zones, obs = inputs(spark, sf_dir)
+    root = scratch_path(spark, "backfill")
+    backfill(spark, raw, zones, obs, root, _months(spark, sf_dir), row_id="trip_id", tie_break=TIE_BREAK)
+    return read_backfilled(spark, root)
+
+
+def q_skip_completed(spark, sf_dir):
+    """The second run finds every month done and writes nothing; the
+    ledger keeps one row per month with its row count."""
+    raw, zones, obs = inputs(spark, sf_dir)
+    root = scratch_path(spark, "backfill")
+    months = _months(spark, sf_dir)
+    backfill(spark, raw, zones, obs, root, months, row_id="trip_id", tie_break=TIE_BREAK)
+    again = backfill(spark, raw, zones, obs, root, months, row_id="trip_id", tie_break=TIE_BREAK)
+    if again:
+        raise AssertionError(f"months processed twice: {again}")
+    return months_ledger(spark, root).select("month", "row_count")
+
+
+def q_stream_incremental(spark, sf_dir):
+    """Incremental file stream (availableNow) into the month-partitioned sink."""
+    _, zones, obs = inputs(spark, sf_dir)
+    trips_dir = scratch_path(spark, "stream-in")
+    raw, _, _ = inputs(spark, sf_dir)
+    raw.write.parquet(trips_dir)
+    out = scratch_path(spark, "stream-out")
+    query = start_incremental_rides(spark, trips_dir, zones, obs, out,
+                                    checkpoint=scratch_path(spark, "stream-ckpt"),
+                                    row_id="trip_id", tie_break=TIE_BREAK)
+    query.awaitTermination()
+    return spark.read.parquet(out).drop("month")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trips_canonical": q_trips_canonical,
     "trips_year_window": q_trips_year_window,
@@ -127,6 +250,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "staging_validation": q_staging_validation,
     "join_drop_report": q_join_drop_report,
     "hour_uniqueness": q_hour_uniqueness,
+    "parquet_glob_scan": q_parquet_glob_scan,
+    "recursive_scan": q_recursive_scan,
+    "by_name_load": q_by_name_load,
+    "csv_roundtrip": q_csv_roundtrip,
+    "write_max_records": q_write_max_records,
+    "publish_promote": q_publish_promote,
+    "publish_rollback": q_publish_rollback,
+    "partition_backfill": q_partition_backfill,
+    "skip_completed": q_skip_completed,
+    "stream_incremental": q_stream_incremental,
 }
 
 
