@@ -175,6 +175,24 @@ SELECT HOUR, precipitation, humidity, temperature, severity, condition FROM weat
 
 SQL["rides_enriched"] = BASE + f"SELECT {RIDE_COLS} FROM rides"
 
+SQL["rides_yellow"] = _with(RAW_EVENTS, """
+yellow AS (
+  SELECT event_id AS seq, user_id % 3 AS VendorID, ts AS pickup_datetime,
+         ts + to_minutes(CAST(event_id % 60 AS INTEGER)) AS dropoff_datetime,
+         event_id % 4 + 1 AS passenger_count,
+         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS trip_distance,
+         user_id % 30 AS pickup_location, event_id % 25 AS dropoff_location,
+         value AS fare_amount, round(value * 1.2, 2) AS total_amount,
+         date_trunc('hour', ts) AS pickup_hour
+  FROM events)""", """
+trips AS (
+  SELECT * FROM yellow
+  WHERE pickup_datetime >= TIMESTAMP '2024-01-01 00:00:00' AND pickup_datetime < TIMESTAMP '2025-01-01 00:00:00'
+    AND dropoff_datetime >= TIMESTAMP '2024-01-01 00:00:00' AND dropoff_datetime < TIMESTAMP '2025-01-01 00:00:00')""",
+    ZONES, OBS, PARSED, _weather(
+    "WHERE HOUR >= TIMESTAMP '2024-01-01 00:00:00' AND HOUR < TIMESTAMP '2024-02-01 00:00:00'"),
+    ZONED, RIDES) + f"SELECT {RIDE_COLS} FROM rides"
+
 SQL["rides_typed"] = BASE + f"""
 SELECT seq, VendorID, pickup_datetime, dropoff_datetime, passenger_count,
        {fl('trip_distance')}, {fl('fare_amount')}, {fl('total_amount')},

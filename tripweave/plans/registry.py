@@ -31,8 +31,8 @@ from tripweave.sources.byname import load_by_name
 from tripweave.sources.files import read_observations, read_trips, read_zones, write_csv
 from tripweave.streaming.incremental import start_incremental_rides
 from tripweave.sources.driver_tables import (
-    observations_from_trips, raw_trips_from_events, raw_trips_from_orders, table,
-    zones_from_nations,
+    observations_from_trips, raw_trips_from_events, raw_trips_from_orders,
+    raw_yellow_trips_from_events, table, zones_from_nations,
 )
 
 TIE_BREAK = ["station_seq"]
@@ -96,6 +96,16 @@ def q_rides_enriched(spark, sf_dir):
     return rides(spark, sf_dir)
 
 
+def q_rides_yellow(spark, sf_dir):
+    """P2 + F2: yellow-taxi schema, observations of one month only (the
+    annotated job keeps a single month of weather)."""
+    raw, zones, obs = inputs(spark, sf_dir)
+    yellow = raw_yellow_trips_from_events(table(spark, sf_dir, "events"))
+    return build_rides(yellow, zones, obs, mapping="yellow", row_id="trip_id",
+                       weather_window=("2024-01-01 00:00:00", "2024-02-01 00:00:00"),
+                       tie_break=TIE_BREAK)
+
+
 def q_rides_typed(spark, sf_dir):
     return typed_rides(rides(spark, sf_dir))
 
@@ -246,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weather_month_window": q_weather_month_window,
     "rides_enriched": q_rides_enriched,
     "rides_typed": q_rides_typed,
+    "rides_yellow": q_rides_yellow,
     **{name: _view(builder) for name, builder in M.VIEWS.items()},
     "staging_validation": q_staging_validation,
     "join_drop_report": q_join_drop_report,

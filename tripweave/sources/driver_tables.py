@@ -48,6 +48,22 @@ def raw_trips_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def raw_yellow_trips_from_events(events: DataFrame) -> DataFrame:
+    """Yellow-taxi-shaped raw trips (real vendor id and passenger count)."""
+    return events.select(
+        F.col("event_id").alias("trip_id"),
+        (F.col("user_id") % 3).alias("VendorID"),
+        F.col("ts").alias("tpep_pickup_datetime"),
+        (F.col("ts") + _minutes(F.col("event_id") % 60)).alias("tpep_dropoff_datetime"),
+        (F.col("event_id") % 4 + 1).alias("passenger_count"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("trip_distance"),
+        (F.col("user_id") % 30).alias("PULocationID"),
+        (F.col("event_id") % 25).alias("DOLocationID"),
+        F.col("value").alias("fare_amount"),
+        F.round(F.col("value") * 1.2, 2).alias("total_amount"),
+    )
+
+
 def raw_trips_from_orders(orders: DataFrame) -> DataFrame:
     """Raw trips spread over seven calendar years (for the year window)."""
     return orders.select(
