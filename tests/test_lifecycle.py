@@ -99,3 +99,34 @@ def test_stream_processes_only_new_files(spark, scratch):
     got = spark.read.parquet(out)
     assert got.count() == R.rides(spark, SF_SMALL).count() > n1
     assert got.select("seq").distinct().count() == got.count()
+
+
+def test_published_summary_feeds_the_time_and_weather_views(spark, scratch):
+    """Each of the ten summary views, read from the run's written minute
+    summary, equals the same view computed from the table."""
+    from tripweave.operators import measures as M
+    store = RidesStore(spark, scratch("store-summary"))
+    rides = R.rides(spark, SF_SMALL)
+    store.publish(rides)
+    summary = store.read_current_summary()
+    assert summary is not None
+    assert summary.agg(F.sum("_n")).first()[0] == rides.count()
+    # one row per pickup minute: the weather columns follow the hour
+    assert summary.count() == summary.select("pickup_minute").distinct().count()
+    table = store.read_current()
+    for name in M.SUMMARY_VIEWS:
+        got = R.for_compare(spark.table(name))
+        want = R.for_compare(M.VIEWS[name](table))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
+    # superseded runs lose their summary too
+    first_run = store.current_run()["run_id"]
+    store.publish(rides)
+    assert not storage.exists(spark, store.summary_path(first_run))
+
+
+def test_failed_publish_removes_the_staged_summary(spark, scratch):
+    store = RidesStore(spark, scratch("store-fail-summary"))
+    with pytest.raises(ValidationError):
+        store.publish(R.rides(spark, SF_SMALL).filter(F.lit(False)))
+    assert storage.list_dirs(spark, f"{store.root}/{store.name}_minutely") == []
+    assert storage.list_dirs(spark, f"{store.root}/{store.name}") == []

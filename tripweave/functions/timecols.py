@@ -19,6 +19,10 @@ def _bucket(unit: str, c) -> Column:
     return F.date_trunc(unit, _col(c)).cast("timestamp_ntz")
 
 
+def minute_bucket(c) -> Column:
+    return _bucket("minute", c)
+
+
 def hour_bucket(c) -> Column:
     return _bucket("hour", c)
 

@@ -10,6 +10,15 @@ table instead of every trip: at 100 TB the hot path is one hash aggregation
 per trip with map-side combine, whatever the number of grouping sets.  Averages
 are rebuilt as sum / non-null count, so the result is the same as one pass.
 
+Ten of the views (A1–A10) group by pickup time and the weather of the pickup
+hour only.  They all read ``minute_summary``: the same partial states per
+pickup minute (and the hour's weather, which is one row per hour, so the
+summary keeps one row per minute: ≤ 525,600 rows a year at any trip volume).
+Publishing writes the summary once next to the table; those views then scan
+the summary, not the trips.  Given the wide table instead, a view builds the
+summary on the fly (the same two-step plan).  Averages are rebuilt as
+sum / non-null count, so results equal a one-pass aggregation.
+
 Sorting (O1–O5) is done only on the final, small result.
 """
 
@@ -22,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions.numeric import or_unknown
 from tripweave.functions.timecols import (
-    day_bucket, day_name_full, day_name_short, hour_bucket, month_bucket,
+    day_bucket, day_name_full, day_name_short, hour_bucket, minute_bucket, month_bucket,
 )
 from tripweave.schemas import BASE_VIEW_COLUMNS
 
@@ -81,23 +90,53 @@ def _merge_states(measures) -> list[Column]:
     return out
 
 
-def multi_grain(df: DataFrame, keys: dict[str, Column], measures, *,
+# ---------------------------------------------------------------- minute summary
+
+SUMMARY_KEYS = ["pickup_minute", "pickup_hour", "precipitation", "humidity",
+                "temperature", "severity", "condition"]
+
+
+def minute_summary(rides: DataFrame) -> DataFrame:
+    """Partial states of M7 per pickup minute and pickup-hour weather.
+
+    One hash aggregation per trip with map-side combine; a hot minute or hour
+    is combined inside each map task before the shuffle."""
+    return rides.groupBy(
+        minute_bucket("pickup_datetime").alias("pickup_minute"),
+        *SUMMARY_KEYS[1:],
+    ).agg(*_partial_states(M7))
+
+
+def is_summary(df: DataFrame) -> bool:
+    return "_n" in df.columns and "pickup_minute" in df.columns
+
+
+def _summary(df: DataFrame) -> DataFrame:
+    return df if is_summary(df) else minute_summary(df)
+
+
+def multi_grain(summary: DataFrame, keys: dict[str, Column], measures, *,
                 grouping_sets: Sequence[Sequence[str]] | None = None,
                 rollup: bool = False) -> DataFrame:
-    """Aggregate ``measures`` over several grains of ``keys`` in one view.
+    """Aggregate ``measures`` over several grains of ``keys`` in one view,
+    from partial states (``minute_summary``).
 
     ``rollup=True`` gives ROLLUP over ``keys`` in order; otherwise
     ``grouping_sets`` lists the sets.  A NULL key marks "all values" as in SQL.
-    """
+    ``Expand`` multiplies summary rows only, never trips."""
     names = list(keys)
-    finest = df.groupBy(*[expr.alias(k) for k, expr in keys.items()]).agg(*_partial_states(measures))
+    keyed = summary.select(*[expr.alias(k) for k, expr in keys.items()], *_state_columns(summary))
     if rollup:
-        grouped = finest.rollup(*names)
+        grouped = keyed.rollup(*names)
     else:
-        grouped = finest.groupingSets([list(s) for s in grouping_sets], *names)
+        grouped = keyed.groupingSets([list(s) for s in grouping_sets], *names)
     return grouped.agg(*_merge_states(measures))
 
 
+def _state_columns(summary: DataFrame) -> list[str]:
+    return [c for c in summary.columns if c == "_n" or c.startswith("_s_") or c.startswith("_c_")]
+
+
 def _order(df: DataFrame, *cols: str) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
 
@@ -122,17 +161,17 @@ def rides_base(rides: DataFrame) -> DataFrame:
 
 def measures_by_time(rides: DataFrame) -> DataFrame:
     """A1: ROLLUP(year, month, day, hour, minute) with M7 — six levels."""
-    ts = F.col("pickup_datetime")
+    ts = F.col("pickup_minute")
     keys = {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts),
             "hour": F.hour(ts), "minute": F.minute(ts)}
-    return multi_grain(rides, keys, M7, rollup=True)
+    return multi_grain(_summary(rides), keys, M7, rollup=True)
 
 
 def measures_by_dow(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A2: GROUPING SETS ((dow, hour), (dow), (hour)), full day names; O1."""
-    ts = F.col("pickup_datetime")
+    ts = F.col("pickup_minute")
     keys = {"dow": day_name_full(ts), "hour": F.hour(ts)}
-    out = multi_grain(rides, keys, M7, grouping_sets=[["dow", "hour"], ["dow"], ["hour"]])
+    out = multi_grain(_summary(rides), keys, M7, grouping_sets=[["dow", "hour"], ["dow"], ["hour"]])
     return _order(out, "dow", "hour") if ordered else out
 
 
@@ -146,10 +185,11 @@ def measures_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A3 + F4: six grouping sets over condition, severity, day and hour; only
     rides whose derived day, hour, condition and severity are all present.
     An empty condition (``''``) is present (D5)."""
-    ts = F.col("pickup_datetime")
-    derived = rides.select(
+    summary = _summary(rides)
+    ts = F.col("pickup_minute")
+    derived = summary.select(
         day_name_full(ts).alias("dow"), F.hour(ts).alias("hour"), "condition", "severity",
-        "passenger_count", "trip_distance", "fare_amount", "total_amount",
+        *_state_columns(summary),
     ).dropna(subset=["dow", "hour", "condition", "severity"])
     keys = {"dow": F.col("dow"), "hour": F.col("hour"),
             "condition": F.col("condition"), "severity": F.col("severity")}
@@ -162,22 +202,22 @@ def measures_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
 
 def rides_over_time(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A4 + O3: hourly series, M6."""
-    out = rides.groupBy(hour_bucket("pickup_datetime").alias("ts_hour")).agg(*aggregates(M6))
+    out = _summary(rides).groupBy(hour_bucket("pickup_minute").alias("ts_hour")).agg(*_merge_states(M6))
     return _order(out, "ts_hour") if ordered else out
 
 
 def rides_over_day(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A5 + O3: daily series, M6."""
-    out = rides.groupBy(day_bucket("pickup_datetime").alias("ts_day")).agg(*aggregates(M6))
+    out = _summary(rides).groupBy(day_bucket("pickup_minute").alias("ts_day")).agg(*_merge_states(M6))
     return _order(out, "ts_day") if ordered else out
 
 
 def avg_rides_per_dow(rides: DataFrame) -> DataFrame:
     """Rides per calendar day, then average / min / max of those daily
     counts per day of week.  Days without rides are absent, not zero."""
-    ts = F.col("pickup_datetime")
-    daily = rides.groupBy(day_bucket(ts).alias("pickup_date"),
-                          day_name_short(ts).alias("dow")).agg(F.count(F.lit(1)).alias("daily_rides"))
+    ts = F.col("pickup_minute")
+    daily = _summary(rides).groupBy(day_bucket(ts).alias("pickup_date"),
+                                    day_name_short(ts).alias("dow")).agg(F.sum("_n").alias("daily_rides"))
     return daily.groupBy("dow").agg(
         F.avg("daily_rides").alias("avg_rides_per_day"),
         F.min("daily_rides").alias("min_rides_per_day"),
@@ -187,15 +227,15 @@ def avg_rides_per_dow(rides: DataFrame) -> DataFrame:
 
 def rides_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A7 + X13 + O4: per weather label, missing labels as ``Unknown``."""
-    out = rides.groupBy(or_unknown("condition").alias("condition"),
-                        or_unknown("severity").alias("severity")).agg(*aggregates(M_WEATHER))
+    out = _summary(rides).groupBy(or_unknown("condition").alias("condition"),
+                                  or_unknown("severity").alias("severity")).agg(*_merge_states(M_WEATHER))
     return out.orderBy(F.col("total_rides").desc()) if ordered else out
 
 
 def measure_vs_rides(rides: DataFrame, measure: str, ordered: bool = True) -> DataFrame:
     """A8–A10 (+ F5–F7, O5): scatter table of one weather measure against rides."""
-    out = (rides.filter(F.col(measure).isNotNull())
-           .groupBy("pickup_hour", "condition", "severity", measure).agg(*aggregates(M3)))
+    out = (_summary(rides).filter(F.col(measure).isNotNull())
+           .groupBy("pickup_hour", "condition", "severity", measure).agg(*_merge_states(M3)))
     return _order(out, "pickup_hour") if ordered else out
 
 
@@ -242,6 +282,13 @@ def staging_counts(rides: DataFrame) -> DataFrame:
     )
 
 
+# Views that read the minute summary (a wide rides table works too).
+SUMMARY_VIEWS = {
+    "measures_by_time", "measures_by_dow", "measures_by_weather", "rides_over_time",
+    "rides_over_day", "avg_rides_per_dow", "rides_by_weather", "precipitation_vs_rides",
+    "temperature_vs_rides", "humidity_vs_rides",
+}
+
 # Dashboard views published over the rides table (name -> builder).
 VIEWS = {
     "rides_base": rides_base,

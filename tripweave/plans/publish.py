@@ -3,8 +3,9 @@ V2, V3) and create-if-absent (K4).
 
 Layout under ``root``::
 
-    <root>/<name>/run_id=<id>/   one directory per run (K3), Parquet files
-    <root>/_ledger/              append-only Parquet ledger of promoted runs
+    <root>/<name>/run_id=<id>/            one directory per run (K3), Parquet files
+    <root>/<name>_minutely/run_id=<id>/   the run's minute summary (feeds ten views)
+    <root>/_ledger/                       append-only Parquet ledger of promoted runs
 
 Publishing writes a new run directory (staging), validates it with one
 aggregation pass, and *promotes* it by appending one ledger row.  Readers
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tripweave.operators.checks import validate_rides
-from tripweave.operators.measures import VIEWS
+from tripweave.operators.measures import SUMMARY_VIEWS, VIEWS, minute_summary
 from tripweave.plans import storage
 
 LEDGER_SCHEMA = StructType([
@@ -61,6 +62,9 @@ class RidesStore:
     def run_path(self, run_id: str) -> str:
         return f"{self.root}/{self.name}/run_id={run_id}"
 
+    def summary_path(self, run_id: str) -> str:
+        return f"{self.root}/{self.name}_minutely/run_id={run_id}"
+
     # ------------------------------------------------------------ readers
     def ledger(self) -> DataFrame:
         if not storage.exists(self.spark, self.ledger_path):
@@ -79,17 +83,28 @@ class RidesStore:
             raise FileNotFoundError(f"{self.name}: nothing published under {self.root}")
         return self.spark.read.parquet(run["path"])
 
+    def read_current_summary(self) -> DataFrame | None:
+        """The minute summary of the current run (None if it was published
+        without one)."""
+        run = self.current_run()
+        if run is None:
+            raise FileNotFoundError(f"{self.name}: nothing published under {self.root}")
+        path = self.summary_path(run["run_id"])
+        return self.spark.read.parquet(path) if storage.exists(self.spark, path) else None
+
     # ------------------------------------------------------------ publish
     def publish(self, df: DataFrame, *, validate: bool = True,
                 max_records_per_file: int = 100_000,
                 views: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                keep_runs: int = 1) -> PublishResult:
-        """Stage -> validate -> promote -> refresh views -> clean up.
+                keep_runs: int = 1, summary: bool = True) -> PublishResult:
+        """Stage -> validate -> summarise -> promote -> refresh views -> clean up.
 
-        On any failure before promotion the staged run is deleted and the
-        error re-raised; the published table and its views are untouched."""
+        On any failure before promotion the staged run (table and summary) is
+        deleted and the error re-raised; the published table and its views
+        are untouched.  The summary is built from the written run, so the
+        trips are not recomputed."""
         run_id = new_run_id()
-        path = self.run_path(run_id)
+        path, spath = self.run_path(run_id), self.summary_path(run_id)
         staging_view = f"{self.name}_staging"
         try:
             (df.write.mode("errorifexists")
@@ -97,10 +112,13 @@ class RidesStore:
             staged = self.spark.read.parquet(path)
             staged.createOrReplaceTempView(staging_view)
             counts = validate_rides(staged) if validate else {"row_count": -1, "month_count": -1}
+            if summary:
+                minute_summary(staged).write.mode("errorifexists").parquet(spath)
             self._promote(run_id, path, counts)                                     # K6
         except BaseException:
             self.spark.catalog.dropTempView(staging_view)                           # K11
             storage.delete(self.spark, path)
+            storage.delete(self.spark, spath)
             raise
         self.spark.catalog.dropTempView(staging_view)                               # K9
         self.refresh_views(views if views is not None else VIEWS)                   # K8
@@ -114,11 +132,14 @@ class RidesStore:
             .write.mode("append").parquet(self.ledger_path)
 
     def refresh_views(self, views: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
-        """(Re)point the table view and every dashboard view at the promoted run."""
+        """(Re)point the table view and every dashboard view at the promoted
+        run; the time and weather views read its minute summary."""
         table = self.read_current()
+        summary = self.read_current_summary()
         table.createOrReplaceTempView(self.name)
         for view_name, builder in views.items():
-            builder(table).createOrReplaceTempView(view_name)
+            source = summary if summary is not None and view_name in SUMMARY_VIEWS else table
+            builder(source).createOrReplaceTempView(view_name)
 
     def drop_views(self, views=None) -> None:
         for view_name in (views if views is not None else VIEWS):
@@ -134,10 +155,11 @@ class RidesStore:
         keep = {leaf(p) for p in promoted[:max(keep_runs, 1)]}
         superseded = {leaf(p) for p in promoted} - keep
         removed = []
-        for d in storage.list_dirs(self.spark, f"{self.root}/{self.name}"):
-            if leaf(d) in superseded:
-                storage.delete(self.spark, d)
-                removed.append(d)
+        for folder in (f"{self.root}/{self.name}", f"{self.root}/{self.name}_minutely"):
+            for d in storage.list_dirs(self.spark, folder):
+                if leaf(d) in superseded:
+                    storage.delete(self.spark, d)
+                    removed.append(d)
         return removed
 
 
