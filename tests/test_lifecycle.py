@@ -130,3 +130,25 @@ def test_failed_publish_removes_the_staged_summary(spark, scratch):
         store.publish(R.rides(spark, SF_SMALL).filter(F.lit(False)))
     assert storage.list_dirs(spark, f"{store.root}/{store.name}_minutely") == []
     assert storage.list_dirs(spark, f"{store.root}/{store.name}") == []
+
+
+def test_backfill_summary_per_month(spark, scratch):
+    """The month-partitioned summary equals the rides of the same months, and a
+    forced rerun of one month replaces only that month's summary."""
+    from tripweave.operators import measures as M
+    from tripweave.sources.driver_tables import observations_from_trips, raw_trips_from_orders, table
+    raw = raw_trips_from_orders(table(spark, SF_SMALL, "orders"))
+    _, zones, _ = R.inputs(spark, SF_SMALL)
+    obs = observations_from_trips(raw)
+    root = scratch("bf-summary")
+    months = ["1995-01", "1995-02", "1995-03"]
+    kw = dict(row_id="trip_id", tie_break=R.TIE_BREAK)
+    backfill(spark, raw, zones, obs, root, months, **kw)
+    backfill(spark, raw, zones, obs, root, ["1995-02"], force=True, **kw)
+    rides = read_backfilled(spark, root).drop("month")
+    summary = read_backfilled(spark, root, table="summary").drop("month")
+    assert rides.count() > 0
+    assert summary.agg(F.sum("_n")).first()[0] == rides.count()
+    for name in ("measures_by_time", "rides_over_day", "measures_by_weather"):
+        got, want = R.for_compare(M.VIEWS[name](summary)), R.for_compare(M.VIEWS[name](rides))
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name

@@ -5,7 +5,10 @@ partitioned table with dynamic partition overwrite: rerunning a month
 replaces exactly that month and leaves the others alone.  A small ledger
 records finished months, so a rerun skips them unless ``force``.
 The trip scan receives the month ranges as an OR of pickup ranges, so only
-the needed row groups are read.
+the needed row groups are read.  The minute summary (partial states that
+feed the time and weather views) is written the same way, ``month``
+partitioned, from the written months: a minute never spans two months, so
+per-month summaries are exact.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tripweave.functions.timecols import ts_literal
+from tripweave.operators.measures import minute_summary
 from tripweave.plans import storage
 from tripweave.plans.publish import new_run_id
 from tripweave.plans.rides import build_rides
@@ -81,8 +85,12 @@ def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observ
     (rides.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("month").parquet(out))
-    written = (spark.read.parquet(out).filter(F.col("month").cast("string").isin(todo))
-               .groupBy(F.col("month").cast("string").alias("month")).count())
+    done = spark.read.parquet(out).filter(F.col("month").cast("string").isin(todo))
+    (minute_summary(done)
+     .withColumn("month", F.date_format("pickup_minute", "yyyy-MM"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month").parquet(f"{root}/summary"))
+    written = done.groupBy(F.col("month").cast("string").alias("month")).count()
     counts = {r["month"]: r["count"] for r in written.collect()}   # one row per month
     run_id = new_run_id()
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
@@ -91,7 +99,9 @@ def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observ
     return todo
 
 
-def read_backfilled(spark: SparkSession, root: str, months: Sequence[str] | None = None) -> DataFrame:
-    """The partitioned rides table; a month list prunes partitions."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/rides").withColumn("month", F.col("month").cast("string"))
+def read_backfilled(spark: SparkSession, root: str, months: Sequence[str] | None = None,
+                    table: str = "rides") -> DataFrame:
+    """The partitioned rides table (or ``table="summary"``, its minute
+    summary); a month list prunes partitions."""
+    df = spark.read.parquet(f"{root.rstrip('/')}/{table}").withColumn("month", F.col("month").cast("string"))
     return df.filter(F.col("month").isin(list(months))) if months else df
