@@ -211,6 +211,17 @@ SELECT pickup_datetime, pickup_hour,
        precipitation, humidity, temperature, condition, severity
 FROM rides"""
 
+SQL["minute_summary"] = BASE + f"""
+SELECT date_trunc('minute', pickup_datetime) AS pickup_minute, pickup_hour,
+       precipitation, humidity, temperature, severity, condition,
+       COUNT(*) AS _n,
+       CAST(SUM(passenger_count) AS BIGINT) AS _s_passenger_count, COUNT(passenger_count) AS _c_passenger_count,
+       {fl('SUM(trip_distance)', '_s_trip_distance')}, COUNT(trip_distance) AS _c_trip_distance,
+       {fl('SUM(fare_amount)', '_s_fare_amount')}, COUNT(fare_amount) AS _c_fare_amount,
+       {fl('SUM(total_amount)', '_s_total_amount')}, COUNT(total_amount) AS _c_total_amount
+FROM rides
+GROUP BY ALL"""
+
 SQL["measures_by_time"] = BASE + f"""
 SELECT CAST(EXTRACT(year FROM pickup_datetime) AS INTEGER) AS year,
        CAST(EXTRACT(month FROM pickup_datetime) AS INTEGER) AS month,

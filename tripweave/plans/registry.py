@@ -258,6 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rides_typed": q_rides_typed,
     "rides_yellow": q_rides_yellow,
     **{name: _view(builder) for name, builder in M.VIEWS.items()},
+    "minute_summary": _view(M.minute_summary),
     "staging_validation": q_staging_validation,
     "join_drop_report": q_join_drop_report,
     "hour_uniqueness": q_hour_uniqueness,
