@@ -319,7 +319,7 @@ SELECT 'distinct_seq', COUNT(DISTINCT seq) FROM rides"""
 # Sources, sinks and lifecycle: the data read back must equal the plain result.
 for _k in ("parquet_glob_scan", "recursive_scan", "by_name_load"):
     SQL[_k] = SQL["trips_canonical"]
-for _k in ("csv_roundtrip", "write_max_records", "publish_promote", "publish_rollback",
+for _k in ("csv_roundtrip", "write_max_records", "publish_promote", "publish_rollback", "create_if_absent",
            "stream_incremental"):
     SQL[_k] = SQL["rides_enriched"]
 

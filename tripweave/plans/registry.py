@@ -24,7 +24,7 @@ from tripweave.operators.weather import clean_weather
 from tripweave.operators.zones import with_zones
 from tripweave.operators.checks import ValidationError
 from tripweave.plans.backfill import backfill, months_ledger, read_backfilled
-from tripweave.plans.publish import RidesStore
+from tripweave.plans.publish import RidesStore, create_table_if_not_exists
 from tripweave.plans.rides import build_rides
 from tripweave.session import scratch_path
 from tripweave.sources.byname import load_by_name
@@ -207,6 +207,20 @@ def q_publish_rollback(spark, sf_dir):
     return store.read_current()
 
 
+def q_create_if_absent(spark, sf_dir):
+    """K4 (D10): ``CREATE TABLE IF NOT EXISTS … AS SELECT``; a second create
+    with other rows leaves the first rows in place."""
+    import uuid
+    name = f"rides_if_absent_{uuid.uuid4().hex[:8]}"
+    path = scratch_path(spark, "if-absent")
+    full = rides(spark, sf_dir)
+    if not create_table_if_not_exists(spark, name, full, path):
+        raise AssertionError(f"{name} existed before its first create")
+    if create_table_if_not_exists(spark, name, full.filter(F.col("seq") % 2 == 0), path):
+        raise AssertionError(f"{name} was created twice")
+    return spark.table(name)
+
+
 def _months(spark, sf_dir) -> list[str]:
     raw, _, _ = inputs(spark, sf_dir)
     return sorted(r[0] for r in raw.select(F.date_format("pickup_datetime", "yyyy-MM"))
@@ -269,6 +283,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_max_records": q_write_max_records,
     "publish_promote": q_publish_promote,
     "publish_rollback": q_publish_rollback,
+    "create_if_absent": q_create_if_absent,
     "partition_backfill": q_partition_backfill,
     "skip_completed": q_skip_completed,
     "stream_incremental": q_stream_incremental,
