@@ -9,6 +9,7 @@ from tripweave.plans import registry as R
 from tripweave.plans import storage
 from tripweave.plans.backfill import backfill, completed_months, months_ledger, read_backfilled
 from tripweave.plans.publish import RidesStore, create_table_if_not_exists
+from tripweave.plans.rides import build_rides
 from tripweave.sources import InputMissingError, infer_schema, read_trips, require_inputs
 from tripweave.streaming import start_incremental_rides
 
@@ -152,3 +153,50 @@ def test_backfill_summary_per_month(spark, scratch):
     for name in ("measures_by_time", "rides_over_day", "measures_by_weather"):
         got, want = R.for_compare(M.VIEWS[name](summary)), R.for_compare(M.VIEWS[name](rides))
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
+
+
+def _job_inputs(spark, scratch):
+    """Trips as Parquet files and the lookups as CSV, as a job receives them."""
+    from tripweave.sources.files import write_csv
+    raw, zones, obs = R.inputs(spark, SF_SMALL)
+    trips, zpath, wpath = scratch("job-trips"), scratch("job-zones"), scratch("job-weather")
+    raw.repartition(3).write.parquet(trips)
+    write_csv(zones, zpath)
+    write_csv(obs, wpath)
+    return trips, zpath, wpath
+
+
+def test_job_build_and_publish(spark, scratch):
+    from tripweave.jobs import run
+    trips, zpath, wpath = _job_inputs(spark, scratch)
+    out = scratch("job-out")
+    assert run(["build", f"{trips}/*.parquet", zpath, wpath, out, "--row-id", "trip_id",
+                "--max-records", "300"], spark=spark) == 0
+    built = spark.read.parquet(out)
+    raw, zones, obs = R.inputs(spark, SF_SMALL)
+    from tripweave.sources.files import read_observations, read_zones
+    want = build_rides(raw, read_zones(spark, zpath), read_observations(spark, wpath), row_id="trip_id")
+    assert built.count() == want.count() and built.exceptAll(want).count() == 0
+    assert built.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 300
+    root = scratch("job-store")
+    assert run(["publish", trips, zpath, wpath, root, "--row-id", "trip_id"], spark=spark) == 0
+    assert RidesStore(spark, root).read_current().count() == want.count()
+
+
+def test_job_names_every_missing_input(spark, scratch):
+    from tripweave.jobs import run
+    trips, zpath, _ = _job_inputs(spark, scratch)
+    with pytest.raises(InputMissingError) as err:
+        run(["build", trips, zpath, scratch("no-weather") + "/w.csv", scratch("o")], spark=spark)
+    assert "weather" in str(err.value) and "zones" not in str(err.value)
+
+
+def test_job_backfill_skips_finished_months(spark, scratch, capsys):
+    from tripweave.jobs import run
+    trips, zpath, wpath = _job_inputs(spark, scratch)
+    root = scratch("job-bf")
+    args = ["backfill", trips, zpath, wpath, root, "--months", "2024-01", "--row-id", "trip_id"]
+    assert run(args, spark=spark) == 0
+    assert run(args, spark=spark) == 0
+    assert capsys.readouterr().out.splitlines()[-1] == "months written: none"
+    assert completed_months(spark, root) == {"2024-01"}
