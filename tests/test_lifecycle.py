@@ -200,3 +200,10 @@ def test_job_backfill_skips_finished_months(spark, scratch, capsys):
     assert run(args, spark=spark) == 0
     assert capsys.readouterr().out.splitlines()[-1] == "months written: none"
     assert completed_months(spark, root) == {"2024-01"}
+
+
+def test_scratch_space_is_the_sessions_checkpoint_dir(spark, scratch):
+    from tripweave.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
+    assert scratch("x").startswith(base.rstrip("/") + "/tripweave-x-")
+    assert scratch("x") != scratch("x")

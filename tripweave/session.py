@@ -1,8 +1,10 @@
 """Session construction and the shared scratch location.
 
-Work files (CSV round trips, staged tables) go under the folder the cluster
-names in ``spark.checkpoint.dir``.  Only when that is unset (tests, a laptop)
-do we create one of our own.
+Work files (CSV round trips, staged tables, stream checkpoints) go under the
+folder the cluster names in ``spark.checkpoint.dir``.  Only a local-mode
+session (tests, a laptop) with none set gets a folder of our own; on a
+cluster a machine-local folder would not be shared by the executors, so an
+unset setting is an error there.
 """
 
 from __future__ import annotations
@@ -39,18 +41,26 @@ def get_session(master: str | None = None, app: str = "tripweave",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
+class CheckpointDirMissing(RuntimeError):
+    """A cluster session without ``spark.checkpoint.dir``."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; create a local one only if unset."""
+    """Return the cluster's checkpoint folder; create a local one only for a
+    local-mode session where none is set."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise CheckpointDirMissing(
+                "set spark.checkpoint.dir to a folder on shared storage (HDFS, object store): "
+                "work files and stream checkpoints must be visible to every executor")
         configured = tempfile.mkdtemp(prefix="tripweave-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
