@@ -116,3 +116,14 @@ def test_validation_rejects_empty(spark):
     assert validate_rides(rides)["month_count"] == 1
     with pytest.raises(ValidationError):
         validate_rides(rides.limit(0))
+
+
+def test_staging_counts_from_the_summary(spark):
+    rides = R.rides(spark, SF_SMALL)
+    wide = M.staging_counts(rides).first()
+    small = M.staging_counts(M.minute_summary(rides)).first()
+    assert (wide["row_count"], wide["month_count"]) == (small["row_count"], small["month_count"])
+    empty = M.staging_counts(M.minute_summary(rides.filter(F.lit(False)))).first()
+    assert (empty["row_count"], empty["month_count"]) == (0, 0)
+    with pytest.raises(ValidationError):
+        validate_rides(M.minute_summary(rides.filter(F.lit(False))))

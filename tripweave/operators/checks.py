@@ -14,7 +14,8 @@ class ValidationError(RuntimeError):
 
 
 def validate_rides(rides: DataFrame) -> dict:
-    """V2 + V3: at least one row and at least one pickup month."""
+    """V2 + V3: at least one row and at least one pickup month (from the wide
+    table or from its minute summary)."""
     row = staging_counts(rides).first()
     result = {"row_count": row["row_count"], "month_count": row["month_count"]}
     if result["row_count"] <= 0:

@@ -97,7 +97,7 @@ class RidesStore:
                 max_records_per_file: int = 100_000,
                 views: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
                 keep_runs: int = 1, summary: bool = True) -> PublishResult:
-        """Stage -> validate -> summarise -> promote -> refresh views -> clean up.
+        """Stage -> summarise -> validate -> promote -> refresh views -> clean up.
 
         On any failure before promotion the staged run (table and summary) is
         deleted and the error re-raised; the published table and its views
@@ -111,9 +111,13 @@ class RidesStore:
              .option("maxRecordsPerFile", max_records_per_file).parquet(path))      # K5, K1
             staged = self.spark.read.parquet(path)
             staged.createOrReplaceTempView(staging_view)
-            counts = validate_rides(staged) if validate else {"row_count": -1, "month_count": -1}
+            checked = staged
             if summary:
+                # the summary is written first: validation then scans the
+                # summary, not the run (one pass over the run, not two)
                 minute_summary(staged).write.mode("errorifexists").parquet(spath)
+                checked = self.spark.read.parquet(spath)
+            counts = validate_rides(checked) if validate else {"row_count": -1, "month_count": -1}
             self._promote(run_id, path, counts)                                     # K6
         except BaseException:
             self.spark.catalog.dropTempView(staging_view)                           # K11
