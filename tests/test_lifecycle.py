@@ -207,3 +207,12 @@ def test_scratch_space_is_the_sessions_checkpoint_dir(spark, scratch):
     base = ensure_checkpoint_dir(spark)
     assert scratch("x").startswith(base.rstrip("/") + "/tripweave-x-")
     assert scratch("x") != scratch("x")
+
+
+def test_backfill_of_months_without_trips(spark, scratch):
+    """A first run whose months hold no trips records them with 0 rows."""
+    raw, zones, obs = R.inputs(spark, SF_SMALL)
+    root = scratch("bf-empty")
+    assert backfill(spark, raw, zones, obs, root, ["2023-05"], row_id="trip_id",
+                    tie_break=R.TIE_BREAK) == ["2023-05"]
+    assert [(r["month"], r["row_count"]) for r in months_ledger(spark, root).collect()] == [("2023-05", 0)]

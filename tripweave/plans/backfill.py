@@ -85,12 +85,15 @@ def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observ
     (rides.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("month").parquet(out))
-    done = spark.read.parquet(out).filter(F.col("month").cast("string").isin(todo))
-    (minute_summary(done)
-     .withColumn("month", F.date_format("pickup_minute", "yyyy-MM"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # read back with the written schema: months without trips leave no files to infer it from
+    done = spark.read.schema(rides.schema).parquet(out).filter(F.col("month").isin(todo))
+    summary = minute_summary(done).withColumn("month", F.date_format("pickup_minute", "yyyy-MM"))
+    (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month").parquet(f"{root}/summary"))
-    written = done.groupBy(F.col("month").cast("string").alias("month")).count()
+    # the ledger's row counts come from the small summary, not another scan of the rides
+    written = (spark.read.schema(summary.schema).parquet(f"{root}/summary")
+               .filter(F.col("month").isin(todo))
+               .groupBy("month").agg(F.sum("_n").alias("count")))
     counts = {r["month"]: r["count"] for r in written.collect()}   # one row per month
     run_id = new_run_id()
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
