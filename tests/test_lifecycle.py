@@ -8,7 +8,7 @@ from tripweave.operators.checks import ValidationError
 from tripweave.plans import registry as R
 from tripweave.plans import storage
 from tripweave.plans.backfill import backfill, completed_months, months_ledger, read_backfilled
-from tripweave.plans.publish import RidesStore, create_table_if_not_exists
+from tripweave.plans.publish import RidesStore, create_table_if_not_exists, new_run_id
 from tripweave.plans.rides import build_rides
 from tripweave.sources import InputMissingError, infer_schema, read_trips, require_inputs
 from tripweave.streaming import start_incremental_rides
@@ -216,3 +216,17 @@ def test_backfill_of_months_without_trips(spark, scratch):
     assert backfill(spark, raw, zones, obs, root, ["2023-05"], row_id="trip_id",
                     tie_break=R.TIE_BREAK) == ["2023-05"]
     assert [(r["month"], r["row_count"]) for r in months_ledger(spark, root).collect()] == [("2023-05", 0)]
+
+
+def test_vacuum_removes_only_old_unpromoted_runs(spark, scratch):
+    import datetime as dt
+    store = RidesStore(spark, scratch("store-vacuum"))
+    current = store.publish(R.rides(spark, SF_SMALL))
+    lost = store.run_path("20000101T000000-deadbeef")          # a driver died before promoting
+    fresh = store.run_path(new_run_id())                         # a job still writing
+    spark.range(3).write.parquet(lost)
+    spark.range(3).write.parquet(fresh)
+    removed = store.vacuum(dt.timedelta(hours=1))
+    assert [r.rstrip("/").rsplit("/", 1)[-1] for r in removed] == ["run_id=20000101T000000-deadbeef"]
+    assert storage.exists(spark, fresh) and storage.exists(spark, current.path)
+    assert not storage.exists(spark, lost)

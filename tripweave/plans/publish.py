@@ -149,6 +149,27 @@ class RidesStore:
         for view_name in (views if views is not None else VIEWS):
             self.spark.catalog.dropTempView(view_name)
 
+    def vacuum(self, min_age: dt.timedelta = dt.timedelta(hours=24)) -> list[str]:
+        """Delete run directories (and their summaries) that were never
+        promoted and started more than ``min_age`` ago: what a driver lost
+        between writing and promoting leaves behind.  Younger ones may belong
+        to a job still running and stay."""
+        promoted = {r["run_id"] for r in self.ledger().filter(F.col("table_name") == self.name)
+                    .select("run_id").collect()}
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        removed = []
+        for folder in (f"{self.root}/{self.name}", f"{self.root}/{self.name}_minutely"):
+            for d in storage.list_dirs(self.spark, folder):
+                leaf = d.rstrip("/").rsplit("/", 1)[-1]
+                if not leaf.startswith("run_id="):
+                    continue
+                run_id = leaf[len("run_id="):]
+                started = _run_started(run_id)
+                if run_id not in promoted and started is not None and now - started > min_age:
+                    storage.delete(self.spark, d)
+                    removed.append(d)
+        return removed
+
     def remove_old_runs(self, keep_runs: int = 1) -> list[str]:
         """Delete superseded runs: promoted runs older than the newest
         ``keep_runs``.  Directories never promoted (a job still writing) stay."""
@@ -167,6 +188,14 @@ class RidesStore:
         return removed
 
 
+def _run_started(run_id: str) -> dt.datetime | None:
+    """Start time encoded at the front of a run id (``new_run_id``)."""
+    try:
+        return dt.datetime.strptime(run_id.split("-", 1)[0], "%Y%m%dT%H%M%S")
+    except ValueError:
+        return None
+
+
 def create_table_if_not_exists(spark: SparkSession, name: str, df: DataFrame, path: str) -> bool:
     """K4: ``CREATE TABLE IF NOT EXISTS … AS SELECT``; an existing table keeps
     its rows (D10).  Returns True when the table was created."""
