@@ -1,22 +1,17 @@
 """Dashboard measures (C5: P9, A1–A12, D-1, O1–O5).
 
-Each function takes the wide ``rides`` table and returns one view.
-
-Multi-grain views (A1 rollup, A2/A3 grouping sets) are computed in two steps:
-first one aggregation at the finest grain of the view, keeping partial states
-(count, sums, non-null counts); then the rollup / grouping sets over those
-partial states.  Spark's ``Expand`` then multiplies the small pre-aggregated
-table instead of every trip: at 100 TB the hot path is one hash aggregation
-per trip with map-side combine, whatever the number of grouping sets.  Averages
-are rebuilt as sum / non-null count, so the result is the same as one pass.
-
-Ten of the views (A1–A10) group by pickup time and the weather of the pickup
-hour only.  They all read ``minute_summary``: the same partial states per
-pickup minute (and the hour's weather, which is one row per hour, so the
-summary keeps one row per minute: ≤ 525,600 rows a year at any trip volume).
-Publishing writes the summary once next to the table; those views then scan
-the summary, not the trips.  Given the wide table instead, a view builds the
-summary on the fly (the same two-step plan).  Averages are rebuilt as
+Each view function takes the wide ``rides`` table; the ten time and weather
+views (A1–A10, ``SUMMARY_VIEWS``) also take its ``minute_summary``.
+
+Those ten group by pickup time and the weather of the pickup hour only, so
+they all read one summary: partial states (count, sums, non-null counts) per
+pickup minute and the hour's weather.  There is one weather row per hour, so
+the summary keeps one row per minute: at most 525,600 rows a year at any trip
+volume.  Publishing and backfill write it once next to the table, and those
+views then scan the summary, never the trips.  Given the wide table instead,
+a view builds the summary on the fly (one hash aggregation per trip with
+map-side combine, then the view).  The ROLLUP and the grouping sets run
+``Expand`` over summary rows only.  Averages are rebuilt as
 sum / non-null count, so results equal a one-pass aggregation.
 
 Sorting (O1–O5) is done only on the final, small result.
