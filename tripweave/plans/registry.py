@@ -253,11 +253,12 @@ def q_stream_incremental(spark, sf_dir):
     _, zones, obs = inputs(spark, sf_dir)
     trips_dir = scratch_path(spark, "stream-in")
     raw, _, _ = inputs(spark, sf_dir)
-    raw.write.parquet(trips_dir)
+    raw.repartition(4).write.parquet(trips_dir)          # four files ...
     out = scratch_path(spark, "stream-out")
     query = start_incremental_rides(spark, trips_dir, zones, obs, out,
                                     checkpoint=scratch_path(spark, "stream-ckpt"),
-                                    row_id="trip_id", tie_break=TIE_BREAK)
+                                    row_id="trip_id", tie_break=TIE_BREAK,
+                                    max_files_per_trigger=1)  # ... one micro-batch each
     query.awaitTermination()
     return spark.read.parquet(out).drop("month")
 
