@@ -230,3 +230,15 @@ def test_vacuum_removes_only_old_unpromoted_runs(spark, scratch):
     assert [r.rstrip("/").rsplit("/", 1)[-1] for r in removed] == ["run_id=20000101T000000-deadbeef"]
     assert storage.exists(spark, fresh) and storage.exists(spark, current.path)
     assert not storage.exists(spark, lost)
+
+
+def test_read_schema_widens_drifted_months(spark, scratch):
+    """Monthly files with int32/int64 and float/double for the same column."""
+    path = scratch("drift")
+    spark.range(5).select(F.col("id").cast("int").alias("passenger_count"),
+                          F.col("id").cast("float").alias("fare")).write.parquet(f"{path}/month=2024-01")
+    spark.range(5).select(F.col("id").cast("bigint").alias("passenger_count"),
+                          F.col("id").cast("double").alias("fare")).write.parquet(f"{path}/month=2024-02")
+    df = read_trips(spark, path, schema="passenger_count bigint, fare double, month string")
+    row = df.agg(F.sum("passenger_count").alias("p"), F.sum("fare").alias("f"), F.count_distinct("month").alias("m")).first()
+    assert (row["p"], row["f"], row["m"]) == (20, 20.0, 2)

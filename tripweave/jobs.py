@@ -48,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--year", type=int, default=2024, help="pickup and drop-off year (0: any)")
         s.add_argument("--row-id", default=None, help="source column to use as seq")
         s.add_argument("--recursive", action="store_true", help="list TRIPS recursively")
+        s.add_argument("--trip-schema", default=None,
+                       help="read schema of the trips as DDL (widens int32/float columns that drifted)")
         if name != "stream":
             s.add_argument("--weather-from", default=None, help="first hour kept, e.g. 2024-01-01")
             s.add_argument("--weather-until", default=None, help="first hour dropped, e.g. 2024-02-01")
@@ -79,10 +81,10 @@ def run(argv: list[str] | None = None, spark=None) -> int:
         query = start_incremental_rides(
             spark, args.trips, zones, weather, args.output, checkpoint=args.checkpoint,
             mapping=args.mapping, year=year, row_id=args.row_id,
-            max_files_per_trigger=args.max_files_per_trigger)
+            max_files_per_trigger=args.max_files_per_trigger, schema=args.trip_schema)
         query.awaitTermination()
         return 0
-    trips = read_trips(spark, args.trips, recursive=args.recursive)
+    trips = read_trips(spark, args.trips, recursive=args.recursive, schema=args.trip_schema)
     if args.command == "backfill":
         done = backfill(spark, trips, zones, weather, args.output, args.months, mapping=args.mapping,
                         force=args.force, row_id=args.row_id, max_records_per_file=args.max_records)

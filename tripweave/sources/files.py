@@ -11,6 +11,7 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tripweave.schemas import OBSERVATION_COLUMNS, ZONE_COLUMNS
 
@@ -40,16 +41,25 @@ def _reader(spark: SparkSession, recursive: bool, glob_filter: str | None,
 
 def read_trips(spark: SparkSession, paths: str | Iterable[str], *,
                recursive: bool = False, glob_filter: str | None = None,
-               merge_schema: bool = False) -> DataFrame:
+               merge_schema: bool = False,
+               schema: StructType | str | None = None) -> DataFrame:
     """Parquet trips from files, globs or directories.
 
     A pattern that matches nothing is a hard error, reported with the pattern.
     A directory laid out as ``month=YYYY-MM/`` yields a ``month`` column that
     prunes partitions (S7).
+
+    ``schema`` (a ``StructType`` or DDL string) is the read schema for files
+    whose column types drifted between months: the Parquet reader widens
+    int32 to int64 and float to double per file.  Narrowing, or int64 to
+    double, is not widened and fails the read, naming the file.
     """
     paths = _as_list(paths)
     try:
-        return _reader(spark, recursive, glob_filter, merge_schema).parquet(*paths)
+        reader = _reader(spark, recursive, glob_filter, merge_schema)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(*paths)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise InputMissingError(f"no trip files match {paths}") from exc

@@ -37,8 +37,13 @@ def start_incremental_rides(spark: SparkSession, trips_dir: str, zones: DataFram
                             year: int | None = 2024, trip_window: tuple | None = None,
                             row_id: str | None = None, tie_break: Sequence[str] = (),
                             max_files_per_trigger: int | None = None,
-                            available_now: bool = True) -> StreamingQuery:
-    schema = spark.read.parquet(trips_dir).schema
+                            available_now: bool = True,
+                            schema=None) -> StreamingQuery:
+    """``schema`` (StructType or DDL) fixes the trips' read schema, which
+    also widens drifted column types per file (see ``read_trips``); by
+    default it is taken from the files present at start."""
+    if schema is None:
+        schema = spark.read.parquet(trips_dir).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
