@@ -127,3 +127,13 @@ def test_staging_counts_from_the_summary(spark):
     assert (empty["row_count"], empty["month_count"]) == (0, 0)
     with pytest.raises(ValidationError):
         validate_rides(M.minute_summary(rides.filter(F.lit(False))))
+
+
+def test_pre_cleaned_weather_gives_the_same_rides(spark, scratch):
+    from tripweave.plans.rides import build_rides
+    raw, zones, obs = R.inputs(spark, SF_SMALL)
+    path = scratch("weather-once")
+    clean_weather(obs, tie_break=R.TIE_BREAK).write.parquet(path)
+    a = build_rides(raw, zones, obs, row_id="trip_id", tie_break=R.TIE_BREAK)
+    b = build_rides(raw, zones, None, row_id="trip_id", weather=spark.read.parquet(path))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -23,16 +23,23 @@ from tripweave.operators.weather import clean_weather
 from tripweave.operators.zones import with_zones
 
 
-def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame, *,
+def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame | None, *,
                 mapping: str | dict = "hvfhv", year: int | None = 2024,
                 trip_window: tuple | None = None, weather_window: tuple | None = None,
                 row_id: str | Column | None = None, tie_break: Sequence[str] = (),
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                weather: DataFrame | None = None) -> DataFrame:
+    """``weather``: already cleaned weather (``clean_weather`` output, one row
+    per hour) to use instead of cleaning ``observations`` here, e.g. a copy
+    written once for many stream batches."""
     if trip_window is None and year is not None:
         trip_window = (f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00")
     trips = clean_trips(raw_trips, mapping, year=None, window=trip_window, row_id=row_id)
     zoned = with_zones(trips, zones, max_broadcast_rows=max_broadcast_rows)
-    weather = clean_weather(observations, window=weather_window, tie_break=tie_break)
+    if weather is None:
+        weather = clean_weather(observations, window=weather_window, tie_break=tie_break)
+    elif weather_window is not None:
+        weather = weather.filter(year_window(weather, ["HOUR"], *weather_window))
     hours_bound = None
     if trip_window is not None:
         # Only hours inside the trips' window can match; one weather row per

@@ -9,7 +9,11 @@ batches only).  ``availableNow`` processes what is there and stops, so it
 runs like a batch job from any scheduler; without it the query keeps running.
 
 The zone lookup and the hourly weather are static tables joined to the
-stream (stream-static joins, broadcast after their size check).  Row ids must
+stream (stream-static joins, broadcast after their size check).  The weather
+is cleaned once when the query starts and written as a small Parquet table
+under the shared scratch folder, so a micro-batch joins that table instead
+of re-reading and re-ranking every observation; observations added later are
+seen by the next start (each ``availableNow`` run).  Row ids must
 be stable across batches, so ``seq`` is either a source column or a 64-bit
 hash of the trip's columns instead of ``monotonically_increasing_id``.
 """
@@ -22,8 +26,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tripweave.operators.weather import clean_weather
 from tripweave.plans.rides import build_rides
-from tripweave.session import ensure_checkpoint_dir
+from tripweave.session import ensure_checkpoint_dir, scratch_path
 
 
 def trip_hash_id(raw: DataFrame) -> Column:
@@ -49,8 +54,10 @@ def start_incremental_rides(spark: SparkSession, trips_dir: str, zones: DataFram
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.parquet(trips_dir)
     rid = F.col(row_id) if row_id else trip_hash_id(raw)
-    rides = build_rides(raw, zones, observations, mapping=mapping, year=year,
-                        trip_window=trip_window, row_id=rid, tie_break=tie_break)
+    weather_path = scratch_path(spark, "stream-weather")
+    clean_weather(observations, tie_break=tie_break).write.parquet(weather_path)
+    rides = build_rides(raw, zones, None, mapping=mapping, year=year, trip_window=trip_window,
+                        row_id=rid, weather=spark.read.parquet(weather_path))
     rides = rides.withColumn("month", F.date_format("pickup_datetime", "yyyy-MM"))
     checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-rides"
     writer = (rides.writeStream.format("parquet").outputMode("append")
