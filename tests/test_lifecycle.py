@@ -242,3 +242,17 @@ def test_read_schema_widens_drifted_months(spark, scratch):
     df = read_trips(spark, path, schema="passenger_count bigint, fare double, month string")
     row = df.agg(F.sum("passenger_count").alias("p"), F.sum("fare").alias("f"), F.count_distinct("month").alias("m")).first()
     assert (row["p"], row["f"], row["m"]) == (20, 20.0, 2)
+
+
+def test_job_stream_with_a_read_schema(spark, scratch):
+    from tripweave.jobs import run
+    from tripweave.sources.files import read_observations, read_zones
+    trips, zpath, wpath = _job_inputs(spark, scratch)
+    out, ckpt = scratch("job-stream-out"), scratch("job-stream-ck")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spark.read.parquet(trips).schema.fields)
+    assert run(["stream", trips, zpath, wpath, out, "--row-id", "trip_id", "--checkpoint", ckpt,
+                "--trip-schema", ddl, "--max-files-per-trigger", "1"], spark=spark) == 0
+    raw, _, _ = R.inputs(spark, SF_SMALL)
+    want = build_rides(raw, read_zones(spark, zpath), read_observations(spark, wpath), row_id="trip_id")
+    got = spark.read.parquet(out).drop("month")
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
