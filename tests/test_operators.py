@@ -137,3 +137,14 @@ def test_pre_cleaned_weather_gives_the_same_rides(spark, scratch):
     a = build_rides(raw, zones, obs, row_id="trip_id", tie_break=R.TIE_BREAK)
     b = build_rides(raw, zones, None, row_id="trip_id", weather=spark.read.parquet(path))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_blank_condition_option(spark):
+    """D5: '' stays a value by default; the option turns it into NULL."""
+    obs = spark.createDataFrame(
+        [("2024-03-04T10:05:00", "|RA:61", "0", "50", "40"), ("2024-03-04T11:05:00", "RA:02", "0", "50", "40")],
+        "DATE string, HourlyPresentWeatherType string, HourlyPrecipitation string, "
+        "HourlyRelativeHumidity string, HourlyDryBulbTemperature string")
+    kept = {r["condition"] for r in clean_weather(obs).collect()}
+    nulled = {r["condition"] for r in clean_weather(obs, blank_condition_as_null=True).collect()}
+    assert kept == {"", "RA"} and nulled == {None, "RA"}

@@ -27,16 +27,19 @@ def _stamp(obs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
                       *OBSERVATION_COLUMNS[1:], *keep)
 
 
-def _typed(stamped: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def _typed(stamped: DataFrame, keep: Sequence[str] = (), blank_condition_as_null: bool = False) -> DataFrame:
     """X6–X12 on the raw text fields."""
     code = first_code("HourlyPresentWeatherType")
+    condition = condition_of(code)
+    if blank_condition_as_null:
+        condition = F.nullif(condition, F.lit(""))
     return stamped.select(
         "HOUR", "obs_ts",
         parse_precipitation("HourlyPrecipitation").alias("precipitation"),
         tolerant_float("HourlyRelativeHumidity").alias("humidity"),
         tolerant_float("HourlyDryBulbTemperature").alias("temperature"),
         severity_of(code).alias("severity"),
-        condition_of(code).alias("condition"),
+        condition.alias("condition"),
         *keep,
     )
 
@@ -63,17 +66,23 @@ def first_per_hour(stamped: DataFrame, tie_break: Sequence[str] = ()) -> DataFra
 
 
 def clean_weather(obs: DataFrame, *, window: tuple | None = None,
-                  tie_break: Sequence[str] = ()) -> DataFrame:
+                  tie_break: Sequence[str] = (), blank_condition_as_null: bool = False) -> DataFrame:
     """One row per hour with ``HOUR, precipitation, humidity, temperature,
     severity, condition``.
 
     ``window=(lo, hi)`` keeps hours in ``[lo, hi)`` (the local job keeps one
     month, the cloud job everything — D1); default keeps all.
 
+    ``blank_condition_as_null``: an empty condition (a code with no word
+    before ``:`` or the end, e.g. ``|RA``) is ``''`` by default, as in the
+    reference, so it passes ``IS NOT NULL`` and is not shown as ``Unknown``
+    (D5); ``True`` turns it into NULL.
+
     Only the time is parsed before the one-per-hour step; the regular
     expressions and number parsing run after it, on one row per hour instead
     of on every observation."""
     stamped = _stamp(obs, keep=tie_break)
     if window is not None:
         stamped = stamped.filter(year_window(stamped, ["HOUR"], *window))
-    return _typed(first_per_hour(stamped, tie_break)).select(*WEATHER_COLUMNS)
+    return _typed(first_per_hour(stamped, tie_break),
+                  blank_condition_as_null=blank_condition_as_null).select(*WEATHER_COLUMNS)

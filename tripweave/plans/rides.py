@@ -28,7 +28,8 @@ def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame
                 trip_window: tuple | None = None, weather_window: tuple | None = None,
                 row_id: str | Column | None = None, tie_break: Sequence[str] = (),
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                weather: DataFrame | None = None) -> DataFrame:
+                weather: DataFrame | None = None,
+                blank_condition_as_null: bool = False) -> DataFrame:
     """``weather``: already cleaned weather (``clean_weather`` output, one row
     per hour) to use instead of cleaning ``observations`` here, e.g. a copy
     written once for many stream batches."""
@@ -37,7 +38,8 @@ def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame
     trips = clean_trips(raw_trips, mapping, year=None, window=trip_window, row_id=row_id)
     zoned = with_zones(trips, zones, max_broadcast_rows=max_broadcast_rows)
     if weather is None:
-        weather = clean_weather(observations, window=weather_window, tie_break=tie_break)
+        weather = clean_weather(observations, window=weather_window, tie_break=tie_break,
+                                blank_condition_as_null=blank_condition_as_null)
     elif weather_window is not None:
         weather = weather.filter(year_window(weather, ["HOUR"], *weather_window))
     hours_bound = None
