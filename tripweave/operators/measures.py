@@ -9,10 +9,11 @@ pickup minute and the hour's weather.  There is one weather row per hour, so
 the summary keeps one row per minute: at most 525,600 rows a year at any trip
 volume.  Publishing and backfill write it once next to the table, and those
 views then scan the summary, never the trips.  Given the wide table instead,
-a view builds the summary on the fly (one hash aggregation per trip with
-map-side combine, then the view).  The ROLLUP and the grouping sets run
-``Expand`` over summary rows only.  Averages are rebuilt as
-sum / non-null count, so results equal a one-pass aggregation.
+a single-grain view aggregates it in one pass, and a multi-grain view
+aggregates it once at its own finest grain (map-side combine) before the
+ROLLUP or grouping sets, so ``Expand`` never multiplies trips.  Averages from
+partial states are rebuilt as sum / non-null count, so results equal a
+one-pass aggregation.
 
 Sorting (O1–O5) is done only on the final, small result.
 """
@@ -106,21 +107,38 @@ def is_summary(df: DataFrame) -> bool:
     return "_n" in df.columns and "pickup_minute" in df.columns
 
 
-def _summary(df: DataFrame) -> DataFrame:
-    return df if is_summary(df) else minute_summary(df)
+def _time(df: DataFrame) -> Column:
+    """Pickup time: the minute of a summary, the timestamp of the wide table."""
+    return F.col("pickup_minute") if is_summary(df) else F.col("pickup_datetime")
 
 
-def multi_grain(summary: DataFrame, keys: dict[str, Column], measures, *,
+def _aggs(df: DataFrame, measures) -> list[Column]:
+    """Single-level aggregates: merged partial states from a summary, plain
+    aggregates (one pass) from the wide table."""
+    return _merge_states(measures) if is_summary(df) else aggregates(measures)
+
+
+def _rows(df: DataFrame) -> Column:
+    return F.sum("_n") if is_summary(df) else F.count(F.lit(1))
+
+
+def multi_grain(df: DataFrame, keys: dict[str, Column], measures, *,
                 grouping_sets: Sequence[Sequence[str]] | None = None,
-                rollup: bool = False) -> DataFrame:
-    """Aggregate ``measures`` over several grains of ``keys`` in one view,
-    from partial states (``minute_summary``).
+                rollup: bool = False, from_states: bool | None = None) -> DataFrame:
+    """Aggregate ``measures`` over several grains of ``keys`` in one view.
 
     ``rollup=True`` gives ROLLUP over ``keys`` in order; otherwise
     ``grouping_sets`` lists the sets.  A NULL key marks "all values" as in SQL.
-    ``Expand`` multiplies summary rows only, never trips."""
+    From partial states (a minute summary, ``from_states``) ``Expand`` runs
+    over summary rows.  From the wide table the trips are first aggregated
+    once at the finest grain of the view, with map-side combine, and
+    ``Expand`` multiplies only that small table, never the trips."""
     names = list(keys)
-    keyed = summary.select(*[expr.alias(k) for k, expr in keys.items()], *_state_columns(summary))
+    from_states = is_summary(df) if from_states is None else from_states
+    if from_states:
+        keyed = df.select(*[expr.alias(k) for k, expr in keys.items()], *_state_columns(df))
+    else:
+        keyed = df.groupBy(*[expr.alias(k) for k, expr in keys.items()]).agg(*_partial_states(measures))
     if rollup:
         grouped = keyed.rollup(*names)
     else:
@@ -153,20 +171,21 @@ def rides_base(rides: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- multi-grain
+# Each view below takes the wide table or its minute summary.
 
 def measures_by_time(rides: DataFrame) -> DataFrame:
     """A1: ROLLUP(year, month, day, hour, minute) with M7 — six levels."""
-    ts = F.col("pickup_minute")
+    ts = _time(rides)
     keys = {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts),
             "hour": F.hour(ts), "minute": F.minute(ts)}
-    return multi_grain(_summary(rides), keys, M7, rollup=True)
+    return multi_grain(rides, keys, M7, rollup=True)
 
 
 def measures_by_dow(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A2: GROUPING SETS ((dow, hour), (dow), (hour)), full day names; O1."""
-    ts = F.col("pickup_minute")
+    ts = _time(rides)
     keys = {"dow": day_name_full(ts), "hour": F.hour(ts)}
-    out = multi_grain(_summary(rides), keys, M7, grouping_sets=[["dow", "hour"], ["dow"], ["hour"]])
+    out = multi_grain(rides, keys, M7, grouping_sets=[["dow", "hour"], ["dow"], ["hour"]])
     return _order(out, "dow", "hour") if ordered else out
 
 
@@ -180,15 +199,15 @@ def measures_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A3 + F4: six grouping sets over condition, severity, day and hour; only
     rides whose derived day, hour, condition and severity are all present.
     An empty condition (``''``) is present (D5)."""
-    summary = _summary(rides)
-    ts = F.col("pickup_minute")
-    derived = summary.select(
-        day_name_full(ts).alias("dow"), F.hour(ts).alias("hour"), "condition", "severity",
-        *_state_columns(summary),
+    ts, states = _time(rides), is_summary(rides)
+    values = _state_columns(rides) if states else [
+        "passenger_count", "trip_distance", "fare_amount", "total_amount"]
+    derived = rides.select(
+        day_name_full(ts).alias("dow"), F.hour(ts).alias("hour"), "condition", "severity", *values,
     ).dropna(subset=["dow", "hour", "condition", "severity"])
     keys = {"dow": F.col("dow"), "hour": F.col("hour"),
             "condition": F.col("condition"), "severity": F.col("severity")}
-    out = multi_grain(derived, keys, M7, grouping_sets=WEATHER_SETS)
+    out = multi_grain(derived, keys, M7, grouping_sets=WEATHER_SETS, from_states=states)
     out = out.select("dow", "hour", "condition", "severity", *[m[0] for m in M7])
     return _order(out, "dow", "hour", "condition", "severity") if ordered else out
 
@@ -197,22 +216,22 @@ def measures_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
 
 def rides_over_time(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A4 + O3: hourly series, M6."""
-    out = _summary(rides).groupBy(hour_bucket("pickup_minute").alias("ts_hour")).agg(*_merge_states(M6))
+    out = rides.groupBy(hour_bucket(_time(rides)).alias("ts_hour")).agg(*_aggs(rides, M6))
     return _order(out, "ts_hour") if ordered else out
 
 
 def rides_over_day(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A5 + O3: daily series, M6."""
-    out = _summary(rides).groupBy(day_bucket("pickup_minute").alias("ts_day")).agg(*_merge_states(M6))
+    out = rides.groupBy(day_bucket(_time(rides)).alias("ts_day")).agg(*_aggs(rides, M6))
     return _order(out, "ts_day") if ordered else out
 
 
 def avg_rides_per_dow(rides: DataFrame) -> DataFrame:
     """Rides per calendar day, then average / min / max of those daily
     counts per day of week.  Days without rides are absent, not zero."""
-    ts = F.col("pickup_minute")
-    daily = _summary(rides).groupBy(day_bucket(ts).alias("pickup_date"),
-                                    day_name_short(ts).alias("dow")).agg(F.sum("_n").alias("daily_rides"))
+    ts = _time(rides)
+    daily = rides.groupBy(day_bucket(ts).alias("pickup_date"),
+                          day_name_short(ts).alias("dow")).agg(_rows(rides).alias("daily_rides"))
     return daily.groupBy("dow").agg(
         F.avg("daily_rides").alias("avg_rides_per_day"),
         F.min("daily_rides").alias("min_rides_per_day"),
@@ -222,15 +241,15 @@ def avg_rides_per_dow(rides: DataFrame) -> DataFrame:
 
 def rides_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A7 + X13 + O4: per weather label, missing labels as ``Unknown``."""
-    out = _summary(rides).groupBy(or_unknown("condition").alias("condition"),
-                                  or_unknown("severity").alias("severity")).agg(*_merge_states(M_WEATHER))
+    out = rides.groupBy(or_unknown("condition").alias("condition"),
+                        or_unknown("severity").alias("severity")).agg(*_aggs(rides, M_WEATHER))
     return out.orderBy(F.col("total_rides").desc()) if ordered else out
 
 
 def measure_vs_rides(rides: DataFrame, measure: str, ordered: bool = True) -> DataFrame:
     """A8–A10 (+ F5–F7, O5): scatter table of one weather measure against rides."""
-    out = (_summary(rides).filter(F.col(measure).isNotNull())
-           .groupBy("pickup_hour", "condition", "severity", measure).agg(*_merge_states(M3)))
+    out = (rides.filter(F.col(measure).isNotNull())
+           .groupBy("pickup_hour", "condition", "severity", measure).agg(*_aggs(rides, M3)))
     return _order(out, "pickup_hour") if ordered else out
 
 
