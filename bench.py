@@ -95,8 +95,13 @@ def main() -> None:
         timed(f"{prefix}_staging_counts", lambda: run(M.staging_counts(written)))
 
     total = round(sum(times.values()), 3)
+    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
-                      "queries": times, "setup_sec": setup, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", "")}))
+                      "queries": times, "setup_sec": setup, "sf": sf}))
 
 
 if __name__ == "__main__":
