@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce small shuffle outputs by size (advisory 64 MB), not to keep
+    # many tiny tasks: the shuffles here carry partial states and are small
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
