@@ -32,8 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
     of ``edges`` (two long columns, any names; loops and repeats are harmless,
     nulls are ignored)."""
     x, y = (F.col(f"`{c}`").cast("long") for c in edges.columns)
-    now = written(edges.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b"))
-                  .filter("a is not null and b is not null").distinct(), "edges")
+    now = written(edges.select(x.alias("x"), y.alias("y")).filter("x is not null and y is not null")
+                  .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "edges")
     loops = now.filter("a = b").select("a")
     state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     kept = now.filter("a > b")

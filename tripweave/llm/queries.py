@@ -83,7 +83,7 @@ WITH words AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
 grams AS (
   SELECT r, unnest(range(1, len(w) - 1)) AS i,
-         unnest(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
+         unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g
   FROM words WHERE len(w) >= 3),
 repeated AS (
   SELECT r, count(DISTINCT i + k) AS n
@@ -93,9 +93,9 @@ measured AS (
   SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         CAST(len(list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
+         CAST(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
               - len(list_distinct(list_filter(string_split(text, chr(10)),
-                                              x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+                                              lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
   FROM words LEFT JOIN repeated USING (r)),
 failed AS (
