@@ -35,8 +35,10 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps the document with the smallest doc_id of each group of linked ones;
     of a repeated doc_id, and of null ones, every row of a kept document stays."""
     found = ngram_join.classes(docs.select("doc_id", "text"))
-    losers = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(losers, "doc_id", "left_anti").select(*COLUMNS)
+    losers = written(found.filter("component_id <> doc_id").select("doc_id").distinct(), "losers")
+    docs, maybe = docs.select(*COLUMNS), ngram_join.maybe_in(losers)
+    # only documents that may be losers are shuffled
+    return docs.filter(~maybe).union(docs.filter(maybe).join(losers, "doc_id", "left_anti").select(*COLUMNS))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import record_batch, prepare, text_slices, written
+from tripweave.llm.common import prepare, record_batch, text_slices, written
 from tripweave.llm.token_cache import library_ids, tokenizer_text
 
 Filling = tuple[tuple[int, int], ...]   # (length, how many), longest first

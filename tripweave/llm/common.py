@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.plans import storage
 from tripweave.session import scratch_path
 
 #: Rows of one Arrow batch at most.  Texts are long, so batches stay short; the
@@ -60,6 +61,11 @@ def prepare(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table made by ``written`` that no later step reads."""
+    storage.delete(df.sparkSession, df.inputFiles()[0].rpartition("/")[0]) if df.inputFiles() else None
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the decimal text of an id, modulo ``divisor`` (null id: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

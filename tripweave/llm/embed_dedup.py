@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import record_batch, prepare, written
+from tripweave.llm.common import prepare, record_batch, written
 from tripweave.llm.components import components
 
 _ROWS = "table int, sig long, lo int, hi int, tile int, rep long, dim int, vector binary, sigs binary"

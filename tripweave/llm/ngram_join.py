@@ -27,19 +27,22 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import record_batch, prepare, text_slices, written
+from tripweave.llm.common import discard, prepare, record_batch, text_slices, written
 from tripweave.llm.components import components
 
-TABLE_BITS = 20
+#: Counters: one for about 16 shingles, at most 2 ** 24 (16 MB when sent).
+TABLE_BITS = (16, 24)
 BLOCK = 4096
+FILTER_BITS = 22
 #: Shingles of a tile, and tiles of a family that is joined as a whole.
 TILE = 20_000
 MAX_TILES = 64
@@ -74,42 +77,80 @@ def shingles(text: str | None, width: int = 5) -> np.ndarray:
     return np.unique(out)
 
 
-def slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+def slot(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Counter of each hash, in a table of ``size``, a power of two."""
+    return (hashes >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
-def rarity(docs: DataFrame, width: int) -> np.ndarray:
-    """Level of each counter: about 8 log2 of how many documents hold a shingle
-    that falls there.  One byte a counter whatever the size of the corpus."""
+def _summed(rows: DataFrame, counters: Callable[[pa.RecordBatch], np.ndarray], size: int,
+            finish: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """``size`` counters, bumped by every task at the places ``counters`` gives
+    for its batches, summed block by block and reduced to a byte each.  Memory
+    is bounded by the table in every task, and on the driver by ``size`` bytes."""
     schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << TABLE_BITS, np.uint32)
-        for (texts,) in text_slices(batches, ()):
-            at, n = np.unique(slot(np.concatenate([shingles(t, width) for t in texts])), return_counts=True)
+        total = np.zeros(size, np.uint32)
+        for batch in batches:
+            at, n = np.unique(counters(batch), return_counts=True)
             total[at] += n.astype(np.uint32)
-        rows = total.reshape(-1, BLOCK)
-        met = np.flatnonzero(rows.any(axis=1))
-        if len(met):
-            yield record_batch({"block": met, "counts": [rows[i].tobytes() for i in met]}, schema)
+        blocks = total.reshape(-1, BLOCK)
+        while len(met := np.flatnonzero(blocks.any(axis=1))):   # 255 at a time: a byte a counter
+            part = np.minimum(blocks[met], 255)
+            blocks[met] -= part
+            yield record_batch({"block": met, "counts": [r.astype(np.uint8).tobytes() for r in part]}, schema)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a running sum per block: memory is bounded by the table, not by the tasks
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
                 total = totals.setdefault(block, np.zeros(BLOCK, np.int64))
-                total += np.frombuffer(counts.as_buffer(), "<u4")
+                total += np.frombuffer(counts.as_buffer(), np.uint8)
         for block, total in totals.items():
-            level = np.where(total > 0, np.minimum(255, 1 + 8 * np.log2(np.maximum(total, 1))), 0).astype(np.uint8)
-            yield record_batch({"block": [block], "counts": [level.tobytes()]}, schema)
+            yield record_batch({"block": [block], "counts": [finish(total).astype(np.uint8).tobytes()]}, schema)
 
     ddl = "block int, counts binary"
-    parts = docs.select("text").filter("text is not null").mapInArrow(count, ddl).repartition("block")
-    levels = np.zeros((1 << TABLE_BITS) // BLOCK * BLOCK, np.uint8).reshape(-1, BLOCK)
-    for r in parts.mapInArrow(add, ddl).collect():   # one byte a counter
-        levels[r["block"]] = np.frombuffer(r["counts"], np.uint8)
-    return levels.ravel()
+    out = np.zeros((size // BLOCK, BLOCK), np.uint8)
+    for r in rows.mapInArrow(count, ddl).repartition("block").mapInArrow(add, ddl).collect():
+        out[r["block"]] = np.frombuffer(r["counts"], np.uint8)
+    return out.ravel()
+
+
+def rarity(docs: DataFrame, width: int) -> np.ndarray:
+    """Level of each counter: about 8 log2 of how many documents hold a shingle
+    that falls there.  One byte a counter; the number of counters follows the
+    characters of the corpus (six to a word) within ``TABLE_BITS``."""
+    texts = docs.select("text").filter("text is not null")
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 1
+    size = 1 << min(max(round(np.log2(chars / 6 / 16)), TABLE_BITS[0]), TABLE_BITS[1])
+
+    def places(batch: pa.RecordBatch) -> np.ndarray:
+        return slot(np.concatenate([shingles(t, width) for t in batch.column("text").to_pylist()]), size)
+
+    def level(total: np.ndarray) -> np.ndarray:
+        return np.where(total > 0, np.minimum(255, 1 + 8 * np.log2(np.maximum(total, 1))), 0)
+
+    return _summed(texts, places, size, level)
+
+
+def _id_place(ids: np.ndarray) -> np.ndarray:
+    h = ids.astype(np.int64).view(np.uint64) * _MIX
+    return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def maybe_in(ids: DataFrame) -> Column:
+    """A filter on doc_id, of fixed size, that holds for every doc_id in ``ids``
+    and few others: a join with ``ids`` then need not shuffle all texts.  Only
+    doc_ids go through Python."""
+    found = _summed(ids.select("doc_id"), lambda b: _id_place(np.asarray(b.column("doc_id"))), 1 << FILTER_BITS,
+                    lambda total: total > 0)
+    sent = ids.sparkSession.sparkContext.broadcast(np.packbits(found))   # 2 ** FILTER_BITS bits
+
+    def maybe(doc_id: pd.Series) -> pd.Series:
+        at = _id_place(doc_id.to_numpy())
+        return pd.Series((sent.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
+
+    return F.pandas_udf(maybe, "boolean")(F.coalesce(F.col("doc_id"), F.lit(0)))
 
 
 def prefix_length(n: int, pct: int) -> int:
@@ -117,7 +158,7 @@ def prefix_length(n: int, pct: int) -> int:
 
 
 def rare_first(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    return h[np.lexsort((h, levels[slot(h)]))]
+    return h[np.lexsort((h, levels[slot(h, len(levels))]))]
 
 
 def _prefixes(docs: DataFrame, levels, width: int, pct: int) -> DataFrame:
@@ -228,7 +269,7 @@ def _verify(groups: DataFrame, docs: DataFrame, width: int, pct: int, every: boo
              .select("key", "doc_id", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
              .select("key", "doc_id", "tile", F.least("tile", "o").alias("lo"), F.greatest("tile", "o").alias("hi")))
     cell = ["key", "lo", "hi"]
-    rows = (dealt.join(docs.select("doc_id", "text").filter("text is not null"), "doc_id")
+    rows = (dealt.join(docs.select("doc_id", "text").filter("text is not null").filter(maybe_in(groups)), "doc_id")
             .select(*cell, "tile", "doc_id", "text").repartition(*cell).sortWithinPartitions(*cell))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -263,11 +304,11 @@ def join(docs: DataFrame, threshold_pct: int = 80, width: int = 5, every: bool =
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    levels = spark.sparkContext.broadcast(rarity(docs, width))     # 2 ** TABLE_BITS bytes
+    levels = spark.sparkContext.broadcast(rarity(docs, width))     # a byte a counter
     sets = written(_prefixes(docs, levels, width, threshold_pct), "prefixes")
     first = sets.filter("n > 0 and doc_id is not null").groupBy("s1", "s2").agg(F.min("doc_id").alias("copy_of"))
-    listed = sets.select("doc_id", "n", "s1", "s2").join(first, ["s1", "s2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "copy_of")
+    listed = written(sets.select("doc_id", "n", "s1", "s2").join(first, ["s1", "s2"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), "copy_of"), "sets")
     # documents that meet on a prefix shingle, parted where sizes leap
     by_size = Window.partitionBy("token").orderBy("n", "doc_id")
     met = (sets.select("doc_id", "n", F.explode("tokens").alias("token"))
@@ -277,6 +318,7 @@ def join(docs: DataFrame, threshold_pct: int = 80, width: int = 5, every: bool =
            .withColumn("leader", F.last(F.when(F.col("opens"), F.col("doc_id")), ignorenulls=True).over(by_size))
            .filter(~(F.col("opens") & F.col("closes"))).select("token", "leader", "doc_id", "n"))
     shared = written(met, "shared")
+    discard(sets)
     family = components(shared.select("leader", "doc_id").distinct()).toDF("doc_id", "family")
     ids = shared.select("doc_id", "n").distinct().join(family, "doc_id")
     totals = ids.groupBy("family").agg(F.sum("n").alias("total"))
@@ -293,7 +335,6 @@ def join(docs: DataFrame, threshold_pct: int = 80, width: int = 5, every: bool =
 def classes(docs: DataFrame, threshold_pct: int = 80, width: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest doc_id reachable by links."""
     listed, links = join(docs, threshold_pct, width)
-    listed = written(listed, "sets")
     copies = listed.filter("copy_of is not null and doc_id <> copy_of").select("doc_id", "copy_of")
     found = components(links.union(copies)).toDF("doc_id", "component")
     return (listed.join(found, "doc_id", "left")
