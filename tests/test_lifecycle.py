@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 from tripweave.operators.checks import ValidationError
 from tripweave.plans import registry as R
 from tripweave.plans import storage
-from tripweave.plans.backfill import backfill, completed_months, months_ledger, read_backfilled
+from tripweave.plans.backfill import backfill, completed_months, current_months, months_ledger, read_backfilled
 from tripweave.plans.publish import RidesStore, create_table_if_not_exists, new_run_id
 from tripweave.plans.rides import build_rides
 from tripweave.sources import InputMissingError, infer_schema, read_trips, require_inputs
@@ -256,3 +256,72 @@ def test_job_stream_with_a_read_schema(spark, scratch):
     want = build_rides(raw, read_zones(spark, zpath), read_observations(spark, wpath), row_id="trip_id")
     got = spark.read.parquet(out).drop("month")
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def _trip_rows(spark, rows):
+    """Trips, zones and hourly observations for pickups and drop-offs given as text."""
+    import datetime as dt
+    ts = lambda x: dt.datetime.strptime(x, "%Y-%m-%d %H:%M")
+    raw, zones, obs = R.inputs(spark, SF_SMALL)
+    kept = R.rides(spark, SF_SMALL).first()["seq"]   # a trip whose zones are known
+    one = raw.filter(F.col("trip_id") == kept).limit(1).drop("pickup_datetime", "dropoff_datetime", "trip_id")
+    times = spark.createDataFrame([(i, ts(a), ts(b)) for i, (a, b) in enumerate(rows)],
+                                  "trip_id long, pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz")
+    seen = obs.limit(1).drop("DATE").crossJoin(
+        times.select(F.date_format("pickup_datetime", "yyyy-MM-dd'T'HH:00:00").alias("DATE")).distinct())
+    return one.crossJoin(times).select(*raw.columns), zones, seen.select(*obs.columns)
+
+
+def test_backfill_does_not_depend_on_batching(spark, scratch):
+    raw, zones, obs = _trip_rows(spark, [("2023-12-31 23:50", "2024-01-01 00:10"), ("2023-12-05 10:00", "2023-12-05 10:20"),
+                                         ("2024-01-03 10:00", "2024-01-03 10:20")])
+    months = ["2023-12", "2024-01"]
+    once, twice = scratch("once"), scratch("twice")
+    backfill(spark, raw, zones, obs, once, months, row_id="trip_id")
+    for m in months:
+        backfill(spark, raw, zones, obs, twice, [m], row_id="trip_id")
+    count = lambda root: {m: n for m, (_, n) in current_months(spark, root).items()}
+    assert count(once) == count(twice) == {"2023-12": 1, "2024-01": 1}
+
+
+def test_forced_month_without_trips_is_emptied(spark, scratch):
+    raw, zones, obs = _trip_rows(spark, [("2024-01-03 10:00", "2024-01-03 10:20"), ("2024-02-03 10:00", "2024-02-03 10:20")])
+    root = scratch("emptied")
+    backfill(spark, raw, zones, obs, root, ["2024-01", "2024-02"], row_id="trip_id")
+    assert read_backfilled(spark, root).count() == 2
+    backfill(spark, raw.filter("trip_id = 0"), zones, obs, root, ["2024-02"], force=True, row_id="trip_id")
+    assert [r["month"] for r in read_backfilled(spark, root).collect()] == ["2024-01"]
+    assert read_backfilled(spark, root, ["2024-02"]).count() == 0
+    assert read_backfilled(spark, root, table="summary").count() == 1
+
+
+def test_failed_summary_leaves_the_month(spark, scratch, monkeypatch):
+    from tripweave.plans import backfill as module
+    raw, zones, obs = _trip_rows(spark, [("2024-01-03 10:00", "2024-01-03 10:20")])
+    root = scratch("failed")
+    backfill(spark, raw, zones, obs, root, ["2024-01"], row_id="trip_id")
+    before = current_months(spark, root)
+
+    def broken(_):
+        raise RuntimeError("no summary")
+
+    monkeypatch.setattr(module, "minute_summary", broken)
+    with pytest.raises(RuntimeError):
+        backfill(spark, raw.filter("trip_id < 0"), zones, obs, root, ["2024-01"], force=True, row_id="trip_id")
+    assert current_months(spark, root) == before and read_backfilled(spark, root).count() == 1
+    assert len(storage.list_dirs(spark, f"{root}/rides")) == 1
+
+
+def test_stream_restarts_where_it_stopped(spark, scratch):
+    raw, zones, obs = _trip_rows(spark, [("2024-01-03 10:00", "2024-01-03 10:20"), ("2024-01-04 10:00", "2024-01-04 10:20")])
+    trips, out, other = scratch("trips"), scratch("out"), scratch("other")
+    raw.filter("trip_id = 0").write.parquet(trips)
+    start = lambda to, **kw: start_incremental_rides(
+        spark, trips, zones, obs, to, row_id="trip_id", **kw).awaitTermination()
+    start(out)
+    raw.filter("trip_id = 1").write.mode("append").parquet(trips)
+    start(out)
+    start(other)
+    assert spark.read.parquet(out).count() == spark.read.parquet(other).count() == 2
+    with pytest.raises(ValueError, match="not its checkpoint"):
+        start(out, checkpoint=scratch("new"))

@@ -74,7 +74,8 @@ def run(argv: list[str] | None = None, spark=None) -> int:
     spark = spark or get_session(app=f"tripweave-{args.command}")
     year = args.year or None
     require_inputs(spark, {"trips": args.trips, "zones": args.zones, "weather": args.weather},
-                   fmt={"zones": "csv", "weather": "csv"})
+                   fmt={"zones": "csv", "weather": "csv"},
+                   recursive={"trips"} if getattr(args, "recursive", False) else frozenset())
     zones = read_zones(spark, args.zones)
     weather = read_observations(spark, args.weather)
     if args.command == "stream":
@@ -87,7 +88,8 @@ def run(argv: list[str] | None = None, spark=None) -> int:
     trips = read_trips(spark, args.trips, recursive=args.recursive, schema=args.trip_schema)
     if args.command == "backfill":
         done = backfill(spark, trips, zones, weather, args.output, args.months, mapping=args.mapping,
-                        force=args.force, row_id=args.row_id, max_records_per_file=args.max_records)
+                        force=args.force, row_id=args.row_id, max_records_per_file=args.max_records,
+                        weather_window=_weather_window(args))
         print(f"months written: {', '.join(done) or 'none'}")
         return 0
     rides = build_rides(trips, zones, weather, mapping=args.mapping, year=year,

@@ -1,14 +1,17 @@
-"""Month-by-month backfill (C7: K2, K10, V1).
-
-One Spark job writes every month still to do into a ``month=YYYY-MM``
-partitioned table with dynamic partition overwrite: rerunning a month
-replaces exactly that month and leaves the others alone.  A small ledger
-records finished months, so a rerun skips them unless ``force``.
-The trip scan receives the month ranges as an OR of pickup ranges, so only
-the needed row groups are read.  The minute summary (partial states that
-feed the time and weather views) is written the same way, ``month``
-partitioned, from the written months: a minute never spans two months, so
-per-month summaries are exact.
+"""Month-by-month backfill (C7: K2, K10, V1, V2).
+
+One Spark job writes every month still to do under a run of its own,
+``rides/run_id=<id>/month=YYYY-MM``, and the minute summary of the written run
+next to it.  Appending the months' ledger rows, one small file, is the
+promotion: readers follow the ledger to the newest run of each month, so a month
+changes all at once or not at all, other months stay as they are, and a month
+that has no trips any more points at a run without rows.  The ledger also lets
+a rerun skip finished months unless ``force``.
+
+A trip belongs to the month of its pickup and must be dropped off before the end
+of that month's calendar year, whatever other months the call names.  The trip
+scan receives these ranges as an OR, so only the needed row groups are read.  A
+minute never spans two months, so per-month summaries are exact.
 """
 
 from __future__ import annotations
@@ -44,19 +47,31 @@ def months_ledger(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root.rstrip('/')}/_months"
     if not storage.exists(spark, path):
         return spark.createDataFrame([], MONTHS_SCHEMA)
-    return spark.read.schema(MONTHS_SCHEMA).parquet(path)
+    # one folder per run, so that two writers never share an output committer
+    return spark.read.schema(MONTHS_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+
+
+def current_months(spark: SparkSession, root: str) -> dict[str, tuple[str, int]]:
+    """month -> (run_id, row_count) of its newest promoted run; a row per month."""
+    newest = (months_ledger(spark, root).groupBy("month")
+              .agg(F.max(F.struct("done_at", "run_id", "row_count")).alias("x")).select("month", "x.*"))
+    return {r["month"]: (r["run_id"], r["row_count"]) for r in newest.collect()}
 
 
 def completed_months(spark: SparkSession, root: str) -> set[str]:
-    return {r["month"] for r in months_ledger(spark, root).select("month").distinct().collect()}
+    return set(current_months(spark, root))
 
 
-def _pickup_in_months(df: DataFrame, months: Sequence[str]) -> Column:
-    dtype = df.schema["pickup_datetime"].dataType
+def _in_months(df: DataFrame, months: Sequence[str]) -> Column:
+    """Pickup in one of ``months``, drop-off in the same calendar year."""
+    pickup, dropoff = (df.schema[c].dataType for c in ("pickup_datetime", "dropoff_datetime"))
     cond = None
     for m in months:
         lo, hi = month_range(m)
-        part = (F.col("pickup_datetime") >= ts_literal(lo, dtype)) & (F.col("pickup_datetime") < ts_literal(hi, dtype))
+        year, after = dt.datetime(lo.year, 1, 1), dt.datetime(lo.year + 1, 1, 1)
+        part = ((F.col("pickup_datetime") >= ts_literal(lo, pickup)) & (F.col("pickup_datetime") < ts_literal(hi, pickup))
+                & (F.col("dropoff_datetime") >= ts_literal(year, dropoff))
+                & (F.col("dropoff_datetime") < ts_literal(after, dropoff)))
         cond = part if cond is None else cond | part
     return cond
 
@@ -64,47 +79,64 @@ def _pickup_in_months(df: DataFrame, months: Sequence[str]) -> Column:
 def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observations: DataFrame,
              root: str, months: Iterable[str], *, mapping: str | dict = "hvfhv",
              force: bool = False, row_id: str | Column | None = None,
-             tie_break: Sequence[str] = (), max_records_per_file: int = 100_000) -> list[str]:
-    """Build and write the rides of ``months`` (``YYYY-MM``) not yet done.
-
-    Trips are assigned to the month of their pickup; as in the reference
-    both pickup and drop-off must fall in the calendar year(s) covered.
-    Returns the months written by this call."""
+             tie_break: Sequence[str] = (), max_records_per_file: int = 100_000,
+             weather_window: tuple | None = None) -> list[str]:
+    """Build and write the rides of ``months`` (``YYYY-MM``) not yet done;
+    returns the months written by this call.  On any failure before the ledger
+    rows the staged run is deleted and every month stays as it was."""
     root = root.rstrip("/")
     wanted = sorted(set(months))
-    todo = wanted if force else [m for m in wanted if m not in completed_months(spark, root)]
+    done = set() if force else completed_months(spark, root)
+    todo = [m for m in wanted if m not in done]
     if not todo:
         return []
     years = sorted({month_range(m)[0].year for m in todo})
     window = (f"{years[0]}-01-01 00:00:00", f"{years[-1] + 1}-01-01 00:00:00")
     rides = build_rides(raw_trips, zones, observations, mapping=mapping, trip_window=window,
-                        row_id=row_id, tie_break=tie_break)
-    rides = (rides.filter(_pickup_in_months(rides, todo))
+                        weather_window=weather_window, row_id=row_id, tie_break=tie_break)
+    rides = (rides.filter(_in_months(rides, todo))
              .withColumn("month", F.date_format("pickup_datetime", "yyyy-MM")))
-    out = f"{root}/rides"
-    (rides.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy("month").parquet(out))
-    # read back with the written schema: months without trips leave no files to infer it from
-    done = spark.read.schema(rides.schema).parquet(out).filter(F.col("month").isin(todo))
-    summary = minute_summary(done).withColumn("month", F.date_format("pickup_minute", "yyyy-MM"))
-    (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("month").parquet(f"{root}/summary"))
-    # the ledger's row counts come from the small summary, not another scan of the rides
-    written = (spark.read.schema(summary.schema).parquet(f"{root}/summary")
-               .filter(F.col("month").isin(todo))
-               .groupBy("month").agg(F.sum("_n").alias("count")))
-    counts = {r["month"]: r["count"] for r in written.collect()}   # one row per month
     run_id = new_run_id()
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rows = [(m, run_id, int(counts.get(m, 0)), now) for m in todo]
-    spark.createDataFrame(rows, MONTHS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_months")
+    out, sums = (f"{root}/{t}/run_id={run_id}" for t in ("rides", "summary"))
+    try:
+        (rides.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
+         .partitionBy("month").parquet(out))
+        # read back with the written schema: a run without trips leaves no files to infer it from
+        staged = spark.read.schema(rides.schema).parquet(out)
+        summary = minute_summary(staged).withColumn("month", F.date_format("pickup_minute", "yyyy-MM"))
+        summary.write.mode("errorifexists").partitionBy("month").parquet(sums)
+        # row counts come from the small summary of this run, not another scan of the rides
+        counts = {r["month"]: r["count"] for r in   # one row per month
+                  spark.read.schema(summary.schema).parquet(sums).groupBy("month").agg(F.sum("_n").alias("count")).collect()}
+        if set(counts) - set(todo):
+            raise ValueError(f"rides outside the months asked for: {sorted(set(counts) - set(todo))}")
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows = [(m, run_id, int(counts.get(m, 0)), now) for m in todo]
+        spark.createDataFrame(rows, MONTHS_SCHEMA).coalesce(1).write.parquet(f"{root}/_months/run={run_id}")
+    except BaseException:
+        # an interrupt may come after the ledger rows: what they name stays
+        if run_id not in {r for r, _ in current_months(spark, root).values()}:
+            storage.delete(spark, out)
+            storage.delete(spark, sums)
+        raise
     return todo
 
 
 def read_backfilled(spark: SparkSession, root: str, months: Sequence[str] | None = None,
                     table: str = "rides") -> DataFrame:
-    """The partitioned rides table (or ``table="summary"``, its minute
-    summary); a month list prunes partitions."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{table}").withColumn("month", F.col("month").cast("string"))
-    return df.filter(F.col("month").isin(list(months))) if months else df
+    """The current rides of all promoted months (or ``table="summary"``, their
+    minute summary); only the newest run of each month is read, and a month
+    list prunes folders."""
+    root = root.rstrip("/")
+    current = current_months(spark, root)
+    if not current:
+        raise FileNotFoundError(f"no months written under {root}")
+    wanted = {m: x for m, x in current.items() if months is None or m in months}
+    paths = [f"{root}/{table}/run_id={run}/month={m}" for m, (run, n) in sorted(wanted.items()) if n]
+    if not paths:   # months without trips: the table's columns, no rows
+        runs = sorted({run for run, n in current.values() if n} or {run for run, _ in current.values()})
+        df = spark.read.option("basePath", f"{root}/{table}/run_id={runs[-1]}").parquet(f"{root}/{table}/run_id={runs[-1]}")
+        df = df if "month" in df.columns else df.withColumn("month", F.lit(None).cast("string"))
+        return df.withColumn("month", F.col("month").cast("string")).limit(0)
+    df = spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("run_id")
+    return df.withColumn("month", F.col("month").cast("string"))

@@ -86,8 +86,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", "true").csv(path)
 
 
-def require_inputs(spark: SparkSession, paths: dict[str, str], fmt: dict[str, str] | None = None) -> None:
+def require_inputs(spark: SparkSession, paths: dict[str, str], fmt: dict[str, str] | None = None,
+                   recursive: set[str] = frozenset()) -> None:
     """V1: every named input must exist; list all missing ones in one error.
+    Inputs named in ``recursive`` are looked for in nested folders too.
 
     The check opens only file listings (and the first footer or header), not data.
     """
@@ -99,7 +101,7 @@ def require_inputs(spark: SparkSession, paths: dict[str, str], fmt: dict[str, st
             if kind == "csv":
                 spark.read.option("header", "true").csv(path).schema
             else:
-                spark.read.parquet(path).schema
+                spark.read.option("recursiveFileLookup", str(name in recursive).lower()).parquet(path).schema
         except AnalysisException:
             missing.append(f"{name}: {path}")
     if missing:

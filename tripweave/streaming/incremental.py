@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripweave.operators.weather import clean_weather
+from tripweave.plans import storage
 from tripweave.plans.rides import build_rides
-from tripweave.session import ensure_checkpoint_dir, scratch_path
+from tripweave.session import scratch_path
 
 
 def trip_hash_id(raw: DataFrame) -> Column:
@@ -44,7 +45,9 @@ def start_incremental_rides(spark: SparkSession, trips_dir: str, zones: DataFram
                             max_files_per_trigger: int | None = None,
                             available_now: bool = True,
                             schema=None) -> StreamingQuery:
-    """``schema`` (StructType or DDL) fixes the trips' read schema, which
+    """``checkpoint`` defaults to ``<out_dir>_checkpoint``, next to the output and
+    the same in every session; an output whose checkpoint is missing is refused.
+    ``schema`` (StructType or DDL) fixes the trips' read schema, which
     also widens drifted column types per file (see ``read_trips``); by
     default it is taken from the files present at start."""
     if schema is None:
@@ -59,7 +62,11 @@ def start_incremental_rides(spark: SparkSession, trips_dir: str, zones: DataFram
     rides = build_rides(raw, zones, None, mapping=mapping, year=year, trip_window=trip_window,
                         row_id=rid, weather=spark.read.parquet(weather_path))
     rides = rides.withColumn("month", F.date_format("pickup_datetime", "yyyy-MM"))
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/incremental-rides"
+    out_dir = out_dir.rstrip("/")
+    checkpoint = (checkpoint or f"{out_dir}_checkpoint").rstrip("/")
+    if storage.exists(spark, f"{out_dir}/_spark_metadata") and not storage.exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{out_dir} holds a stream's output, but {checkpoint} is not its checkpoint: "
+                         "a new start would take its first batches for committed and lose their trips")
     writer = (rides.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).partitionBy("month"))
     writer = writer.trigger(availableNow=True) if available_now else writer
