@@ -1,8 +1,8 @@
 """N-gram Jaccard join (operator 5): rare-first prefix filtering.
 
 A document is its set of distinct word shingles.  Shingles are ordered from rare
-to frequent by a count over all documents (a table of hashed counters of fixed
-size, summed from all tasks).  Two sets that reach the threshold share one of
+to frequent by a count over all documents (a table of hashed counters, summed
+from all tasks).  Two sets that reach the threshold share one of
 the first ``n - ceil(t n) + 1`` shingles of each, so only these prefixes are
 shuffled: documents meet on a prefix shingle.  Sorted by size within a shingle,
 documents are parted where the next one is too long for the one before (length
