@@ -1,5 +1,9 @@
 """Sources, publishing, backfill and the incremental stream."""
 
+import datetime as dt
+import os
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,7 +57,11 @@ def test_publish_views_and_old_runs(spark, scratch):
     assert spark.table("measures_by_time").filter(F.col("year").isNull()).first()["total_rides"] == first.row_count
     second = store.publish(rides)
     assert store.current_run()["run_id"] == second.run_id
-    assert not storage.exists(spark, first.path)       # superseded run removed
+    assert storage.exists(spark, first.path)           # superseded, but it may have readers
+    store.vacuum(dt.timedelta(0))
+    assert storage.exists(spark, first.path)           # two runs are kept
+    store.vacuum(dt.timedelta(0), keep_runs=1)
+    assert not storage.exists(spark, first.path)
     assert storage.exists(spark, second.path)
     assert "rides_staging" not in [t.name for t in spark.catalog.listTables()]
 
@@ -122,6 +130,7 @@ def test_published_summary_feeds_the_time_and_weather_views(spark, scratch):
     # superseded runs lose their summary too
     first_run = store.current_run()["run_id"]
     store.publish(rides)
+    store.vacuum(dt.timedelta(0), keep_runs=1)
     assert not storage.exists(spark, store.summary_path(first_run))
 
 
@@ -219,19 +228,57 @@ def test_backfill_of_months_without_trips(spark, scratch):
 
 
 def test_vacuum_removes_only_old_unpromoted_runs(spark, scratch):
-    import datetime as dt
     store = RidesStore(spark, scratch("store-vacuum"))
     current = store.publish(R.rides(spark, SF_SMALL))
     lost = store.run_path("20000101T000000-deadbeef")          # a driver died before promoting
-    fresh = store.run_path(new_run_id())                         # a job still writing
+    fresh = store.run_path("20000101T000000-00c0ffee")         # begun long ago, still writing
     spark.range(3).write.parquet(lost)
     spark.range(3).write.parquet(fresh)
+    for f in Path(lost.removeprefix("file:")).rglob("*"):
+        os.utime(f, (0, 0))
     removed = store.vacuum(dt.timedelta(hours=1))
     assert [r.rstrip("/").rsplit("/", 1)[-1] for r in removed] == ["run_id=20000101T000000-deadbeef"]
     assert storage.exists(spark, fresh) and storage.exists(spark, current.path)
     assert not storage.exists(spark, lost)
 
 
+def test_broken_view_leaves_production(spark, scratch):
+    store = RidesStore(spark, scratch("store-broken"))
+    rides = R.rides(spark, SF_SMALL)
+    good = store.publish(rides)
+    with pytest.raises(Exception, match="no_such_column"):
+        store.publish(rides.limit(5), views={"broken": lambda df: df.select("no_such_column")})
+    assert store.current_run()["run_id"] == good.run_id
+    assert store.read_current().count() == good.row_count == spark.table("rides").count()
+    assert len(storage.list_dirs(spark, f"{store.root}/rides")) == 1
+
+
+def test_interrupt_after_promotion_keeps_the_run(spark, scratch, monkeypatch):
+    store = RidesStore(spark, scratch("store-interrupt"))
+    promote = store._promote
+
+    def interrupted(*args):
+        promote(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(store, "_promote", interrupted)
+    with pytest.raises(KeyboardInterrupt):
+        store.publish(R.rides(spark, SF_SMALL))
+    assert store.read_current().count() == store.current_run()["row_count"] > 0
+
+
+def test_two_publishers_and_an_open_reader(spark, scratch):
+    root = scratch("store-two")
+    one, two = RidesStore(spark, root), RidesStore(spark, root, name="others")
+    rides = R.rides(spark, SF_SMALL)
+    first = one.publish(rides)
+    reader = one.read_current()
+    two.publish(rides.limit(7))
+    one.publish(rides.limit(5))
+    assert reader.count() == first.row_count
+    assert (one.read_current().count(), two.read_current().count(), one.ledger().count()) == (5, 7, 3)
+
+
 def test_read_schema_widens_drifted_months(spark, scratch):
     """Monthly files with int32/int64 and float/double for the same column."""
     path = scratch("drift")

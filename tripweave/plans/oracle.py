@@ -288,6 +288,18 @@ SELECT DISTINCT CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS pickup_
        pickup_borough, dropoff_borough
 FROM rides"""
 
+# The published views: the ten of the minute summary, and all of them by name.
+PUBLISHED = ("measures_by_time measures_by_dow measures_by_weather rides_over_time rides_over_day rides_by_weather "
+             "precipitation_vs_rides temperature_vs_rides humidity_vs_rides pickup_dropoff_heatmap").split()
+for _k in [*PUBLISHED[:-1], "avg_rides_per_dow"]:
+    SQL[f"{_k}_from_summary"] = SQL[_k]
+
+SQL["published_views"] = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS view_name, COUNT(*) AS n_rows, CAST({total} AS BIGINT) AS n_rides FROM ({SQL[source]}) x"
+    for name, source, total in [
+        ("rides", "rides_enriched", "NULL"), *((n, n, "SUM(total_rides)") for n in PUBLISHED),
+        *((n, n, "NULL") for n in ("rides_base", "avg_rides_per_dow", "dashboard_filters"))])
+
 SQL["staging_validation"] = BASE + """
 SELECT COUNT(*) AS row_count,
        COUNT(DISTINCT date_trunc('month', pickup_datetime)) AS month_count

@@ -5,14 +5,17 @@ Layout under ``root``::
 
     <root>/<name>/run_id=<id>/            one directory per run (K3), Parquet files
     <root>/<name>_minutely/run_id=<id>/   the run's minute summary (feeds ten views)
-    <root>/_ledger/                       append-only Parquet ledger of promoted runs
+    <root>/_ledger/run=<id>/              one ledger row of a promoted run, Parquet
 
 Publishing writes a new run directory (staging), validates it with one
-aggregation pass, and *promotes* it by appending one ledger row.  Readers
-take the newest promoted run, so they always see one complete run: a failed
-job leaves only an unreferenced directory, which the failure path deletes.
-Promotion copies nothing (the reference copies the staging table); a
-re-pointed read is atomic and costs no I/O at any size.
+aggregation pass, plans every view on it, and *promotes* it by writing one
+ledger row.  Readers take the newest promoted run, so they always see one
+complete run: a failed job leaves only an unreferenced directory, which the
+failure path deletes.  Each ledger row has a folder of its own, so two
+publishers never share an output committer.  Promotion copies nothing (the
+reference copies the staging table); a re-pointed read is atomic and costs no
+I/O at any size.  Superseded runs stay for their open readers until ``vacuum``
+deletes them by age.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 from tripweave.operators.checks import validate_rides
 from tripweave.operators.measures import SUMMARY_VIEWS, VIEWS, minute_summary
 from tripweave.plans import storage
+from tripweave.schemas import BASE_VIEW_COLUMNS
 
 LEDGER_SCHEMA = StructType([
     StructField("table_name", StringType()),
@@ -40,6 +44,14 @@ LEDGER_SCHEMA = StructType([
 ])
 
 
+#: The base view (P9) as SQL text, for a catalog view that copies nothing.
+BASE_VIEW_SQL = {c: f"`{c}`" for c in BASE_VIEW_COLUMNS} | {
+    "pickup_date": "CAST(date_trunc('DAY', pickup_datetime) AS TIMESTAMP_NTZ)",
+    "dow": "dayname(pickup_datetime)",
+    "pickup_hour_of_day": "hour(pickup_datetime)",
+}
+
+
 @dataclass
 class PublishResult:
     run_id: str
@@ -69,12 +81,17 @@ class RidesStore:
     def ledger(self) -> DataFrame:
         if not storage.exists(self.spark, self.ledger_path):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
+        return (self.spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", "true")
+                .parquet(self.ledger_path))
+
+    def _promoted(self) -> DataFrame:
+        """This table's promoted runs, the current one first."""
+        return (self.ledger().filter(F.col("table_name") == self.name)
+                .orderBy(F.col("promoted_at").desc(), F.col("run_id").desc()))
 
     def current_run(self):
         """The newest promoted run of this table (one ledger row) or None."""
-        return (self.ledger().filter(F.col("table_name") == self.name)
-                .orderBy(F.col("promoted_at").desc(), F.col("run_id").desc()).first())
+        return self._promoted().first()
 
     def read_current(self) -> DataFrame:
         """Exactly one run is read, never the parent folder of all runs."""
@@ -96,16 +113,18 @@ class RidesStore:
     def publish(self, df: DataFrame, *, validate: bool = True,
                 max_records_per_file: int = 100_000,
                 views: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                keep_runs: int = 1, summary: bool = True) -> PublishResult:
-        """Stage -> summarise -> validate -> promote -> refresh views -> clean up.
+                summary: bool = True) -> PublishResult:
+        """Stage -> summarise -> validate -> plan views -> promote -> point views.
 
         On any failure before promotion the staged run (table and summary) is
         deleted and the error re-raised; the published table and its views
         are untouched.  The summary is built from the written run, so the
-        trips are not recomputed."""
+        trips are not recomputed.  An interrupt that comes after the ledger
+        row finds the run promoted and leaves it."""
         run_id = new_run_id()
         path, spath = self.run_path(run_id), self.summary_path(run_id)
         staging_view = f"{self.name}_staging"
+        views = VIEWS if views is None else views
         try:
             (df.write.mode("errorifexists")
              .option("maxRecordsPerFile", max_records_per_file).parquet(path))      # K5, K1
@@ -118,82 +137,91 @@ class RidesStore:
                 minute_summary(staged).write.mode("errorifexists").parquet(spath)
                 checked = self.spark.read.parquet(spath)
             counts = validate_rides(checked) if validate else {"row_count": -1, "month_count": -1}
+            planned = _planned(staged, checked if summary else None, views)
             self._promote(run_id, path, counts)                                     # K6
         except BaseException:
             self.spark.catalog.dropTempView(staging_view)                           # K11
-            storage.delete(self.spark, path)
-            storage.delete(self.spark, spath)
+            if self.ledger().filter(F.col("run_id") == run_id).isEmpty():
+                storage.delete(self.spark, path)
+                storage.delete(self.spark, spath)
             raise
         self.spark.catalog.dropTempView(staging_view)                               # K9
-        self.refresh_views(views if views is not None else VIEWS)                   # K8
-        self.remove_old_runs(keep_runs)                                             # K12
+        self._point_views(staged, planned)                                          # K8
         return PublishResult(run_id, path, counts["row_count"], counts["month_count"])
 
     def _promote(self, run_id: str, path: str, counts: dict) -> None:
         row = (self.name, run_id, path, int(counts["row_count"]), int(counts["month_count"]),
                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         self.spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1) \
-            .write.mode("append").parquet(self.ledger_path)
+            .write.parquet(f"{self.ledger_path}/run={run_id}")
+
+    def _point_views(self, table: DataFrame, planned: dict[str, DataFrame]) -> None:
+        table.createOrReplaceTempView(self.name)
+        for view_name, df in planned.items():
+            df.createOrReplaceTempView(view_name)
 
     def refresh_views(self, views: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
-        """(Re)point the table view and every dashboard view at the promoted
-        run; the time and weather views read its minute summary."""
+        """(Re)point the table view and every dashboard view of this session at
+        the promoted run; the time and weather views read its minute summary."""
         table = self.read_current()
-        summary = self.read_current_summary()
-        table.createOrReplaceTempView(self.name)
-        for view_name, builder in views.items():
-            source = summary if summary is not None and view_name in SUMMARY_VIEWS else table
-            builder(source).createOrReplaceTempView(view_name)
+        self._point_views(table, _planned(table, self.read_current_summary(), views))
+
+    def register_views(self, database: str = "default",
+                       views: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> list[str]:
+        """K8: views of the current run in the session catalog, which other
+        sessions read by name.  The table's view points at the run; the results
+        of the dashboard views are written once next to it and their views point
+        there.  Each view changes by one catalog statement, after all results are
+        written; calling it again is harmless."""
+        run = self.current_run()
+        if run is None:
+            raise FileNotFoundError(f"{self.name}: nothing published under {self.root}")
+        table = self.spark.read.parquet(run["path"])
+        planned = _planned(table, self.read_current_summary(), VIEWS if views is None else views)
+        paths = {self.name: run["path"]}
+        for view_name, df in planned.items():
+            if view_name == "rides_base":   # a projection of the table: not copied
+                continue
+            paths[view_name] = f"{self.root}/{self.name}_views/run_id={run['run_id']}/{view_name}"
+            if not storage.exists(self.spark, f"{paths[view_name]}/_SUCCESS"):
+                df.write.mode("overwrite").parquet(paths[view_name])
+        for view_name, path in paths.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view_name}` AS SELECT * FROM parquet.`{path}`")
+        if "rides_base" in planned:
+            base = ", ".join(f"{e} AS `{c}`" for c, e in BASE_VIEW_SQL.items())
+            self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`rides_base` AS "
+                           f"SELECT {base} FROM parquet.`{run['path']}`")
+            paths["rides_base"] = run["path"]
+        return sorted(paths)
 
     def drop_views(self, views=None) -> None:
         for view_name in (views if views is not None else VIEWS):
             self.spark.catalog.dropTempView(view_name)
 
-    def vacuum(self, min_age: dt.timedelta = dt.timedelta(hours=24)) -> list[str]:
-        """Delete run directories (and their summaries) that were never
-        promoted and started more than ``min_age`` ago: what a driver lost
-        between writing and promoting leaves behind.  Younger ones may belong
-        to a job still running and stay."""
-        promoted = {r["run_id"] for r in self.ledger().filter(F.col("table_name") == self.name)
-                    .select("run_id").collect()}
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        removed = []
-        for folder in (f"{self.root}/{self.name}", f"{self.root}/{self.name}_minutely"):
-            for d in storage.list_dirs(self.spark, folder):
-                leaf = d.rstrip("/").rsplit("/", 1)[-1]
-                if not leaf.startswith("run_id="):
-                    continue
-                run_id = leaf[len("run_id="):]
-                started = _run_started(run_id)
-                if run_id not in promoted and started is not None and now - started > min_age:
-                    storage.delete(self.spark, d)
-                    removed.append(d)
-        return removed
-
-    def remove_old_runs(self, keep_runs: int = 1) -> list[str]:
-        """Delete superseded runs: promoted runs older than the newest
-        ``keep_runs``.  Directories never promoted (a job still writing) stay."""
-        promoted = [r["path"] for r in
-                    self.ledger().filter(F.col("table_name") == self.name)
-                    .orderBy(F.col("promoted_at").desc()).select("path").collect()]
-        leaf = lambda p: p.rstrip("/").rsplit("/", 1)[-1]
-        keep = {leaf(p) for p in promoted[:max(keep_runs, 1)]}
-        superseded = {leaf(p) for p in promoted} - keep
+    def vacuum(self, min_age: dt.timedelta = dt.timedelta(hours=24), keep_runs: int = 2) -> list[str]:
+        """Delete run directories (with their summaries and view results) whose
+        newest file is older than ``min_age``: those never promoted, which a
+        driver lost between writing and promoting leaves behind, and those
+        superseded, but for the newest ``keep_runs`` promoted.  Younger ones may
+        belong to a job still writing or have readers, and stay."""
+        folders = [f"{self.root}/{self.name}{kind}" for kind in ("", "_minutely", "_views")]
+        found = [(d, d.rstrip("/").rsplit("/run_id=", 1)[-1]) for folder in folders
+                 for d in storage.list_dirs(self.spark, folder) if "/run_id=" in d]
+        keep = {r["run_id"] for r in self._promoted().limit(max(keep_runs, 1)).select("run_id").collect()}
+        now = dt.datetime.now(dt.timezone.utc)
         removed = []
-        for folder in (f"{self.root}/{self.name}", f"{self.root}/{self.name}_minutely"):
-            for d in storage.list_dirs(self.spark, folder):
-                if leaf(d) in superseded:
-                    storage.delete(self.spark, d)
-                    removed.append(d)
+        for d, run_id in found:
+            changed = storage.last_modified(self.spark, d)
+            if run_id not in keep and now - changed >= min_age:
+                storage.delete(self.spark, d)
+                removed.append(d)
         return removed
 
 
-def _run_started(run_id: str) -> dt.datetime | None:
-    """Start time encoded at the front of a run id (``new_run_id``)."""
-    try:
-        return dt.datetime.strptime(run_id.split("-", 1)[0], "%Y%m%dT%H%M%S")
-    except ValueError:
-        return None
+def _planned(table: DataFrame, summary: DataFrame | None,
+             views: dict[str, Callable[[DataFrame], DataFrame]]) -> dict[str, DataFrame]:
+    """Every view, analysed against the table or its minute summary."""
+    return {n: build(summary if summary is not None and n in SUMMARY_VIEWS else table) for n, build in views.items()}
 
 
 def create_table_if_not_exists(spark: SparkSession, name: str, df: DataFrame, path: str) -> bool:

@@ -117,6 +117,35 @@ def _view(builder):
     return run
 
 
+def _view_from_summary(builder):
+    """The view as it is published: from a written minute summary."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "summary")
+        M.minute_summary(rides(spark, sf_dir)).write.parquet(path)
+        return builder(spark.read.parquet(path))
+    run.__name__ = f"q_{builder.__name__}_from_summary"
+    return run
+
+
+def q_published_views(spark, sf_dir):
+    """K8: every view of a published run, read by name from another session;
+    its number of rows, and of rides where it counts them."""
+    import uuid
+    database = f"published_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'catalog')}'")
+    store = RidesStore(spark, scratch_path(spark, "store"))
+    store.publish(rides(spark, sf_dir))
+    names = store.register_views(database)
+    other, out = spark.newSession(), None
+    _utc(other)
+    for name in names:
+        df = other.table(f"{database}.{name}")
+        total = F.sum("total_rides") if "total_rides" in df.columns else F.lit(None)
+        one = df.agg(F.lit(name).alias("view_name"), F.count("*").alias("n_rows"), total.cast("bigint").alias("n_rides"))
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
 def q_staging_validation(spark, sf_dir):
     return M.staging_counts(rides(spark, sf_dir))
 
@@ -273,6 +302,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rides_typed": q_rides_typed,
     "rides_yellow": q_rides_yellow,
     **{name: _view(builder) for name, builder in M.VIEWS.items()},
+    **{f"{name}_from_summary": _view_from_summary(M.VIEWS[name]) for name in sorted(M.SUMMARY_VIEWS)},
+    "published_views": q_published_views,
     "minute_summary": _view(M.minute_summary),
     "staging_validation": q_staging_validation,
     "join_drop_report": q_join_drop_report,

@@ -102,7 +102,9 @@ def require_inputs(spark: SparkSession, paths: dict[str, str], fmt: dict[str, st
                 spark.read.option("header", "true").csv(path).schema
             else:
                 spark.read.option("recursiveFileLookup", str(name in recursive).lower()).parquet(path).schema
-        except AnalysisException:
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise   # it is there, but something else is wrong with it
             missing.append(f"{name}: {path}")
     if missing:
         raise InputMissingError("missing required inputs: " + "; ".join(missing))
