@@ -24,6 +24,7 @@ are scored each.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from tripweave.llm.common import prepare, record_batch, text_slices
 
@@ -148,16 +149,33 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray, int, int]], start: dict[int, fl
     return Model({int(k): float(w) for k, w in zip(known, best[:-1], strict=True)}, float(best[-1]))
 
 
+def _words(texts: DataFrame) -> DataFrame:
+    """(doc_id, words): the distinct lower-case words of each text, compressed.
+    They take a fraction of the text, and are all that the join with the labels
+    has to shuffle."""
+    out = StructType([texts.schema["doc_id"], StructField("words", BinaryType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [zlib.compress(" ".join(sorted(set(TOKEN.findall(t.as_py().lower()))))
+                                   .encode("utf-8", "surrogatepass"), 1) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words, pa.binary())],
+                                             names=["doc_id", "words"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, out)
+
+
 def _count(labelled: DataFrame) -> tuple[list[tuple[int, int, int]], int, int]:
-    """Documents per feature and label over all rows of (text, toxic): at most
+    """Documents per feature and label over all rows of (words, toxic): at most
     ``BUCKETS`` rows come back.  Bucket -1 counts the documents."""
     schema = pa.schema([("feature", pa.int32()), ("toxic", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, BUCKETS + 1), np.int64)
-        for ys, texts in text_slices(batches, ("toxic",)):
-            for y, text in zip(ys, texts, strict=True):
-                found = {f for w in set(TOKEN.findall(text.lower())) for f in _FEATURES[w]}
+        for batch in batches:
+            for y, packed in zip(batch.column("toxic").to_pylist(), batch.column("words"), strict=True):
+                words = zlib.decompress(packed.as_py()).decode("utf-8", "surrogatepass").split(" ")
+                found = {f for w in words if w for f in _FEATURES[w]}
                 if found:
                     at = np.fromiter(found, np.int64, len(found))
                     for row in totals[1 - (y > 0):]:    # row 0: toxic documents, row 1: all
@@ -167,7 +185,7 @@ def _count(labelled: DataFrame) -> tuple[list[tuple[int, int, int]], int, int]:
         yield record_batch({"feature": np.where(met == BUCKETS, -1, met), "toxic": totals[0][met],
                             "n": totals[1][met]}, schema)
 
-    rows = (labelled.select(F.col("toxic").cast("int"), "text").mapInArrow(run, "feature int, toxic long, n long")
+    rows = (labelled.select(F.col("toxic").cast("int"), "words").mapInArrow(run, "feature int, toxic long, n long")
             .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).collect())
     total = next(((r["toxic"], r["n"]) for r in rows if r["feature"] == -1), (0, 0))
     return [(r["feature"], r["toxic"], r["n"]) for r in rows if r["feature"] >= 0], total[0], total[1] - total[0]
@@ -201,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, max_chars: i
     prepare(docs.sparkSession)
     labels = labels.select("doc_id", "toxic").filter("doc_id is not null and toxic is not null")
     texts = docs.select("doc_id", "text").filter("text is not null")
-    counts, toxic, clean = _count(texts.join(labels, "doc_id").select("toxic", "text"))
+    counts, toxic, clean = _count(_words(texts).join(labels, "doc_id"))
     start = significant(counts, toxic, clean)
     sample = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "toxic").limit(max_docs)
     bags = _bags(texts.filter(F.length("text") <= max_chars).join(F.broadcast(sample), "doc_id")
