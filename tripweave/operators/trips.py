@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,8 @@ def canonical_trips(raw: DataFrame, mapping: str | dict = "hvfhv") -> DataFrame:
 
 def clean_trips(raw: DataFrame, mapping: str | dict = "hvfhv", *,
                 year: int | None = 2024, window: tuple | None = None,
-                row_id: str | Column | None = None) -> DataFrame:
+                row_id: str | Column | None = None,
+                keep: Callable[[DataFrame], Column] | None = None) -> DataFrame:
     """Canonical columns, pickup and drop-off inside the window, a row id
     and the pickup hour.
 
@@ -48,6 +51,9 @@ def clean_trips(raw: DataFrame, mapping: str | dict = "hvfhv", *,
     ``row_id``: a source column (or expression) to use as ``seq``; default is
     ``monotonically_increasing_id()`` like the reference (unique within one
     run, not across runs — D9).
+
+    ``keep`` gives one more condition on the canonical trips.  It is applied
+    before the default row id, which no filter passes on its way to the scan.
     """
     spec = _spec(mapping)
     cols = [_source_expr(raw, spec[name]).alias(name) for name in TRIP_COLUMNS]
@@ -59,6 +65,8 @@ def clean_trips(raw: DataFrame, mapping: str | dict = "hvfhv", *,
         window = (f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00")
     if window is not None:
         trips = trips.filter(year_window(trips, ["pickup_datetime", "dropoff_datetime"], *window))
+    if keep is not None:
+        trips = trips.filter(keep(trips))
     if row_id is None:
         trips = trips.withColumn("seq", F.monotonically_increasing_id())
     return trips.withColumn("pickup_hour", hour_bucket("pickup_datetime"))

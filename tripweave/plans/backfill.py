@@ -93,9 +93,9 @@ def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observ
     years = sorted({month_range(m)[0].year for m in todo})
     window = (f"{years[0]}-01-01 00:00:00", f"{years[-1] + 1}-01-01 00:00:00")
     rides = build_rides(raw_trips, zones, observations, mapping=mapping, trip_window=window,
-                        weather_window=weather_window, row_id=row_id, tie_break=tie_break)
-    rides = (rides.filter(_in_months(rides, todo))
-             .withColumn("month", F.date_format("pickup_datetime", "yyyy-MM")))
+                        weather_window=weather_window, row_id=row_id, tie_break=tie_break,
+                        keep=lambda trips: _in_months(trips, todo))
+    rides = rides.withColumn("month", F.date_format("pickup_datetime", "yyyy-MM"))
     run_id = new_run_id()
     out, sums = (f"{root}/{t}/run_id={run_id}" for t in ("rides", "summary"))
     try:

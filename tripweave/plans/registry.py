@@ -181,8 +181,13 @@ def q_parquet_glob_scan(spark, sf_dir):
 
 
 def q_recursive_scan(spark, sf_dir):
-    """Recursive listing with a file-name pattern."""
-    path = _raw_files(spark, sf_dir)
+    """Files in plain ``yyyy/mm`` folders, one level apart, with text
+    files among them: neither a flat listing nor one without the pattern reads it."""
+    raw, _, _ = inputs(spark, sf_dir)
+    path, late = scratch_path(spark, "nested-trips"), F.dayofmonth("pickup_datetime") > 15
+    raw.filter(~late).write.parquet(f"{path}/2024/01")
+    raw.filter(late).write.parquet(f"{path}/2024/01/late")
+    raw.select(F.col("hvfhs_license_num")).write.text(f"{path}/2024/notes")
     raw = read_trips(spark, path, recursive=True, glob_filter="*.parquet")
     return clean_trips(raw, "hvfhv", row_id="trip_id")
 

@@ -9,7 +9,7 @@ observation per hour.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import datetime as dt
 
@@ -29,13 +29,14 @@ def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame
                 row_id: str | Column | None = None, tie_break: Sequence[str] = (),
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                 weather: DataFrame | None = None,
+                keep: Callable[[DataFrame], Column] | None = None,
                 blank_condition_as_null: bool = False) -> DataFrame:
     """``weather``: already cleaned weather (``clean_weather`` output, one row
     per hour) to use instead of cleaning ``observations`` here, e.g. a copy
-    written once for many stream batches."""
+    written once for many stream batches.  ``keep``: see ``clean_trips``."""
     if trip_window is None and year is not None:
         trip_window = (f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00")
-    trips = clean_trips(raw_trips, mapping, year=None, window=trip_window, row_id=row_id)
+    trips = clean_trips(raw_trips, mapping, year=None, window=trip_window, row_id=row_id, keep=keep)
     zoned = with_zones(trips, zones, max_broadcast_rows=max_broadcast_rows)
     if weather is None:
         weather = clean_weather(observations, window=weather_window, tie_break=tie_break,

@@ -98,7 +98,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 def zones_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Zone lookup as text columns, like the CSV."""
-    return (nation.join(F.broadcast(region), nation["n_regionkey"] == region["r_regionkey"])
+    return (nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
             .select(F.col("n_nationkey").cast("string").alias("LocationID"),
                     F.col("r_name").alias("Borough"),
                     F.col("n_name").alias("Zone")))
