@@ -6,7 +6,10 @@ from all tasks).  Two sets that reach the threshold share one of
 the first ``n - ceil(t n) + 1`` shingles of each, so only these prefixes are
 shuffled: documents meet on a prefix shingle.  Sorted by size within a shingle,
 documents are parted where the next one is too long for the one before (length
-filter); those that stay together form families.
+filter).  Prefixes are longer by ``n // EXTRA``: the first ``k`` shingles that two
+linked sets share lie in prefixes longer by ``k - 1``, so a document that meets
+others on fewer shingles than its smallest partner would force is out, as one
+is that shares a chance shingle.  The rest form families.
 
 Each family is verified in cells.  A cell joins the documents of two tiles of a
 family (small families: one cell) by their prefixes, with the length, positional
@@ -27,6 +30,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -46,6 +50,8 @@ FILTER_BITS = 22
 #: Shingles of a tile, and tiles of a family that is joined as a whole.
 TILE = 20_000
 MAX_TILES = 64
+#: Prefixes are longer by one shingle for so many shingles of a set.
+EXTRA = 50
 
 
 class WordHash(dict):
@@ -98,14 +104,15 @@ def _summed(rows: DataFrame, counters: Callable[[pa.RecordBatch], np.ndarray], s
         while len(met := np.flatnonzero(blocks.any(axis=1))):   # 255 at a time: a byte a counter
             part = np.minimum(blocks[met], 255)
             blocks[met] -= part
-            yield record_batch({"block": met, "counts": [r.astype(np.uint8).tobytes() for r in part]}, schema)
+            # mostly zeros and ones: a quarter of a byte a counter
+            yield record_batch({"block": met, "counts": [zlib.compress(r.astype(np.uint8), 1) for r in part]}, schema)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
                 total = totals.setdefault(block, np.zeros(BLOCK, np.int64))
-                total += np.frombuffer(counts.as_buffer(), np.uint8)
+                total += np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint8)
         for block, total in totals.items():
             yield record_batch({"block": [block], "counts": [finish(total).astype(np.uint8).tobytes()]}, schema)
 
@@ -157,6 +164,12 @@ def prefix_length(n: int, pct: int) -> int:
     return n - -(-n * pct // 100) + 1
 
 
+def must_meet(n: Column, pct: int) -> Column:
+    """Shared shingles that a set of ``n`` has in its longer prefix if it has a
+    link: a partner has at least ``ceil(t n)`` shingles, and so has the overlap."""
+    return 1 + F.floor(F.ceil(n * pct / 100) / EXTRA)
+
+
 def rare_first(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return h[np.lexsort((h, levels[slot(h, len(levels))]))]
 
@@ -178,7 +191,7 @@ def _prefixes(docs: DataFrame, levels, width: int, pct: int) -> DataFrame:
                 tokens: list = []
                 if len(h) and (s1, s2) not in met and doc_id is not None:
                     met.add((s1, s2))
-                    tokens = rare_first(h, table)[:prefix_length(len(h), pct)].view(np.int64)
+                    tokens = rare_first(h, table)[:prefix_length(len(h), pct) + len(h) // EXTRA].view(np.int64)
                 rows.append((doc_id, len(h), s1, s2, tokens))
             yield record_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
 
@@ -262,7 +275,7 @@ def _cell_links(ids: np.ndarray, tiles: np.ndarray, sets: list[np.ndarray], acro
 
 def _verify(groups: DataFrame, docs: DataFrame, width: int, pct: int, every: bool) -> DataFrame:
     """(a, b) links between documents that share a ``key`` in groups (key, doc_id, n)."""
-    sizes = groups.groupBy("key").agg(F.sum("n").alias("total")).select(
+    sizes = groups.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).filter("docs > 1").select(
         "key", F.ceil(F.col("total") / TILE).cast("int").alias("tiles"))
     dealt = (groups.join(sizes, "key")
              .withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
@@ -319,12 +332,17 @@ def join(docs: DataFrame, threshold_pct: int = 80, width: int = 5, every: bool =
            .filter(~(F.col("opens") & F.col("closes"))).select("token", "leader", "doc_id", "n"))
     shared = written(met, "shared")
     discard(sets)
-    family = components(shared.select("leader", "doc_id").distinct()).toDF("doc_id", "family")
-    ids = shared.select("doc_id", "n").distinct().join(family, "doc_id")
-    totals = ids.groupBy("family").agg(F.sum("n").alias("total"))
+    chains = written(shared.groupBy("leader", "doc_id", "n").agg(F.count("*").alias("met")), "chains")
+    ids = chains.groupBy("doc_id", "n").agg(F.sum("met").alias("met")).filter(
+        F.col("met") >= must_meet(F.col("n"), threshold_pct)).select("doc_id", "n")
+    family = components(chains.join(ids, ["doc_id", "n"], "left_semi").select("leader", "doc_id").distinct()).toDF(
+        "doc_id", "family")
+    members = written(ids.join(family, "doc_id"), "members")
+    totals = members.groupBy("family").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).filter("docs > 1")
     wide = totals.filter(F.col("total") > TILE * MAX_TILES).select("family")
-    whole = ids.join(wide, "family", "left_anti").select(F.col("family").alias("key"), "doc_id", "n")
-    by_token = (shared.join(ids.join(wide, "family", "left_semi").select("doc_id"), "doc_id", "left_semi")
+    whole = (members.join(totals.filter(F.col("total") <= TILE * MAX_TILES), "family", "left_semi")
+             .select(F.col("family").alias("key"), "doc_id", "n"))
+    by_token = (shared.join(members.join(wide, "family", "left_semi").select("doc_id", "n"), ["doc_id", "n"], "left_semi")
                 .select(F.xxhash64("token", "leader").alias("key"), "doc_id", "n").distinct())
     found = _verify(whole, docs, width, threshold_pct, every)
     if wide.limit(1).count():
