@@ -16,6 +16,7 @@ from tripweave.operators import measures as M
 from tripweave.operators.checks import assert_one_per_hour
 from tripweave.operators.trips import clean_trips
 from tripweave.plans import registry as R
+from tripweave.plans.backfill import _in_months
 from tripweave.plans.publish import RidesStore
 from tripweave.plans.rides import build_rides
 from tripweave.sources import read_trips
@@ -194,3 +195,15 @@ def test_zone_roles_use_one_lookup(spark):
     assert bad == 0
     assert enrich(zoned, clean_weather(R.inputs(spark, SF_SMALL)[2], tie_break=["station_seq"])).count() \
         <= zoned.count()
+
+
+def test_month_ranges_reach_the_scan_without_a_row_id(spark):
+    """The default row id stops filters; the months are applied before it."""
+    raw, zones, obs = R.inputs(spark, SF_SMALL)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        plan = _plan(build_rides(raw, zones, obs, keep=lambda t: _in_months(t, ["2024-02", "2024-05"])), "simple")
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [line.split("PushedFilters")[1] for line in plan.splitlines() if "PushedFilters" in line]
+    assert any("2024-02-01" in p and "2024-06-01" in p for p in pushed)
