@@ -406,6 +406,38 @@ def test_toxicity_locates_the_sentence(spark):
     assert {o["toxicity"] for o in rows(toxicity.score(d, untrained))} == {0.0}
 
 
+def rare_toxicity(documents, toxic, seed=6):
+    """(doc_id, text) in which each of the ``toxic`` ids has a sentence of two bad words."""
+    r = random.Random(seed)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "tu") for b in ("ra", "ne", "so", "pi", "vu")]
+    docs = []
+    for i in range(documents):
+        s = [" ".join(r.choice(words) for _ in range(8)) for _ in range(4)]
+        if i in toxic:
+            s[r.randrange(4)] += " vilegrub nastything"
+        docs.append((i, ". ".join(s) + "."))
+    return docs
+
+
+def test_toxicity_of_rare_labels_and_missing_documents(spark):
+    toxic = set(range(0, 3000, 150))     # 20 of 3,000 documents
+    docs = spark.createDataFrame(rare_toxicity(3000, toxic), "doc_id long, text string")
+    # nine labels of ten, toxic ones too, have no document
+    labels = spark.createDataFrame([(i, int(i in toxic or i % 2 and i >= 3000)) for i in range(30_000)],
+                                   "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_docs=60)   # 0.4 toxic ones in 60 of 3,000 labels
+    assert {o["doc_id"] for o in rows(toxicity.score(docs, model)) if o["toxicity"] >= 0.7} == toxic
+
+
+def test_toxicity_without_a_bag_of_one_label_has_the_counted_weights(spark):
+    toxic = set(range(0, 600, 30))
+    texts = [(i, t * (40 if i in toxic else 1)) for i, t in rare_toxicity(600, toxic)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(600)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_chars=1000)   # every toxic text is longer
+    assert {o["doc_id"] for o in rows(toxicity.score(docs, model)) if o["toxicity"] >= 0.7} == toxic
+
+
 def test_license_scan_odd_rows(spark, texts):
     notice = license_scan.NOTICES["MIT"]
     data = ODD + [(30, "lorem ipsum " * 200 + notice + " dolor " * 300), (31, notice.upper()), (32, "released under the"), (31, notice.upper())]

@@ -11,14 +11,18 @@ Training has two passes.  The first counts, over all labelled texts, in how many
 documents of each label a feature occurs; only features whose share of toxic
 documents differs significantly from the common share are kept, so a rare word
 is not learnt by heart.  The second fits weights to the bags of at most
-``max_docs`` labelled documents of at most ``max_chars`` characters (the lowest
-hashes of doc_id, both are parameters); only kept features come to the driver.
-Scoring goes over all texts.
+``max_docs`` labelled documents that have a word and at most ``max_chars``
+characters (the lowest hashes of doc_id, both are parameters): half of them of
+each label, or more of one if the other has fewer; only kept features come to
+the driver.  A bag weighs as much as its label's counted documents for
+each one taken, so the loss is that of the counted shares.  If no bag of one
+label can be taken, the weights are the counted log odds.  Scoring goes over all
+texts.
 
 Rows: null, empty and word-less texts are bags with no sentence and score 0; a
 label that is null, or whose document is missing, teaches nothing; a null doc_id
-is not held out; without labels of both kinds every score is 0; repeated rows
-are scored each.
+is not held out; without labels of both kinds, or a feature that tells them
+apart, every score is 0; repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -34,11 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
-from tripweave.llm.common import prepare, record_batch, text_slices
+from tripweave.llm.common import prepare, record_batch, text_slices, written
 
 BUCKETS = 1 << 18
 SENTENCE = re.compile(r"[^.!?\n]+")
 TOKEN = re.compile(r"[^\W\d_]+")
+#: A character of a TOKEN, as Spark's patterns have it.
+TOKEN_CHAR = r"[\p{L}\p{Nl}\p{No}]"
+#: Bias of a sentence before the fit.
+BIAS = -6.0
 
 
 class Features(dict):
@@ -115,34 +123,40 @@ def significant(counts: list[tuple[int, int, int]], toxic: int, clean: int,
     return {int(a): max(float(b), 0.0) / 2 for a, b in zip(f[keep], odds[keep], strict=True)}
 
 
-def fit(bags: list[tuple[np.ndarray, np.ndarray, int, int]], start: dict[int, float], epochs: int = 200,
-        rate: float = 0.1, shrink: float = 1e-5) -> Model:
-    """Bags of (feature, its sentence, sentences, label).  Adam steps: their
+def fit(bags: list[tuple[np.ndarray, np.ndarray, int, int]], start: dict[int, float], toxic: int | None = None,
+        clean: int | None = None, epochs: int = 200, rate: float = 0.1, shrink: float = 1e-5) -> Model:
+    """Bags of (feature, its sentence, sentences, label), taken of ``toxic`` and
+    ``clean`` documents (default: these are all).  Adam steps: their
     size does not depend on how many features a sentence has, so the descent is
     as steady for large training sets; the weights of the least loss are kept."""
+    if not start:
+        return Model({}, 0.0, trained=False)
     bags = [b for b in bags if b[2]]
     labels = np.array([y for *_, y in bags], np.float64)
-    if not start or not 0 < labels.sum() < len(labels):
-        return Model({}, 0.0, trained=False)
+    taken = labels.sum(), len(labels) - labels.sum()
+    if not all(taken):
+        return Model(start, BIAS)
+    of = (taken[0] if toxic is None else toxic, taken[1] if clean is None else clean)
+    share = np.where(labels > 0, of[0] / sum(of) / taken[0], of[1] / sum(of) / taken[1])   # sums to 1
     sizes = np.array([n for _, _, n, _ in bags])
     base = np.cumsum(sizes) - sizes
     known = np.array(sorted(start))
     feature = np.searchsorted(known, np.concatenate([b[0] for b in bags]))
     sentence = np.concatenate([b[1] + o for b, o in zip(bags, base, strict=True)])
     doc = np.repeat(np.arange(len(bags)), sizes)
-    theta = np.append([start[int(k)] for k in known], -6.0)
+    theta = np.append([start[int(k)] for k in known], BIAS)
     best, least = theta, np.inf
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, epochs + 1):
         p = _sigmoid(np.bincount(sentence, theta[feature], len(doc)) + theta[-1])
         clear = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(bags))   # log of no offence
         bag = np.clip(-np.expm1(clear), 1e-9, 1 - 1e-9)
-        loss = -np.where(labels > 0, np.log(bag), clear).mean() + shrink / 2 * (theta[:-1] ** 2).sum()
+        loss = -(share * np.where(labels > 0, np.log(bag), clear)).sum() + shrink / 2 * (theta[:-1] ** 2).sum()
         if loss < least:
             best, least = theta, loss
         # slope of the loss in a sentence's logit: p in clean bags, -p (1 - bag) / bag in toxic ones
-        slope = p * np.where(labels > 0, -(1 - bag) / bag, 1.0)[doc]
-        grad = np.append(np.bincount(feature, slope[sentence], len(known)), slope.sum()) / len(bags)
+        slope = p * (share * np.where(labels > 0, -(1 - bag) / bag, 1.0))[doc]
+        grad = np.append(np.bincount(feature, slope[sentence], len(known)), slope.sum())
         grad[:-1] += shrink * theta[:-1]
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
         theta = theta - rate * (mean / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.99**t)) + 1e-8)
@@ -221,10 +235,20 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 6000, max_chars: i
     texts = docs.select("doc_id", "text").filter("text is not null")
     counts, toxic, clean = _count(_words(texts).join(labels, "doc_id"))
     start = significant(counts, toxic, clean)
-    sample = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "toxic").limit(max_docs)
-    bags = _bags(texts.filter(F.length("text") <= max_chars).join(F.broadcast(sample), "doc_id")
-                 .select(F.col("toxic").cast("int").alias("toxic"), "h", "text"), set(start))
-    return fit(bags[:max_docs], start)
+    if not start:
+        return fit([], start)
+    usable = texts.filter(F.length("text") <= max_chars)
+    # ids only: labels whose document can be a bag
+    known = written(labels.withColumn("toxic", (F.col("toxic").cast("int") > 0).cast("int")).join(
+        usable.filter(F.col("text").rlike(TOKEN_CHAR)).select("doc_id"), "doc_id", "left_semi")
+        .withColumn("h", F.xxhash64("doc_id")), "labelled")
+    have = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    half = max_docs // 2
+    most = {1: max(half, max_docs - have.get(0, 0)), 0: max(max_docs - half, max_docs - have.get(1, 0))}
+    lowest = [known.filter(F.col("toxic") == y).orderBy("h").limit(most[y]) for y in (1, 0)]
+    bags = _bags(usable.join(F.broadcast(lowest[0].union(lowest[1])), "doc_id").select("toxic", "h", "text"), set(start))
+    # a repeated doc_id has several bags
+    return fit([b for y in (1, 0) for b in [b for b in bags if b[3] == y][:most[y]]], start, toxic, clean)
 
 
 def score(docs: DataFrame, model: Model, located_at: float = 0.5) -> DataFrame:
