@@ -2,6 +2,7 @@
 rows, empty tables, clashing column names; planted pairs and clusters."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -455,3 +456,31 @@ def test_license_scan_finds_a_notice_wherever_it_stands(spark, texts, offset):
             for k, notice in enumerate(license_scan.NOTICES.values())]
     got = {r["doc_id"] for r in rows(license_scan.scan(texts(docs)))}
     assert got == set(range(len(docs)))
+
+
+def test_license_scan_of_whole_and_edited_texts_equals_brute_force(spark, texts):
+    def grams(text):
+        w = re.findall(r"[^\W_]+", text.lower())
+        return {tuple(w[k:k + 3]) for k in range(len(w) - 2)}
+
+    r = random.Random(8)
+    held = license_scan.default_templates()
+    docs = []
+    for name in sorted(held):
+        for every in (0, 60, 25, 14, 9):    # a word in so many is another
+            w = held[name].split()
+            w = [f"edit{r.randrange(99)}" if every and r.random() < 1 / every else x for x in w]
+            docs.append((len(docs), "zero one two three. " * r.randrange(9) + " ".join(w) + " and more of it" * 5))
+    want = {(i, k) for i, t in docs for own in [grams(t)] for k, x in held.items()
+            for g in [grams(x)] if 100 * len(g & own) >= 80 * len(g)}
+    got = [(r["doc_id"], r["license_id"]) for r in rows(license_scan.scan(texts(docs)))]
+    assert len(got) == len(set(got)) and set(got) == want
+    found = {k.partition("/")[0] for _, k in got}
+    assert {"MIT", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0", "ISC", "CC0-1.0", "CC-BY-SA-4.0", "Unlicense"} <= found
+    assert {(i, k) for i, (k, e) in enumerate((k, e) for k in sorted(held) for e in range(5)) if e == 0} <= set(got)
+
+
+def test_license_scan_refuses_too_many_grams(spark, texts, monkeypatch):
+    monkeypatch.setattr(license_scan, "MAX_GRAMS", 100)
+    with pytest.raises(ValueError, match="100 3-grams"):
+        license_scan.scan(texts([]))

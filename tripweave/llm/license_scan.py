@@ -1,20 +1,18 @@
 """License scans (operator 3), DataFrame functions only.
 
-A text is lower-cased and cut into words (letters and digits), words into
-overlapping windows, and each window has a MinHash signature over its word
-3-grams.  Every hash is a band of its own, so a window whose 3-grams have a
-Jaccard similarity of s with a template window is retrieved with probability
-1 - (1 - s) ** BANDS: 0.999 at 0.5, 0.9999999 at 0.8.  Windows move by
-``STRIDE`` words and the windows of a template stand at each word, so some
-window lies wholly inside a longer template and equals one of its windows, and
-some window holds the whole of a template of three 3-grams (s = 0.5).  A
-retrieved template is verified by the exact share of its 3-grams that the
-document holds (containment).
-
-Templates are a table (license_id, text); the default has the notices below.
-Their bands are broadcast, with a checked bound on the number of templates.  A
-document's windows stay in its row until one of their values is a template's, so
-only retrieved windows become rows, and only they are shuffled.
+A text is lower-cased and cut into words (letters and digits) and these into
+3-grams.  A document holds a template if it holds ``containment_pct`` percent of
+its distinct 3-grams.  Such a document misses at most ``n - need`` of them, so it
+holds one of any ``n - need + 1``: these, the template's longest 3-grams
+in letters (rare in other texts), are its index.  A document that holds one is
+retrieved, so none is missed, and verified by the exact share of the template's
+3-grams that it holds.
+
+Templates are a table (license_id, text); the default has the notices and headers
+below and the whole texts in ``licenses/``.  Index and 3-grams are broadcast,
+with checked bounds on the number of templates and of their 3-grams.  A document
+is looked up within its row, so only retrieved templates become rows, and only
+verified ones are shuffled.
 
 Rows: null and empty texts, and those without a 3-gram, match nothing; null or
 empty templates are ignored; repeated rows are matched each; a null doc_id is
@@ -23,6 +21,9 @@ reported as null; extra columns are ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,79 +38,142 @@ NOTICES = {
            "that the following conditions are met.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+#: Standard headers and statements, by licence; they name their version themselves.
+_GNU = (" This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} for more details. "
+        "You should have received a copy of the GNU {0} along with this {1}")
+_FSF = "it under the terms of the GNU {0} as published by the Free Software Foundation{1}"
+_LATER = ", either version {} of the License, or (at your option) any later version."
+_OLD = "; either version {} of the License, or (at your option) any later version."
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_FREE = "This {} is free software: you can redistribute it and/or modify "
+HEADERS = {
+    "GPL-2.0": _FREE.format("program").replace(":", ";") + _FSF.format(_GPL, _OLD.format(2)) + _GNU.format(_GPL, "program"),
+    "GPL-2.0-only": _FREE.format("program").replace(":", ";") + _FSF.format(_GPL, "; version 2 of the License.")
+                    + _GNU.format(_GPL, "program"),
+    "GPL-3.0": _FREE.format("program") + _FSF.format(_GPL, _LATER.format(3)) + _GNU.format(_GPL, "program"),
+    "LGPL-2.1": _FREE.format("library").replace(":", ";") + _FSF.format(_LGPL, _OLD.format("2.1"))
+                + _GNU.format(_LGPL, "library").replace("program", "library"),
+    "LGPL-3.0": _FREE.format("program") + _FSF.format(_LGPL, _LATER.format(3)) + _GNU.format(_LGPL, "program"),
+    "AGPL-3.0": _FREE.format("program") + _FSF.format(_AGPL, _LATER.format(3)) + _GNU.format(_AGPL, "program"),
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+                  "compliance with the License. You may obtain a copy of the License at "
+                  "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+                  "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
+                  "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+                  "permissions and limitations under the License.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
+               "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+               "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy "
+               "at https://www.boost.org/LICENSE_1_0.txt)",
+    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "MIT": "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-SA-3.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                       "International License.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights "
+               "to this work.",
+}
+#: Whole texts, a file each.
+TEXTS = Path(__file__).with_name("licenses")
 GRAM = 3
-WINDOW = 8           # words
-STRIDE = 3
-BANDS = 10           # one hash each
 MAX_TEMPLATES = 10_000
+#: Distinct 3-grams of all templates.
+MAX_GRAMS = 1_000_000
+
+
+def default_templates() -> dict[str, str]:
+    """Notices by the identifier of their licence, headers and whole texts by
+    that and their kind."""
+    return (NOTICES | {f"{k}/header": t for k, t in HEADERS.items()}
+            | {f"{p.stem}/text": p.read_text("utf-8") for p in sorted(TEXTS.glob("*.txt"))})
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(NOTICES.items()), "license_id string, text string")
+    return spark.createDataFrame(list(default_templates().items()), "license_id string, text string")
 
 
 def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def gram_hashes(text: Column) -> Column:
-    """64-bit hashes of the word 3-grams of a text, in order."""
+def _grams(text: Column, of, kind: str) -> Column:
+    """``of`` the words of each word 3-gram of a text, in order."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return _let(words, lambda w: F.when(F.size(w) < GRAM, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.size(w) - GRAM),
-                    lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(GRAM)]))))
+    return _let(words, lambda w: F.when(F.size(w) < GRAM, F.array().cast(f"array<{kind}>")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.size(w) - GRAM), lambda i: of([F.get(w, i + k) for k in range(GRAM)]))))
 
 
-def window_bands(grams: Column, stride: int, window: int = WINDOW) -> Column:
-    """For each band the values of the windows: the least of one hash of their 3-grams."""
-    span = window - GRAM + 1   # 3-grams of a window
-    # the last window may be short: places up to the one that reaches the end
-    places = F.sequence(F.lit(0), F.ceil(F.greatest(F.size(grams) - span, F.lit(0)) / stride).cast("int"))
+def gram_hashes(text: Column) -> Column:
+    """64-bit hashes of the word 3-grams of a text, in order."""
+    return _grams(text, lambda words: F.xxhash64(*words), "bigint")
 
-    def least(b: int) -> Column:
-        return _let(F.transform(grams, lambda g: F.xxhash64(g, F.lit(b))), lambda h: F.transform(
-            places, lambda p: F.array_min(F.slice(h, p * stride + 1, span))))
 
-    return F.array(*[least(b) for b in range(BANDS)])
+def _index(grams: list[list[tuple[int, int]]], containment_pct: int) -> tuple[int, list[int], list[int], list[int]]:
+    """(bits, starts, hashes, templates): entries of each template's index grams, in
+    buckets by their highest ``bits``; of (hash, letters) of each template."""
+    entries = []
+    for k, own in enumerate(grams):
+        need = max(-(-containment_pct * len(own) // 100), 1)
+        longest = sorted(own, key=lambda g: (-g[1], g[0]))
+        entries += [(h, k) for h, _ in longest[:max(len(own) - need, 0) + 1]]
+    bits = max((4 * len(entries)).bit_length(), 4)
+    hashes = np.array([h for h, _ in entries], np.int64)
+    bucket = (hashes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    starts = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
+    return bits, starts.tolist(), hashes[order].tolist(), [entries[i][1] for i in order]
 
 
 def scan(docs: DataFrame, texts: DataFrame | None = None, containment_pct: int = 80) -> DataFrame:
     """(doc_id, license_id, first_word, shared, template_grams, containment) of
     every template a document holds to ``containment_pct`` percent or more;
-    ``first_word`` is the start of the first window that retrieved it."""
+    ``first_word`` is the place of the first 3-gram that retrieved it."""
     spark = docs.sparkSession
     texts = templates(spark) if texts is None else texts
-    known = (texts.select("license_id", gram_hashes(F.col("text")).alias("g")).filter(F.size("g") > 0)
-             .select("license_id", F.array_distinct("g").alias("t_grams"), "g").limit(MAX_TEMPLATES + 1))
-    if known.count() > MAX_TEMPLATES:
-        raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    bands = known.select("license_id", "t_grams", window_bands(F.col("g"), 1).alias("bands"))
-    wanted = (bands.select("license_id", "t_grams", F.posexplode("bands").alias("band", "values"))
-              .select("license_id", "t_grams", "band", F.explode("values").alias("value")).distinct())
-    # one row: the values of all templates in each band
-    values = bands.agg(*[F.flatten(F.collect_set(F.col("bands")[b])).alias(f"t{b}") for b in range(BANDS)]).select(
-        F.array(*[f"t{b}" for b in range(BANDS)]).alias("wanted"))
+    letters = _grams(F.col("text"), lambda w: F.struct(F.xxhash64(*w).alias("h"), F.length(F.concat(*w)).alias("n")),
+                     "struct<h:bigint,n:int>")
+    known = texts.select("license_id", F.array_distinct(letters).alias("g")).filter(F.size("g") > 0).limit(MAX_TEMPLATES + 1)
+    n, total = known.agg(F.count("*"), F.sum(F.size("g"))).first()
+    if n > MAX_TEMPLATES or (total or 0) > MAX_GRAMS:
+        raise ValueError(f"more than {MAX_TEMPLATES} templates, or {MAX_GRAMS} 3-grams in them")
+    found = known.collect()     # bounded just above
+    bits, *index = _index([[tuple(g) for g in r["g"]] for r in found], containment_pct)
+    wanted = spark.createDataFrame([tuple(index)], "starts array<int>, hashes array<bigint>, of array<int>")
+    grams_of = spark.createDataFrame([(k, r["license_id"], [g["h"] for g in r["g"]]) for k, r in enumerate(found)],
+                                     f"template int, license_id {known.schema['license_id'].dataType.simpleString()}, "
+                                     "t_grams array<bigint>")
 
     def retrieved(grams: Column) -> Column:
-        """(band, value, place) of the windows with a template's value."""
-        def of(mins: Column, b: Column) -> Column:
-            some = F.get("wanted", b)
-            return F.when(F.arrays_overlap(mins, some), F.filter(
-                F.transform(mins, lambda v, i: F.struct(b.alias("band"), v.alias("value"), (i * STRIDE).alias("place"))),
-                lambda h: F.array_contains(some, h["value"]))).otherwise(F.array())
-
-        return F.when(F.size(grams) == 0, F.array()).otherwise(
-            F.flatten(F.transform(window_bands(grams, STRIDE), of)))
+        """(template, place) of each template one of whose index grams is in
+        ``grams``, with the first place of such a gram."""
+        bucket = lambda g: F.shiftrightunsigned(g, 64 - bits).cast("int")
+        start = lambda g, k: F.get("starts", bucket(g) + k)
+        occupied = F.filter(F.sequence(F.lit(0), F.size(grams) - 1),
+                            lambda i: start(F.get(grams, i), 1) > start(F.get(grams, i), 0))
+        hits = F.flatten(F.transform(occupied, lambda i: F.transform(
+            F.filter(F.sequence(start(F.get(grams, i), 0), start(F.get(grams, i), 1) - 1),
+                     lambda j: F.get("hashes", j) == F.get(grams, i)),
+            lambda j: F.struct(F.get("of", j).alias("template"), i.alias("place")))))
+        first = _let(hits, lambda hs: F.transform(
+            F.array_distinct(F.transform(hs, lambda h: h["template"])),
+            lambda t: F.element_at(F.filter(hs, lambda h: h["template"] == t), 1)))
+        return F.when(F.size(grams) == 0, F.array()).otherwise(first)
 
     shared = F.size(F.array_intersect("t_grams", "grams"))
     # one expression per text, evaluated once: no filter stands above it that
     # could be pushed down as a copy of it, hence the outer explode
-    found = _let(gram_hashes(F.col("text")), lambda g: F.struct(g.alias("grams"), retrieved(g).alias("hits")))
-    return (docs.select("doc_id", "text").crossJoin(F.broadcast(values)).select("doc_id", found.alias("x"))
+    looked_up = _let(gram_hashes(F.col("text")), lambda g: F.struct(g.alias("grams"), retrieved(g).alias("hits")))
+    return (docs.select("doc_id", "text").crossJoin(F.broadcast(wanted)).select("doc_id", looked_up.alias("x"))
             .select("doc_id", "x.grams", F.explode_outer("x.hits").alias("h"))
-            .select("doc_id", "grams", F.col("h.band").alias("band"), F.col("h.value").alias("value"),
-                    F.col("h.place").alias("place"))
-            .join(F.broadcast(wanted), ["band", "value"])
+            .select("doc_id", "grams", F.col("h.template").alias("template"), F.col("h.place").alias("place"))
+            .join(F.broadcast(grams_of), "template")
             .select("doc_id", "license_id", "place", shared.alias("shared"), F.size("t_grams").alias("template_grams"))
             .filter(100 * F.col("shared") >= containment_pct * F.col("template_grams"))
             .groupBy("doc_id", "license_id", "shared", "template_grams").agg(F.min("place").alias("first_word"))
