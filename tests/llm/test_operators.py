@@ -484,3 +484,10 @@ def test_license_scan_refuses_too_many_grams(spark, texts, monkeypatch):
     monkeypatch.setattr(license_scan, "MAX_GRAMS", 100)
     with pytest.raises(ValueError, match="100 3-grams"):
         license_scan.scan(texts([]))
+
+
+def test_license_scan_misses_no_short_notice(spark, texts):
+    notice = license_scan.NOTICES["MIT"]
+    docs = [(i, f"a{i} b{i} c{i} {notice} d{i} e{i} f{i}") for i in range(12_000)]   # a miss in 1,000 would show
+    got = {r["doc_id"] for r in rows(license_scan.scan(texts(docs))) if r["license_id"] == "MIT"}
+    assert got == set(range(12_000))
