@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (best_fit, bpe_codec, chat_format, embed_dedup, host_rules, language_id, license_scan,
-                           ngram_join, token_files, toxicity)
+                           ngram_join, prefix_trie, token_files, toxicity)
 from tripweave.llm.common import read_table, remainder
 
 
@@ -68,11 +68,16 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.dedup(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.positions(rows)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (op1_quality_rules, op2_language_id, op3_license_scan, op4_bpe_codec, op5_ngram_jaccard, op6_chat_format,
-           op7_best_fit_packing, op8_token_files, op9_toxicity, op10_embedding_dedup)
+           op7_best_fit_packing, op8_token_files, op9_toxicity, op10_embedding_dedup, op13_prefix_trie)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
