@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (best_fit, bpe_codec, chat_format, embed_dedup, host_rules, language_id, license_scan,
-                           ngram_join, prefix_trie, token_files, toxicity)
+                           ngram_join, prefix_trie, ranked_search, token_files, toxicity)
 from tripweave.llm.common import read_table, remainder
 
 
@@ -68,6 +68,11 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.dedup(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return ranked_search.search(index, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.positions(rows)))
@@ -77,7 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (op1_quality_rules, op2_language_id, op3_license_scan, op4_bpe_codec, op5_ngram_jaccard, op6_chat_format,
-           op7_best_fit_packing, op8_token_files, op9_toxicity, op10_embedding_dedup, op13_prefix_trie)
+           op7_best_fit_packing, op8_token_files, op9_toxicity, op10_embedding_dedup, op11_ranked_search, op13_prefix_trie)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -123,5 +128,33 @@ FROM failed LEFT JOIN hosts USING (source)
 """
 
 
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+sized AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM docs WHERE len(w) > 0),
+total AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM sized),
+posts AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS t FROM sized) x GROUP BY r, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2 * count(*) + 1))) AS BIGINT) AS wt
+  FROM posts, total GROUP BY t, nd),
+items AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+scored AS (
+  SELECT q, item_id, r, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // nt)))) AS BIGINT) AS score
+  FROM (SELECT q, item_id, unnest(w) AS t FROM items) i JOIN weights USING (t) JOIN posts USING (t)
+  JOIN (SELECT r, n FROM sized) s USING (r), total
+  GROUP BY q, item_id, r),
+ranked AS (
+  SELECT q, item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank
+  FROM scored JOIN (SELECT r, doc_id FROM sized) s USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1}
+    return {"op1_quality_rules": OP1, "op11_ranked_search": OP11}
