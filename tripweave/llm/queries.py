@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import (best_fit, bpe_codec, chat_format, embed_dedup, host_rules, language_id, license_scan,
-                           ngram_join, prefix_trie, ranked_search, token_files, toxicity)
+                           ngram_join, passage_dedup, prefix_trie, ranked_search, token_files, toxicity)
 from tripweave.llm.common import read_table, remainder
 
 
@@ -73,6 +73,13 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(index, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = passage_dedup.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return docs.select("doc_id", size.alias("n_bytes"), (size - F.length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.positions(rows)))
@@ -82,7 +89,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     own = (op1_quality_rules, op2_language_id, op3_license_scan, op4_bpe_codec, op5_ngram_jaccard, op6_chat_format,
-           op7_best_fit_packing, op8_token_files, op9_toxicity, op10_embedding_dedup, op11_ranked_search, op13_prefix_trie)
+           op7_best_fit_packing, op8_token_files, op9_toxicity, op10_embedding_dedup, op11_ranked_search, op12_suffix_dedup,
+           op13_prefix_trie)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
