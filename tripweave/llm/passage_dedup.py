@@ -40,6 +40,8 @@ SCAN_BYTES = 400_000
 #: Bytes of a shard, about, and of one k-gram's texts in it at most.
 SHARD_BYTES = 1_500_000
 GROUP_BYTES = 1_000_000
+#: Ways in which the regions of one class are dealt when they are told apart from others.
+SALTS = 8
 
 _PLACE = np.uint64(0xFFFFF)
 _SYMBOLS = np.random.default_rng(12).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -230,19 +232,22 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     single = classes.join(groups.filter("k > 1 and least = 1").select("anchor"), "anchor", "left_semi")
     parts, spans, w = written(_texts(docs, single, length), "parts"), [], length - gram_size(length) + 1
     for width in (max(w // 7, 1), max(w // 56, 1), 1):
-        sizes = parts.groupBy("key").agg(F.sum(F.length("text")).alias("bytes"), F.count("*").alias("k"))
-        sizes = written(sizes.filter("k > 1"), "sizes")
-        spans.append(_by_suffix_array(
-            parts.join(sizes.filter(f"bytes <= {GROUP_BYTES}").select("key"), "key", "left_semi"), length))
+        sizes = written(parts.groupBy("key").agg(F.sum(F.length("text")).alias("bytes"), F.count("*").alias("k")), "sizes")
         hot = sizes.filter(f"bytes > {GROUP_BYTES}").select("key")
+        alone = sizes.filter("k = 1").select("key")
+        # most often neither is there, and the texts need no join
+        rest = parts if hot.isEmpty() else parts.join(hot, "key", "left_anti")
+        spans.append(_by_suffix_array(rest if alone.isEmpty() else rest.join(alone, "key", "left_anti"), length))
         if hot.isEmpty():
             break
         parts, met = _merged(_narrower(parts.join(hot, "key", "left_semi"), width, length), length)
         spans.append(met)
     # copies of a class are repeated as a whole
-    copies = classes.filter("n > 1").select(*key)
-    again = regions.join(copies, key, "left_semi").select(
-        "row", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
+    copies = written(classes.filter("n > 1").select("d1", "d2"), "copies")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    again = (regions.filter(maybe_in(copies, "d1")).select("d1", "d2", "row", "start", "windows", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt"))
+             .join(copies.select("d1", "d2", salts), ["d1", "d2", "salt"], "left_semi")
+             .select("row", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end")))
     for s in spans:
         again = again.unionByName(s)
     return again

@@ -163,6 +163,41 @@ ranked AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
+OP13 = """
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 5 AS base, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(i AS BIGINT) FOR i IN range(8)]),
+      lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) % 9 AS h
+  FROM (SELECT DISTINCT c FROM turns) x),
+rebuilt AS (
+  SELECT v.c, 0 AS part, pos, role, text FROM convs v JOIN turns t ON t.c = v.base AND pos <= h
+  UNION ALL
+  SELECT v.c, 1, pos, role, text FROM convs v JOIN turns t ON t.c = v.c AND pos > h),
+paths AS (
+  SELECT convs.c, coalesce(list({'r': role, 't': text} ORDER BY part, pos) FILTER (WHERE part IS NOT NULL), []) AS p
+  FROM convs LEFT JOIN rebuilt ON rebuilt.c = convs.c GROUP BY convs.c),
+nodes AS (
+  SELECT d, p[1:d] AS p, min(c) AS rep, count(*) AS n_convs, list(c ORDER BY c) FILTER (WHERE len(p) = d) AS ends
+  FROM (SELECT c, p, unnest(range(len(p) + 1)) AS d FROM paths) x GROUP BY d, p[1:d]),
+children AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+named AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children, coalesce((n_convs - 1) * strlen(nodes.p[nodes.d].t), 0) AS saves
+  FROM nodes LEFT JOIN children ON children.d = nodes.d AND children.p = nodes.p),
+below AS (
+  SELECT v.d, v.p, CAST(sum(u.saves) AS BIGINT) AS saved, count_if(u.n_children = 0) AS leaves
+  FROM named v JOIN named u ON u.p[1:v.d] = v.p AND u.d >= v.d GROUP BY v.d, v.p)
+SELECT v.rep AS conv_id, v.d AS depth, up.rep AS parent_conv_id, v.n_convs, v.n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, saved AS saved_tokens,
+       sha256(coalesce(array_to_string(v.ends, ','), '')) AS ends_sha256
+FROM named v JOIN below b ON b.d = v.d AND b.p = v.p
+LEFT JOIN nodes up ON up.d = v.d - 1 AND up.p = v.p[1:v.d - 1]
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": OP1, "op11_ranked_search": OP11}
+    return {"op1_quality_rules": OP1, "op11_ranked_search": OP11, "op13_prefix_trie": OP13}
