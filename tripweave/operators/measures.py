@@ -10,11 +10,18 @@ the summary keeps one row per minute: at most 525,600 rows a year at any trip
 volume.  Publishing and backfill write it once next to the table, and those
 views then scan the summary, never the trips.  Given the wide table instead,
 a single-grain view aggregates it in one pass, and a multi-grain view
-aggregates it once at its own finest grain (map-side combine) before the
-ROLLUP or grouping sets, so ``Expand`` never multiplies trips.  Averages from
+aggregates it once at its own finest grain (map-side combine).  Every coarser
+grain is then computed from the smallest finer one (``_lattice``), so no row is
+ever multiplied by the number of grains.  Averages from
 partial states are rebuilt as sum / non-null count, so results equal a
 one-pass aggregation.
 
+The heatmap and the dashboard filters (A11, D-1, ``PAIR_VIEWS``) group by place
+pair and day.  They read a second summary, ``pair_summary``: partial states per
+day, hour, place pair and weather label, at most one row per hour and pair of
+zones at any trip volume.  Both summaries merge by adding states, so a run
+brings its own share and earlier ones are not computed anew.
+
 Sorting (O1–O5) is done only on the final, small result.
 """
 
@@ -31,7 +38,7 @@ from tripweave.functions.timecols import (
 )
 from tripweave.schemas import BASE_VIEW_COLUMNS
 
-# Measure sets: (output name, kind, source column).
+# Measure sets as (output name, kind, source column).
 M7 = [
     ("total_rides", "count", None),
     ("avg_passengers", "avg", "passenger_count"),
@@ -92,15 +99,60 @@ SUMMARY_KEYS = ["pickup_minute", "pickup_hour", "precipitation", "humidity",
                 "temperature", "severity", "condition"]
 
 
+def minute_states(rides: DataFrame) -> DataFrame:
+    """Partial states of M7 per pickup minute: one numeric key, so the hash
+    aggregation (map-side combined, also for a hot minute) ships no texts."""
+    return rides.groupBy(minute_bucket("pickup_datetime").alias("pickup_minute")).agg(*_partial_states(M7))
+
+
+def hour_weather(rides: DataFrame) -> DataFrame:
+    """Weather of every pickup hour.  An hour with two different weathers would
+    have doubled its trips in the join (V4): reading such a row is an error."""
+    hours = rides.select(*SUMMARY_KEYS[1:]).distinct()
+    once = hours.groupBy("pickup_hour").agg(
+        *[F.max(c).alias(c) for c in SUMMARY_KEYS[2:]], F.count(F.lit(1)).alias("_rows"))
+    twice = F.concat(F.lit("more than one weather row for hour "), F.col("pickup_hour").cast("string"))
+    return once.select(F.when(F.col("_rows") > 1, F.raise_error(twice).cast("timestamp_ntz"))
+                       .otherwise(F.col("pickup_hour")).alias("pickup_hour"), *SUMMARY_KEYS[2:])
+
+
 def minute_summary(rides: DataFrame) -> DataFrame:
-    """Partial states of M7 per pickup minute and pickup-hour weather.
+    """Partial states of M7 per pickup minute, with the weather of the pickup hour
+    attached afterwards: the trips are aggregated by the minute alone."""
+    states = minute_states(rides).withColumn("pickup_hour", hour_bucket("pickup_minute"))
+    return states.join(hour_weather(rides), "pickup_hour").select(
+        "pickup_minute", *SUMMARY_KEYS[1:], *_state_columns(states))
+
+
+# ---------------------------------------------------------------- pair summary
 
-    One hash aggregation per trip with map-side combine; a hot minute or hour
-    is combined inside each map task before the shuffle."""
+PAIR_KEYS = ["pickup_date", "hour_of_day", "pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone",
+             "condition", "severity"]
+
+
+def pair_summary(rides: DataFrame) -> DataFrame:
+    """Partial states of M3 per day, hour, place pair and weather label.  Missing
+    labels stay null; the views present them."""
     return rides.groupBy(
-        minute_bucket("pickup_datetime").alias("pickup_minute"),
-        *SUMMARY_KEYS[1:],
-    ).agg(*_partial_states(M7))
+        day_bucket("pickup_datetime").alias("pickup_date"), F.hour("pickup_datetime").alias("hour_of_day"),
+        *PAIR_KEYS[2:],
+    ).agg(*_partial_states(M3))
+
+
+def is_pair_summary(df: DataFrame) -> bool:
+    return "_n" in df.columns and "hour_of_day" in df.columns
+
+
+def merge_summaries(parts: DataFrame) -> DataFrame:
+    """One row per key from several runs' rows of either summary (union them
+    first): states of a minute or place pair add up."""
+    states = _state_columns(parts)
+    keys = [c for c in parts.columns if c not in states]
+    return parts.groupBy(*keys).agg(*_added(states)).select(*parts.columns)
+
+
+def _added(states: Sequence[str]) -> list[Column]:
+    return [F.sum(c).alias(c) for c in states]
 
 
 def is_summary(df: DataFrame) -> bool:
@@ -129,21 +181,47 @@ def multi_grain(df: DataFrame, keys: dict[str, Column], measures, *,
 
     ``rollup=True`` gives ROLLUP over ``keys`` in order; otherwise
     ``grouping_sets`` lists the sets.  A NULL key marks "all values" as in SQL.
-    From partial states (a minute summary, ``from_states``) ``Expand`` runs
-    over summary rows.  From the wide table the trips are first aggregated
-    once at the finest grain of the view, with map-side combine, and
-    ``Expand`` multiplies only that small table, never the trips."""
+    The rows (trips, or rows of a summary, ``from_states``) are aggregated once
+    to partial states at the finest grain, with map-side combine."""
     names = list(keys)
     from_states = is_summary(df) if from_states is None else from_states
     if from_states:
-        keyed = df.select(*[expr.alias(k) for k, expr in keys.items()], *_state_columns(df))
-    else:
-        keyed = df.groupBy(*[expr.alias(k) for k, expr in keys.items()]).agg(*_partial_states(measures))
-    if rollup:
-        grouped = keyed.rollup(*names)
+        states = _state_columns(df)
+        finest = df.groupBy(*[expr.alias(k) for k, expr in keys.items()]).agg(*_added(states))
     else:
-        grouped = keyed.groupingSets([list(s) for s in grouping_sets], *names)
-    return grouped.agg(*_merge_states(measures))
+        finest = df.groupBy(*[expr.alias(k) for k, expr in keys.items()]).agg(*_partial_states(measures))
+    sets = [names[:n] for n in range(len(names), -1, -1)] if rollup else [list(s) for s in grouping_sets]
+    return _lattice(finest, names, sets, measures)
+
+
+def _lattice(finest: DataFrame, names: Sequence[str], sets: Sequence[Sequence[str]], measures) -> DataFrame:
+    """Union of the grouping sets, each aggregated from the smallest set that holds
+    it, which Spark computes once (the exchange behind it is reused)."""
+    states, done, out = _state_columns(finest), {frozenset(names): finest}, None
+    for s in sorted(sets, key=len, reverse=True):
+        if frozenset(s) not in done:
+            above = min((k for k in done if k > frozenset(s)), key=len)
+            done[frozenset(s)] = done[above].groupBy(*s).agg(*_added(states))
+            if not s:   # the total of no rows is no row, as in ROLLUP
+                done[frozenset(s)] = done[frozenset(s)].filter(F.col("_n").isNotNull())
+        level = done[frozenset(s)]
+        part = level.select(*[F.col(c) if c in s else F.lit(None).cast(finest.schema[c].dataType).alias(c) for c in names],
+                            *_read_states(measures))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _read_states(measures) -> list[Column]:
+    """Measures of rows that hold merged partial states."""
+    out = []
+    for name, kind, src in measures:
+        if kind == "count":
+            out.append(F.col("_n").cast("bigint").alias(name))
+        elif kind == "avg":
+            out.append(F.try_divide(F.col(f"_s_{src}").cast("double"), F.col(f"_c_{src}")).alias(name))
+        else:
+            out.append(F.col(f"_s_{src}").alias(name))
+    return out
 
 
 def _state_columns(summary: DataFrame) -> list[str]:
@@ -189,6 +267,7 @@ def measures_by_dow(rides: DataFrame, ordered: bool = True) -> DataFrame:
     return _order(out, "dow", "hour") if ordered else out
 
 
+# The grouping sets of A3.
 WEATHER_SETS = [
     ["condition", "severity"], ["condition", "dow"], ["condition", "severity", "dow"],
     ["condition"], ["condition", "severity", "dow", "hour"], ["condition", "dow", "hour"],
@@ -266,22 +345,27 @@ def humidity_vs_rides(rides: DataFrame, ordered: bool = True) -> DataFrame:
 
 
 def pickup_dropoff_heatmap(rides: DataFrame) -> DataFrame:
-    """Place pair, weather labels and day, M3."""
+    """Place pair, weather labels and day, M3; from the wide table or its
+    ``pair_summary``."""
+    pairs = is_pair_summary(rides)
+    day = F.col("pickup_date") if pairs else day_bucket("pickup_datetime")
     return rides.groupBy(
         "pickup_borough", "pickup_zone", "dropoff_borough", "dropoff_zone",
         or_unknown("condition").alias("condition"),
         or_unknown("severity").alias("severity"),
-        day_bucket("pickup_datetime").alias("pickup_date"),
-    ).agg(*aggregates(M3))
+        day.alias("pickup_date"),
+    ).agg(*(_merge_states(M3) if pairs else aggregates(M3)))
 
 
 def dashboard_filters(rides: DataFrame) -> DataFrame:
-    """D-1: distinct filter values for the dashboard."""
-    ts = F.col("pickup_datetime")
+    """D-1: distinct filter values for the dashboard; from the wide table or its
+    ``pair_summary``."""
+    ts = F.col("pickup_date") if is_pair_summary(rides) else F.col("pickup_datetime")
+    hour = F.col("hour_of_day") if is_pair_summary(rides) else F.hour(ts)
     return rides.select(
         day_bucket(ts).alias("pickup_date"),
         day_name_short(ts).alias("dow"),
-        F.hour(ts).alias("hour_of_day"),
+        hour.alias("hour_of_day"),
         or_unknown("condition").alias("condition"),
         or_unknown("severity").alias("severity"),
         "pickup_borough", "dropoff_borough",
@@ -310,6 +394,9 @@ SUMMARY_VIEWS = {
     "temperature_vs_rides", "humidity_vs_rides",
 }
 
+# Views that read the pair summary (a wide rides table works too).
+PAIR_VIEWS = {"pickup_dropoff_heatmap", "dashboard_filters"}
+
 # Dashboard views published over the rides table (name -> builder).
 VIEWS = {
     "rides_base": rides_base,

@@ -222,6 +222,18 @@ SELECT date_trunc('minute', pickup_datetime) AS pickup_minute, pickup_hour,
 FROM rides
 GROUP BY ALL"""
 
+SQL["pair_summary"] = BASE + f"""
+SELECT CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS pickup_date, {HOUR} AS hour_of_day,
+       pickup_borough, pickup_zone, dropoff_borough, dropoff_zone, condition, severity,
+       COUNT(*) AS _n,
+       {fl('SUM(trip_distance)', '_s_trip_distance')}, COUNT(trip_distance) AS _c_trip_distance,
+       {fl('SUM(total_amount)', '_s_total_amount')}, COUNT(total_amount) AS _c_total_amount
+FROM rides
+GROUP BY ALL"""
+
+SQL["summary_after_two_deltas"] = SQL["minute_summary"]
+SQL["summary_after_compaction"] = SQL["pair_summary"]
+
 SQL["measures_by_time"] = BASE + f"""
 SELECT CAST(EXTRACT(year FROM pickup_datetime) AS INTEGER) AS year,
        CAST(EXTRACT(month FROM pickup_datetime) AS INTEGER) AS month,
@@ -291,7 +303,7 @@ FROM rides"""
 # The published views: the ten of the minute summary, and all of them by name.
 PUBLISHED = ("measures_by_time measures_by_dow measures_by_weather rides_over_time rides_over_day rides_by_weather "
              "precipitation_vs_rides temperature_vs_rides humidity_vs_rides pickup_dropoff_heatmap").split()
-for _k in [*PUBLISHED[:-1], "avg_rides_per_dow"]:
+for _k in [*PUBLISHED, "avg_rides_per_dow", "dashboard_filters"]:
     SQL[f"{_k}_from_summary"] = SQL[_k]
 
 SQL["published_views"] = "\nUNION ALL ".join(

@@ -24,6 +24,7 @@ from tripweave.operators.weather import clean_weather
 from tripweave.operators.zones import with_zones
 from tripweave.operators.checks import ValidationError
 from tripweave.plans.backfill import backfill, months_ledger, read_backfilled
+from tripweave.plans.deltas import SummaryDeltas
 from tripweave.plans.publish import RidesStore, create_table_if_not_exists
 from tripweave.plans.rides import build_rides
 from tripweave.session import scratch_path
@@ -127,6 +128,42 @@ def _view_from_summary(builder):
     return run
 
 
+def _view_from_pairs(builder):
+    """The view as it is published: from a written pair summary."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "pairs")
+        M.pair_summary(rides(spark, sf_dir)).write.parquet(path)
+        return builder(spark.read.parquet(path))
+    run.__name__ = f"q_{builder.__name__}_from_summary"
+    return run
+
+
+def _two_deltas(spark, sf_dir) -> SummaryDeltas:
+    """Two runs that share nearly every minute, hour and place pair, the second
+    one sent twice."""
+    path = scratch_path(spark, "delta-rides")
+    rides(spark, sf_dir).write.parquet(path)
+    written, deltas = spark.read.parquet(path), SummaryDeltas(spark, scratch_path(spark, "deltas"))
+    odd = F.pmod(F.xxhash64("seq"), F.lit(2)) == 1
+    deltas.append(written.filter(~odd), "first")
+    deltas.append(written.filter(odd), "second")
+    deltas.append(written.filter(odd), "second")
+    return deltas
+
+
+def q_summary_after_two_deltas(spark, sf_dir):
+    """K2: two deltas added up equal one pass over all trips."""
+    return _two_deltas(spark, sf_dir).read("minutes")
+
+
+def q_summary_after_compaction(spark, sf_dir):
+    """K2: the place pairs of two deltas, compacted to one run."""
+    deltas = _two_deltas(spark, sf_dir)
+    if deltas.compact() is None or len(deltas.runs()) != 1:
+        raise AssertionError("two runs must become one")
+    return deltas.read("pairs")
+
+
 def q_published_views(spark, sf_dir):
     """K8: every view of a published run, read by name from another session;
     its number of rows, and of rides where it counts them."""
@@ -308,8 +345,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rides_yellow": q_rides_yellow,
     **{name: _view(builder) for name, builder in M.VIEWS.items()},
     **{f"{name}_from_summary": _view_from_summary(M.VIEWS[name]) for name in sorted(M.SUMMARY_VIEWS)},
+    **{f"{name}_from_summary": _view_from_pairs(M.VIEWS[name]) for name in sorted(M.PAIR_VIEWS)},
     "published_views": q_published_views,
     "minute_summary": _view(M.minute_summary),
+    "pair_summary": _view(M.pair_summary),
+    "summary_after_two_deltas": q_summary_after_two_deltas,
+    "summary_after_compaction": q_summary_after_compaction,
     "staging_validation": q_staging_validation,
     "join_drop_report": q_join_drop_report,
     "hour_uniqueness": q_hour_uniqueness,
