@@ -17,7 +17,8 @@ lies within the same few offsets share a core longer than the k-gram, and the
 core is the new key.  Three narrowings end at single windows, which are their own
 core, so that counting equal ones decides.  No step needs all texts of one k-gram.
 
-Hashes only choose what is compared and name equal regions (128 bits).
+Joins that carry texts are merge joins at every size: the disk and memory they
+need then grow in proportion.  Hashes only choose what is compared and name equal regions (128 bits).
 """
 
 from __future__ import annotations
@@ -144,7 +145,7 @@ def _texts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
                     "text": [text[r["start"]:r["start"] + r["windows"] + length - 1] for r in regions]}, _PART)
 
     some = docs.select("row", F.col("text").cast("binary").alias("text")).filter(maybe_in(wanted.select("row"), "row"))
-    return some.join(wanted, "row").mapInArrow(run, PART)
+    return some.join(wanted.hint("merge"), "row").mapInArrow(run, PART)
 
 
 def _narrower(parts: DataFrame, width: int, length: int) -> DataFrame:
@@ -224,12 +225,14 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     (row, text) with unique rows.  ``docs`` is read several times."""
     regions = written(find_regions(docs, length), "regions")
     key = ["anchor", "d1", "d2"]
+    # a k-gram met once takes part in no repeat, and most are
+    shared = written(regions.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "shared")
+    regions = regions.filter(maybe_in(shared, "anchor"))
     classes = regions.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("row", "start")).alias("first"),
                                         F.max("windows").alias("windows"), F.max("lead").alias("lead"))
-    classes = classes.select(*key, "n", "first.row", "first.start", "windows", "lead")
-    classes = written(classes, "classes")
+    classes = written(classes.select(*key, "n", "first.row", "first.start", "windows", "lead"), "classes")
     groups = classes.groupBy("anchor").agg(F.count("*").alias("k"), F.min("n").alias("least"))
-    single = classes.join(groups.filter("k > 1 and least = 1").select("anchor"), "anchor", "left_semi")
+    single = classes.join(groups.filter("k > 1 and least = 1").select("anchor").hint("merge"), "anchor", "left_semi")
     parts, spans, w = written(_texts(docs, single, length), "parts"), [], length - gram_size(length) + 1
     for width in (max(w // 7, 1), max(w // 56, 1), 1):
         sizes = written(parts.groupBy("key").agg(F.sum(F.length("text")).alias("bytes"), F.count("*").alias("k")), "sizes")
@@ -246,7 +249,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     copies = written(classes.filter("n > 1").select("d1", "d2"), "copies")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     again = (regions.filter(maybe_in(copies, "d1")).select("d1", "d2", "row", "start", "windows", F.pmod("row", F.lit(SALTS)).cast("int").alias("salt"))
-             .join(copies.select("d1", "d2", salts), ["d1", "d2", "salt"], "left_semi")
+             .join(copies.select("d1", "d2", salts).hint("merge"), ["d1", "d2", "salt"], "left_semi")
              .select("row", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end")))
     for s in spans:
         again = again.unionByName(s)
@@ -294,4 +297,4 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         "spans", ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())])))])
     whole = keyed.filter(~maybe).select(*columns, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("kept"),
                                         F.array().cast(out["spans"].dataType).alias("spans"))
-    return whole.unionByName(keyed.filter(maybe).join(per, row, "left").mapInArrow(run, out))
+    return whole.unionByName(keyed.filter(maybe).join(per.hint("merge"), row, "left").mapInArrow(run, out))
