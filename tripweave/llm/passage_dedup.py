@@ -236,7 +236,8 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     parts, spans, w = written(_texts(docs, single, length), "parts"), [], length - gram_size(length) + 1
     for width in (max(w // 7, 1), max(w // 56, 1), 1):
         sizes = written(parts.groupBy("key").agg(F.sum(F.length("text")).alias("bytes"), F.count("*").alias("k")), "sizes")
-        hot = sizes.filter(f"bytes > {GROUP_BYTES}").select("key")
+        # written, so that few keys are broadcast and the texts are not shuffled for them
+        hot = written(sizes.filter(f"bytes > {GROUP_BYTES}").select("key"), "hot")
         alone = sizes.filter("k = 1").select("key")
         # most often neither is there, and the texts need no join
         rest = parts if hot.isEmpty() else parts.join(hot, "key", "left_anti")
