@@ -10,7 +10,7 @@ system); ``ZONES`` and ``WEATHER`` are CSV files with a header.  Every job
 first checks that all inputs exist and names each missing one (V1); a glob
 that matches nothing is an error.  ``build`` writes the rides table (at most
 ``--max-records`` rows per file); ``publish`` writes a run, validates it and
-promotes it with its views; ``backfill`` writes the given months (skipping
+promotes it together with its lasting views in ``--database``; ``backfill`` writes the given months (skipping
 finished ones unless ``--force``); ``stream`` processes new trip files only.
 
 The exit status is 0 on success and 1 on any error; ``publish`` and
@@ -27,6 +27,7 @@ if __package__ in (None, ""):
     # run as a file by spark-submit: make the package importable
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tripweave.operators.checks import RideAudit  # noqa: E402
 from tripweave.plans.backfill import backfill  # noqa: E402
 from tripweave.plans.publish import RidesStore  # noqa: E402
 from tripweave.plans.rides import build_rides  # noqa: E402
@@ -45,15 +46,19 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("weather")
         s.add_argument("output")
         s.add_argument("--mapping", choices=["hvfhv", "yellow"], default="hvfhv")
-        s.add_argument("--year", type=int, default=2024, help="pickup and drop-off year (0: any)")
+        if name != "backfill":   # a backfill's months name their years
+            s.add_argument("--year", type=int, default=2024, help="pickup and drop-off year (0: any)")
         s.add_argument("--row-id", default=None, help="source column to use as seq")
         s.add_argument("--recursive", action="store_true", help="list TRIPS recursively")
         s.add_argument("--trip-schema", default=None,
                        help="read schema of the trips as DDL (widens int32/float columns that drifted)")
         if name != "stream":
+            s.add_argument("--stable-id", action="store_true", help="row ids that last over runs (instead of --row-id)")
             s.add_argument("--weather-from", default=None, help="first hour kept, e.g. 2024-01-01")
             s.add_argument("--weather-until", default=None, help="first hour dropped, e.g. 2024-02-01")
             s.add_argument("--max-records", type=int, default=100_000, help="rows per output file")
+        if name == "publish":
+            s.add_argument("--database", default="default", help="database of the lasting views")
         if name == "backfill":
             s.add_argument("--months", nargs="+", required=True, help="YYYY-MM")
             s.add_argument("--force", action="store_true", help="redo finished months")
@@ -72,7 +77,7 @@ def _weather_window(args):
 def run(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
     spark = spark or get_session(app=f"tripweave-{args.command}")
-    year = args.year or None
+    year = getattr(args, "year", None) or None
     require_inputs(spark, {"trips": args.trips, "zones": args.zones, "weather": args.weather},
                    fmt={"zones": "csv", "weather": "csv"},
                    recursive={"trips"} if getattr(args, "recursive", False) else frozenset())
@@ -82,24 +87,28 @@ def run(argv: list[str] | None = None, spark=None) -> int:
         query = start_incremental_rides(
             spark, args.trips, zones, weather, args.output, checkpoint=args.checkpoint,
             mapping=args.mapping, year=year, row_id=args.row_id,
-            max_files_per_trigger=args.max_files_per_trigger, schema=args.trip_schema)
+            max_files_per_trigger=args.max_files_per_trigger, schema=args.trip_schema,
+            recursive=args.recursive)
         query.awaitTermination()
         return 0
     trips = read_trips(spark, args.trips, recursive=args.recursive, schema=args.trip_schema)
     if args.command == "backfill":
         done = backfill(spark, trips, zones, weather, args.output, args.months, mapping=args.mapping,
                         force=args.force, row_id=args.row_id, max_records_per_file=args.max_records,
-                        weather_window=_weather_window(args))
+                        weather_window=_weather_window(args), stable_id=args.stable_id)
         print(f"months written: {', '.join(done) or 'none'}")
         return 0
+    audit = RideAudit()
     rides = build_rides(trips, zones, weather, mapping=args.mapping, year=year,
-                        weather_window=_weather_window(args), row_id=args.row_id)
+                        weather_window=_weather_window(args), row_id=args.row_id, stable_id=args.stable_id, audit=audit)
     if args.command == "build":
         (rides.write.mode("overwrite").option("maxRecordsPerFile", args.max_records)
          .parquet(args.output))
         return 0
-    result = RidesStore(spark, args.output).publish(rides, max_records_per_file=args.max_records)
-    print(f"published run {result.run_id}: {result.row_count} rows, {result.month_count} months")
+    result = RidesStore(spark, args.output).publish(rides, max_records_per_file=args.max_records,
+                                                       database=args.database, audit=audit)
+    print(f"published run {result.run_id}: {result.row_count} rows, {result.month_count} months; "
+          f"of {result.joins['trips']} trips {result.joins['zoned']} have both zones, {result.joins['rides']} weather too")
     return 0
 
 

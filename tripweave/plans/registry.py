@@ -10,19 +10,20 @@ The library functions themselves keep full double precision.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from tripweave import jobs
 from tripweave.operators import measures as M
-from tripweave.operators.checks import hour_uniqueness
-from tripweave.operators.enrich import join_drop_report, typed_rides
+from tripweave.operators.checks import RideAudit, ValidationError, hour_uniqueness
+from tripweave.operators.enrich import enrich, join_drop_report, typed_rides
 from tripweave.operators.trips import clean_trips
 from tripweave.operators.weather import clean_weather
 from tripweave.operators.zones import with_zones
-from tripweave.operators.checks import ValidationError
 from tripweave.plans.backfill import backfill, months_ledger, read_backfilled
 from tripweave.plans.deltas import SummaryDeltas
 from tripweave.plans.publish import RidesStore, create_table_if_not_exists
@@ -164,18 +165,37 @@ def q_summary_after_compaction(spark, sf_dir):
     return deltas.read("pairs")
 
 
+def _publish_job(spark, sf_dir, folder: str, root: str, database: str) -> None:
+    """The publish job over files, as a user starts it."""
+    _, zones, obs = inputs(spark, sf_dir)
+    zpath, opath = scratch_path(spark, "zones-csv"), scratch_path(spark, "obs-csv")
+    write_csv(zones, zpath)
+    write_csv(obs, opath)
+    status = jobs.run(["publish", folder, zpath, opath, root, "--database", database, "--row-id", "trip_id"], spark)
+    if status:
+        raise AssertionError(f"publish ended with {status}")
+
+
 def q_published_views(spark, sf_dir):
-    """K8: every view of a published run, read by name from another session;
-    its number of rows, and of rides where it counts them."""
-    import uuid
+    """Two publishes through the job, first half of the trips and then all
+    of them; every lasting view by name from another session that was open all the
+    time: its number of rows, and of rides where it counts them."""
     database = f"published_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'catalog')}'")
-    store = RidesStore(spark, scratch_path(spark, "store"))
-    store.publish(rides(spark, sf_dir))
-    names = store.register_views(database)
-    other, out = spark.newSession(), None
+    raw, _, _ = inputs(spark, sf_dir)
+    root, folder = scratch_path(spark, "store"), scratch_path(spark, "raw-trips")
+    late = F.dayofmonth("pickup_datetime") > 15
+    raw.filter(~late).write.parquet(folder)
+    _publish_job(spark, sf_dir, folder, root, database)
+    other = spark.newSession()
     _utc(other)
-    for name in names:
+    before = other.table(f"{database}.rides").count()
+    raw.filter(late).write.mode("append").parquet(folder)
+    _publish_job(spark, sf_dir, folder, root, database)
+    if not 0 < before < other.table(f"{database}.rides").count():
+        raise AssertionError("the second publish must switch the views of an open session")
+    out = None
+    for name in ["rides", *sorted(M.VIEWS)]:
         df = other.table(f"{database}.{name}")
         total = F.sum("total_rides") if "total_rides" in df.columns else F.lit(None)
         one = df.agg(F.lit(name).alias("view_name"), F.count("*").alias("n_rows"), total.cast("bigint").alias("n_rides"))
@@ -183,6 +203,45 @@ def q_published_views(spark, sf_dir):
     return out
 
 
+def q_publish_guards(spark, sf_dir):
+    """V2–V5 in the publish itself: what its joins lost, seen while it wrote, and
+    that doubled weather and repeated ids were refused."""
+    raw, zones, obs = inputs(spark, sf_dir)
+    store, audit = RidesStore(spark, scratch_path(spark, "store")), RideAudit()
+    result = store.publish(build_rides(raw, zones, obs, row_id="trip_id", tie_break=TIE_BREAK, audit=audit), audit=audit)
+    metrics = dict(result.joins, published=result.row_count)
+    weather = clean_weather(obs, tie_break=TIE_BREAK)
+    zoned = with_zones(_trips(spark, sf_dir), zones)
+    doubled = RideAudit()
+    doubled.watch(doubled.watch(zoned, "trips"), "zoned")
+    twice = enrich(zoned, weather.unionAll(weather), audit=doubled)
+    again = build_rides(raw.unionAll(raw), zones, obs, row_id="trip_id", tie_break=TIE_BREAK)
+    for name, df, seen in (("doubled_hour_refused", twice, doubled), ("repeated_id_refused", again, None)):
+        try:
+            store.publish(df, audit=seen, summary=False)
+            metrics[name] = 0
+        except ValidationError:
+            metrics[name] = 1
+    metrics["left"] = store.read_current().count()
+    return spark.createDataFrame(sorted(metrics.items()), "metric string, value long")
+
+
+def q_stable_row_id(spark, sf_dir):
+    """P5: ids of trips, some of them there three times, are unique and the same
+    in two runs over two partitionings."""
+    raw, _, _ = inputs(spark, sf_dir)
+    twin = raw.filter(F.dayofmonth("pickup_datetime") == 3)
+    raw = raw.unionAll(twin).unionAll(twin)
+
+    def ids(parts):
+        return clean_trips(raw.repartition(parts), "hvfhv", stable_id=True)
+
+    one, two = ids(3), ids(11)
+    same = one.join(two.withColumnRenamed("seq", "_seq"), F.col("seq") == F.col("_seq"), "left_semi")
+    return one.agg(F.count("*").alias("n_trips"), F.count_distinct("seq").alias("n_ids")).crossJoin(
+        same.agg(F.count("*").alias("n_same")))
+
+
 def q_staging_validation(spark, sf_dir):
     return M.staging_counts(rides(spark, sf_dir))
 
@@ -281,7 +340,6 @@ def q_publish_rollback(spark, sf_dir):
 def q_create_if_absent(spark, sf_dir):
     """K4 (D10): ``CREATE TABLE IF NOT EXISTS … AS SELECT``; a second create
     with other rows leaves the first rows in place."""
-    import uuid
     name = f"rides_if_absent_{uuid.uuid4().hex[:8]}"
     path = scratch_path(spark, "if-absent")
     full = rides(spark, sf_dir)
@@ -347,6 +405,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"{name}_from_summary": _view_from_summary(M.VIEWS[name]) for name in sorted(M.SUMMARY_VIEWS)},
     **{f"{name}_from_summary": _view_from_pairs(M.VIEWS[name]) for name in sorted(M.PAIR_VIEWS)},
     "published_views": q_published_views,
+    "publish_guards": q_publish_guards,
+    "stable_row_id": q_stable_row_id,
     "minute_summary": _view(M.minute_summary),
     "pair_summary": _view(M.pair_summary),
     "summary_after_two_deltas": q_summary_after_two_deltas,

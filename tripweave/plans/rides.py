@@ -16,6 +16,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 
 from tripweave.functions.timecols import year_window
+from tripweave.operators.checks import RideAudit, assert_one_per_hour
 from tripweave.operators.enrich import enrich
 from tripweave.operators.joins import DEFAULT_BROADCAST_ROWS
 from tripweave.operators.trips import clean_trips
@@ -30,18 +31,28 @@ def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                 weather: DataFrame | None = None,
                 keep: Callable[[DataFrame], Column] | None = None,
-                blank_condition_as_null: bool = False) -> DataFrame:
+                blank_condition_as_null: bool = False, stable_id: bool = False,
+                audit: RideAudit | None = None) -> DataFrame:
     """``weather``: already cleaned weather (``clean_weather`` output, one row
     per hour) to use instead of cleaning ``observations`` here, e.g. a copy
-    written once for many stream batches.  ``keep``: see ``clean_trips``."""
+    written once for many stream batches; an hour with two rows is an error.
+    ``keep``, ``stable_id``: see ``clean_trips``.  ``audit`` watches what each join
+    loses while the result is written."""
     if trip_window is None and year is not None:
         trip_window = (f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00")
-    trips = clean_trips(raw_trips, mapping, year=None, window=trip_window, row_id=row_id, keep=keep)
+    trips = clean_trips(raw_trips, mapping, year=None, window=trip_window, row_id=row_id, keep=keep,
+                        stable_id=stable_id)
+    if audit is not None:
+        trips = audit.watch(trips, "trips")
     zoned = with_zones(trips, zones, max_broadcast_rows=max_broadcast_rows)
+    if audit is not None:
+        zoned = audit.watch(zoned, "zoned")
     if weather is None:
         weather = clean_weather(observations, window=weather_window, tie_break=tie_break,
                                 blank_condition_as_null=blank_condition_as_null)
-    elif weather_window is not None:
+    else:
+        assert_one_per_hour(weather)
+    if weather_window is not None:
         weather = weather.filter(year_window(weather, ["HOUR"], *weather_window))
     hours_bound = None
     if trip_window is not None:
@@ -50,7 +61,7 @@ def build_rides(raw_trips: DataFrame, zones: DataFrame, observations: DataFrame
         lo, hi = _hour_floor(trip_window[0]), _parse(trip_window[1])
         weather = weather.filter(year_window(weather, ["HOUR"], lo, hi))
         hours_bound = int((hi - lo).total_seconds() // 3600) + 1
-    return enrich(zoned, weather, max_broadcast_rows=max_broadcast_rows, hours_bound=hours_bound)
+    return enrich(zoned, weather, max_broadcast_rows=max_broadcast_rows, hours_bound=hours_bound, audit=audit)
 
 
 def _parse(value) -> dt.datetime:

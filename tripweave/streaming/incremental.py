@@ -44,15 +44,17 @@ def start_incremental_rides(spark: SparkSession, trips_dir: str, zones: DataFram
                             row_id: str | None = None, tie_break: Sequence[str] = (),
                             max_files_per_trigger: int | None = None,
                             available_now: bool = True,
-                            schema=None) -> StreamingQuery:
+                            schema=None, recursive: bool = False) -> StreamingQuery:
     """``checkpoint`` defaults to ``<out_dir>_checkpoint``, next to the output and
     the same in every session; an output whose checkpoint is missing is refused.
     ``schema`` (StructType or DDL) fixes the trips' read schema, which
     also widens drifted column types per file (see ``read_trips``); by
-    default it is taken from the files present at start."""
+    default it is taken from the files present at start.  ``recursive`` also reads
+    files in folders below ``trips_dir``."""
+    nested = str(recursive).lower()
     if schema is None:
-        schema = spark.read.parquet(trips_dir).schema
-    reader = spark.readStream.schema(schema)
+        schema = spark.read.option("recursiveFileLookup", nested).parquet(trips_dir).schema
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", nested)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.parquet(trips_dir)
