@@ -11,8 +11,9 @@ import numpy as np
 import pytest
 from conftest import SF_MID
 
-from tripweave.llm import passage_dedup, prefix_trie, queries as Q, ranked_search, running
+from tripweave.llm import passage_dedup, prefix_trie, queries as Q, ranked_search
 from tripweave.llm.induced_sort import common_prefixes, suffix_array
+from tripweave.operators import running
 
 # ------------------------------------------------------------------ helpers
 

@@ -230,8 +230,8 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_pat
         cache, part, seen = library_ids(spec.value), TaskContext.get().partitionId(), Counter()
         for doc_ids, texts in text_slices(batches, ("doc_id",)):
             rows = []
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                ids = cache.packed(text) + end
+            for doc_id, ids in zip(doc_ids, cache.packed_all(texts), strict=True):
+                ids += end
                 for i, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                     rows.append((doc_id, i, start, n, zlib.crc32(ids[4 * start:4 * (start + n)]), part, seen[n]))
                     seen[n] += 1

@@ -11,13 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.operators.running import written  # noqa: F401 - for the operators
 from tripweave.plans import storage
 from tripweave.session import scratch_path
 
 #: Rows of one Arrow batch at most.  Texts are long, so batches stay short; the
 #: Python side works through a batch in slices of about ``SLICE_CHARS``.
 BATCH_ROWS = 1000
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 250_000
 
 #: Words: runs of anything but space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,14 +29,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: lineage ends
-    there, and a lost executor never repeats the work before it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 _SHIPPED: set[str] = set()
 
 

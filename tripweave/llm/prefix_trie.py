@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm.common import prepare, record_batch, written
-from tripweave.llm.running import running
+from tripweave.operators.running import running
 
 #: Turn-id columns of a block.
 WIDTH = 8

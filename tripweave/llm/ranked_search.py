@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripweave.llm.common import prepare, record_batch, text_slices, written
-from tripweave.llm.running import running
+from tripweave.operators.running import running
 
 #: A shard ends with the document that reaches one of these.
 SHARD_TERMS = 1_000_000

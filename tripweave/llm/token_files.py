@@ -50,16 +50,19 @@ def pack_words(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids = np.ascontiguousarray(ids, np.uint64)
     n = len(ids)
     choice = np.zeros(n, np.uint8)   # selector of a word that starts at each id
-    places = np.arange(n, dtype=np.int64)
     widest = int(ids.max()).bit_length() if n else 0
     for s in range(15, 0, -1):       # from one id a word to the most
         bits = int(BITS[s])
         if bits >= widest:
             choice[:] = s
             continue
-        misfit = np.where(ids >> np.uint64(bits) != 0, places, n + 240)
-        following = np.minimum.accumulate(misfit[::-1])[::-1]     # next id that does not fit
-        choice[following - places >= COUNT[s]] = s
+        fit = np.flatnonzero(ids < np.uint64(1 << bits))          # mostly few for a short width
+        if not len(fit):
+            continue
+        last = np.flatnonzero(np.append(np.diff(fit) != 1, True))  # ends of runs
+        ends = fit[last] + 1
+        ends[ends == n] += 240                                     # zeros follow the last id
+        choice[fit[np.repeat(ends, np.diff(last, prepend=-1)) - fit >= COUNT[s]]] = s
     step = COUNT[choice].astype(np.uint8).tobytes()
     starts, at = [], 0
     while at < n:
@@ -171,9 +174,9 @@ def write_files(docs: DataFrame, path: str | None = None, end_id: int = 0, token
                                  "payload": [write_block(ids, arrays)]}, _BLOCKS)
 
         for doc_ids, texts in text_slices(batches, ("doc_id",)):
-            for doc_id, text in zip(doc_ids, texts, strict=True):
+            for doc_id, packed in zip(doc_ids, cache.packed_all(texts), strict=True):
                 ids.append(doc_id)
-                arrays.append(np.frombuffer(cache.packed(text) + end, "<u4"))
+                arrays.append(np.frombuffer(packed + end, "<u4"))
                 size += len(arrays[-1])
                 if size >= block_ids:
                     yield flush()

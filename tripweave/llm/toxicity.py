@@ -29,7 +29,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,17 +53,29 @@ BIAS = -6.0
 class Features(dict):
     """Buckets of a word: the word itself and its beginnings of 3 to 7 letters."""
 
-    def __missing__(self, word: str) -> list[int]:
-        if len(self) >= 200_000:   # bounds the memory only
+    def __missing__(self, word: str) -> array:
+        if len(self) >= 100_000:   # bounds the memory only, to about 20 MB
             self.clear()
         keys = [word, *("^" + word[:n] for n in range(3, 8) if len(word) > n)]
-        self[word] = got = [xxhash.xxh3_64_intdigest(k.encode("utf-8", "surrogatepass")) % BUCKETS for k in keys]
+        self[word] = got = array("i", [xxhash.xxh3_64_intdigest(k.encode("utf-8", "surrogatepass")) % BUCKETS for k in keys])
         return got
 
 
 _FEATURES = Features()
 
 
+def _released(run: Callable) -> Callable:
+    """``run`` with the word cache emptied when its task ends: a worker process
+    outlives the stage, and the next stage needs the memory."""
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _FEATURES.clear()
+
+    return task
+
+
 def sentences(text: str | None) -> Iterator[tuple[int, int, set[str]]]:
     """(start, end, distinct words) of each sentence that has a word."""
     for m in SENTENCE.finditer(text or ""):
@@ -89,7 +102,7 @@ class Model:
     def _word(self, word: str) -> float:
         got = self.words.get(word)
         if got is None:
-            if len(self.words) >= 500_000:   # bounds the memory only
+            if len(self.words) >= 200_000:   # bounds the memory only
                 self.words.clear()
             got = self.words[word] = sum(self.weights.get(f, 0.0) for f in _FEATURES[word])
         return got
@@ -176,7 +189,7 @@ def _words(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words, pa.binary())],
                                              names=["doc_id", "words"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, out)
+    return texts.select("doc_id", "text").mapInArrow(_released(run), out)
 
 
 def _count(labelled: DataFrame) -> tuple[list[tuple[int, int, int]], int, int]:
@@ -199,7 +212,7 @@ def _count(labelled: DataFrame) -> tuple[list[tuple[int, int, int]], int, int]:
         yield record_batch({"feature": np.where(met == BUCKETS, -1, met), "toxic": totals[0][met],
                             "n": totals[1][met]}, schema)
 
-    rows = (labelled.select(F.col("toxic").cast("int"), "words").mapInArrow(run, "feature int, toxic long, n long")
+    rows = (labelled.select(F.col("toxic").cast("int"), "words").mapInArrow(_released(run), "feature int, toxic long, n long")
             .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).collect())
     total = next(((r["toxic"], r["n"]) for r in rows if r["feature"] == -1), (0, 0))
     return [(r["feature"], r["toxic"], r["n"]) for r in rows if r["feature"] >= 0], total[0], total[1] - total[0]
@@ -223,7 +236,7 @@ def _bags(labelled: DataFrame, kept: set[int]) -> list[tuple[np.ndarray, np.ndar
                 rows.append((y, h, n, np.array(found, "<i4").tobytes(), np.array(where, "<i4").tobytes()))
             yield record_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
 
-    rows = labelled.mapInArrow(run, "toxic int, h long, n int, feature binary, sentence binary").collect()
+    rows = labelled.mapInArrow(_released(run), "toxic int, h long, n int, feature binary, sentence binary").collect()
     return [(np.frombuffer(r["feature"], "<i4"), np.frombuffer(r["sentence"], "<i4").astype(np.int64), r["n"],
              int(r["toxic"] > 0)) for r in sorted(rows)]
 
@@ -276,4 +289,4 @@ def score(docs: DataFrame, model: Model, located_at: float = 0.5) -> DataFrame:
                 [*batch.columns, pa.array(scores, pa.float64()), pa.array(found, span)],
                 names=[*batch.schema.names, "toxicity", "offending"])
 
-    return docs.select(*others).mapInArrow(run, out)
+    return docs.select(*others).mapInArrow(_released(run), out)
