@@ -17,10 +17,12 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: no text, or no letter in it.  The
-    model learns from the rows whose lang is known and not held out."""
+    model learns from the rows whose lang is known and not held out; if there are
+    none, documents with a letter stay all the same."""
     model = language_id.train(docs.select("doc_id", "text", "lang").filter(
         ~F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))))
-    return language_id.predict(docs.select(*COLUMNS), model).filter("lang_pred <> 'und'").select(*COLUMNS)
+    return language_id.predict(docs.select(*COLUMNS), model).filter(
+        (F.col("lang_pred") != "und") | F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select(*COLUMNS)
 
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
