@@ -39,37 +39,27 @@ class ChunkIds(dict):
     young one is full it becomes the old one, and what is met again moves
     back.  Chunks longer than ``longest`` are encoded but not kept."""
 
-    def __init__(self, encode: Callable[[str], list[int]], cap: int = 200_000, longest: int = 64,
-                 encode_all: Callable[[list[str]], list[list[int]]] | None = None):
+    def __init__(self, encode: Callable[[str], list[int]], cap: int = 500_000, longest: int = 64):
         super().__init__()
-        self.cap, self.longest = cap, longest
-        self.encode_all = encode_all or (lambda new: [encode(c) for c in new])
+        self.encode, self.cap, self.longest = encode, cap, longest
         self.old: dict[str, bytes] = {}
 
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = np.array(self.encode(chunk), "<u4").tobytes()
+        if len(chunk) <= self.longest:
+            self[chunk] = ids
+        return ids
+
     def packed(self, text: str | None) -> bytes:
         """Ids of one whole text (null: empty)."""
-        return self.packed_all([text])[0]
-
-    def packed_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of whole texts; the chunks that none of the generations holds are
-        encoded in one call."""
-        parts = [chunks(t) if t else [] for t in texts]
-        missing = set().union(*parts).difference(self)
-        once: dict[str, bytes] = {}
-        if missing:
-            back = {c: self.old[c] for c in missing if c in self.old}
-            new = [c for c in missing if c not in back]
-            back |= {c: np.array(ids, "<u4").tobytes() for c, ids in zip(new, self.encode_all(new), strict=True)}
-            self.update((c, ids) for c, ids in back.items() if len(c) <= self.longest)
-            once = {c: ids for c, ids in back.items() if len(c) > self.longest}
-        if once:
-            out = [b"".join([once[c] if c in once else self[c] for c in p]) for p in parts]
-        else:
-            out = [b"".join(map(self.__getitem__, p)) for p in parts]
+        if not text:
+            return b""
         if len(self) >= self.cap:
             self.old = dict(self)
             self.clear()
-        return out
+        return b"".join(map(self.__getitem__, chunks(text)))
 
 
 _LOADED: dict[tuple[str, int], ChunkIds] = {}
@@ -86,9 +76,7 @@ def library_ids(tokenizer_json: str) -> ChunkIds:
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
-        _LOADED[key] = ChunkIds(
-            lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids,
-            encode_all=lambda new: [e.ids for e in tokenizer.encode_batch_fast(new, add_special_tokens=False)])
+        _LOADED[key] = ChunkIds(lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids)
     return _LOADED[key]
 
 
