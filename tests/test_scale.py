@@ -51,12 +51,24 @@ def test_first_per_hour_limits_rows_before_the_shuffle(spark):
     assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[exchange:])
 
 
-def test_rollup_expands_only_the_pre_aggregated_table(spark):
-    plan = _plan(M.measures_by_time(R.rides(spark, SF_SMALL)), "simple")
-    lines = plan.splitlines()
-    expand = next(i for i, line in enumerate(lines) if "Expand" in line)
-    # below Expand (later lines) there is a complete aggregation at the finest grain
-    assert any("HashAggregate" in line for line in lines[expand + 1:expand + 3])
+def test_coarser_grains_come_from_finer_ones(spark):
+    """No ``Expand``: the trips are aggregated once, at the finest grain; when the
+    plan has run, coarser levels read the exchanges of finer ones again."""
+    rides = R.rides(spark, SF_SMALL)
+    for view in (M.measures_by_time, M.measures_by_dow, M.measures_by_weather):
+        df = view(rides)
+        assert "Expand" not in _plan(df, "simple")
+        df.collect()
+        assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pair_views_read_their_summary_only(spark, scratch):
+    path = scratch("pairs")
+    M.pair_summary(R.rides(spark, SF_SMALL)).write.parquet(path)
+    pairs = spark.read.parquet(path)
+    for view in M.PAIR_VIEWS:
+        text = _plan(M.VIEWS[view](pairs), "simple")
+        assert text.count("FileScan") == 1 and "pickup_datetime" not in text
 
 
 def test_weather_broadcast_bound(spark):
