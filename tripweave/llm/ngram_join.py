@@ -65,6 +65,20 @@ class WordHash(dict):
 
 
 _WORDS = WordHash()
+
+
+def _released(run: Callable) -> Callable:
+    """``run`` with the word cache emptied when its task ends: a worker process
+    outlives the stage, and the next stage needs the memory."""
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _WORDS.clear()
+
+    return task
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -196,7 +210,7 @@ def _prefixes(docs: DataFrame, levels, width: int, pct: int) -> DataFrame:
             yield record_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, s1 long, s2 long, tokens array<long>")
+        _released(run), "doc_id long, n long, s1 long, s2 long, tokens array<long>")
 
 
 def _cell_links(ids: np.ndarray, tiles: np.ndarray, sets: list[np.ndarray], across: bool, pct: int,
@@ -306,7 +320,7 @@ def _verify(groups: DataFrame, docs: DataFrame, width: int, pct: int, every: boo
         if len(held) > 1:
             yield flush()
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(_released(run), "a long, b long")
 
 
 def join(docs: DataFrame, threshold_pct: int = 80, width: int = 5, every: bool = False) -> tuple[DataFrame, DataFrame]:

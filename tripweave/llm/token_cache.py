@@ -39,7 +39,7 @@ class ChunkIds(dict):
     young one is full it becomes the old one, and what is met again moves
     back.  Chunks longer than ``longest`` are encoded but not kept."""
 
-    def __init__(self, encode: Callable[[str], list[int]], cap: int = 500_000, longest: int = 64):
+    def __init__(self, encode: Callable[[str], list[int]], cap: int = 300_000, longest: int = 64):
         super().__init__()
         self.encode, self.cap, self.longest = encode, cap, longest
         self.old: dict[str, bytes] = {}
