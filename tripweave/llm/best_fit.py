@@ -218,16 +218,17 @@ _PIECES = pa.schema([(n, pa.int64()) for n in ("doc_id", "piece", "start", "leng
 _DDL = ", ".join(f"{f.name} long" for f in _PIECES)
 
 
-def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_path: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_path: str | None = None,
+           cache_chunks: int = 500_000) -> DataFrame:
     """One row per piece, with its task (part) and its rank among the pieces of
-    its length in that task."""
+    its length in that task.  ``cache_chunks`` bounds a worker's token cache."""
     spark = docs.sparkSession
     prepare(spark)
     spec = spark.sparkContext.broadcast(tokenizer_text(tokenizer_path))
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, part, seen = library_ids(spec.value), TaskContext.get().partitionId(), Counter()
+        cache, part, seen = library_ids(spec.value, cache_chunks), TaskContext.get().partitionId(), Counter()
         for doc_ids, texts in text_slices(batches, ("doc_id",)):
             rows = []
             for doc_id, text in zip(doc_ids, texts, strict=True):
@@ -240,10 +241,11 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_pat
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, _DDL)
 
 
-def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_path: str | None = None,
+         cache_chunks: int = 500_000) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset)."""
     spark = docs.sparkSession
-    table = written(pieces(docs, capacity, end_id, tokenizer_path), "pieces")
+    table = written(pieces(docs, capacity, end_id, tokenizer_path, cache_chunks), "pieces")
     # pieces of a length in each task, and how many of them lie in tasks before
     counts = written(table.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

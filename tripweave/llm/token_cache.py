@@ -39,7 +39,7 @@ class ChunkIds(dict):
     young one is full it becomes the old one, and what is met again moves
     back.  Chunks longer than ``longest`` are encoded but not kept."""
 
-    def __init__(self, encode: Callable[[str], list[int]], cap: int = 300_000, longest: int = 64):
+    def __init__(self, encode: Callable[[str], list[int]], cap: int = 500_000, longest: int = 64):
         super().__init__()
         self.encode, self.cap, self.longest = encode, cap, longest
         self.old: dict[str, bytes] = {}
@@ -65,9 +65,10 @@ class ChunkIds(dict):
 _LOADED: dict[tuple[str, int], ChunkIds] = {}
 
 
-def library_ids(tokenizer_json: str) -> ChunkIds:
-    """The cache over the ``tokenizers`` library for this worker process."""
-    key = ("library", hash(tokenizer_json))
+def library_ids(tokenizer_json: str, cap: int = 500_000) -> ChunkIds:
+    """The cache over the ``tokenizers`` library for this worker process; a chunk
+    in one of its two generations of ``cap`` takes about 200 bytes."""
+    key = (f"library-{cap}", hash(tokenizer_json))
     if key not in _LOADED:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # one task, one core
         from tokenizers import Tokenizer
@@ -76,7 +77,7 @@ def library_ids(tokenizer_json: str) -> ChunkIds:
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
-        _LOADED[key] = ChunkIds(lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids)
+        _LOADED[key] = ChunkIds(lambda chunk: tokenizer.encode(chunk, add_special_tokens=False).ids, cap)
     return _LOADED[key]
 
 
