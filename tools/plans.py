@@ -59,6 +59,9 @@ def main() -> None:
     summary_path = scratch_path(spark, "p-summary")
     M.minute_summary(written).write.parquet(summary_path)
     summary = spark.read.parquet(summary_path)
+    pairs_path = scratch_path(spark, "p-pairs")
+    M.pair_summary(written).write.parquet(pairs_path)
+    pairs = spark.read.parquet(pairs_path)
 
     sections = [
         ("Enrichment (`build_rides`)",
@@ -71,16 +74,19 @@ def main() -> None:
          "`WindowGroupLimit` Partial before the exchange: each map task sends at most one row per hour.",
          clean_weather(obs, tie_break=["station_seq"])),
         ("Minute summary (`minute_summary`, written once per run)",
-         "Partial aggregation (map-side combine) before the only exchange; 11 of the 18 columns read.",
+         "Trips aggregated by the minute alone (partial aggregation before the exchange); the hours' weather "
+         "is joined to the minutes.",
          M.minute_summary(written)),
         ("ROLLUP over the summary (`measures_by_time`)",
-         "`Expand` multiplies summary rows, never trips.", M.measures_by_time(summary)),
+         "No `Expand`: each level is aggregated from the level below it. This is the plan before adaptive "
+         "execution; when it runs, equal exchanges are computed once.", M.measures_by_time(summary)),
         ("Grouping sets over the summary (`measures_by_weather`)",
-         "Filter, then `Expand` over summary rows; the sort applies to the final small result.",
+         "Filter, then each set from the smallest set that holds it; the sort applies to the final small result.",
          M.measures_by_weather(summary)),
-        ("Heatmap over the table (`pickup_dropoff_heatmap`)",
-         "Partial aggregation before the exchange; a hot zone pair is combined in each map task.",
-         M.pickup_dropoff_heatmap(written)),
+        ("Heatmap over the pair summary (`pickup_dropoff_heatmap`)",
+         "Reads the pair summary only; the trips are not scanned.", M.pickup_dropoff_heatmap(pairs)),
+        ("Dashboard filters over the pair summary (`dashboard_filters`)",
+         "Reads six columns of the pair summary.", M.dashboard_filters(pairs)),
     ]
     out = ["# Physical plans", "",
            f"Generated by `python tools/plans.py` on {os.path.basename(sf_dir.rstrip('/'))}, "
