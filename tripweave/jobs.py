@@ -29,7 +29,8 @@ if __package__ in (None, ""):
 
 from tripweave.operators.checks import RideAudit  # noqa: E402
 from tripweave.plans.backfill import backfill  # noqa: E402
-from tripweave.plans.publish import RidesStore  # noqa: E402
+from tripweave.operators.weather import split_observations  # noqa: E402
+from tripweave.plans.publish import RidesStore, new_run_id  # noqa: E402
 from tripweave.plans.rides import build_rides  # noqa: E402
 from tripweave.session import get_session  # noqa: E402
 from tripweave.sources.files import read_observations, read_trips, read_zones, require_inputs  # noqa: E402
@@ -57,6 +58,9 @@ def _parser() -> argparse.ArgumentParser:
             s.add_argument("--weather-from", default=None, help="first hour kept, e.g. 2024-01-01")
             s.add_argument("--weather-until", default=None, help="first hour dropped, e.g. 2024-02-01")
             s.add_argument("--max-records", type=int, default=100_000, help="rows per output file")
+        if name in ("build", "publish"):
+            s.add_argument("--rejects", default=None,
+                           help="folder for the observations by state, with what was refused and why (a sub-folder per run)")
         if name == "publish":
             s.add_argument("--database", default="default", help="database of the lasting views")
         if name == "backfill":
@@ -98,6 +102,11 @@ def run(argv: list[str] | None = None, spark=None) -> int:
                         weather_window=_weather_window(args), stable_id=args.stable_id)
         print(f"months written: {', '.join(done) or 'none'}")
         return 0
+    if args.rejects:
+        path = f"{args.rejects.rstrip('/')}/run_id={new_run_id()}"
+        weather, rejected = split_observations(weather, path)
+        for row in rejected.groupBy("field", "reason", "state").count().orderBy("field", "reason", "state").collect():
+            print(f"refused {row['field']}: {row['reason']}, row {row['state']}: {row['count']}")
     audit = RideAudit()
     rides = build_rides(trips, zones, weather, mapping=args.mapping, year=year,
                         weather_window=_weather_window(args), row_id=args.row_id, stable_id=args.stable_id, audit=audit)

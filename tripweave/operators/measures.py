@@ -36,6 +36,7 @@ from tripweave.functions.numeric import or_unknown
 from tripweave.functions.timecols import (
     day_bucket, day_name_full, day_name_short, hour_bucket, minute_bucket, month_bucket,
 )
+from tripweave.operators.running import ranked
 from tripweave.schemas import BASE_VIEW_COLUMNS
 
 # Measure sets as (output name, kind, source column).
@@ -228,8 +229,29 @@ def _state_columns(summary: DataFrame) -> list[str]:
     return [c for c in summary.columns if c == "_n" or c.startswith("_s_") or c.startswith("_c_")]
 
 
-def _order(df: DataFrame, *cols: str) -> DataFrame:
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
+# Orders of the views (O1-O5): columns, ``-`` for descending; the last ones decide ties.
+VIEW_ORDERS = {
+    "measures_by_dow": ["dow", "hour"],
+    "measures_by_weather": ["dow", "hour", "condition", "severity"],
+    "rides_over_time": ["ts_hour"],
+    "rides_over_day": ["ts_day"],
+    "rides_by_weather": ["-total_rides", "condition", "severity"],
+    **{f"{m}_vs_rides": ["pickup_hour", "condition", "severity", m] for m in ("precipitation", "temperature", "humidity")},
+}
+
+
+def view_order(view: str) -> list[Column]:
+    return [F.col(c[1:]).desc_nulls_last() if c[0] == "-" else F.col(c).asc_nulls_last() for c in VIEW_ORDERS[view]]
+
+
+def _order(df: DataFrame, view: str) -> DataFrame:
+    return df.orderBy(*view_order(view))
+
+
+def ranked_view(view: str, rides: DataFrame) -> DataFrame:
+    """A view with its order as a column, ``row_rank`` from 1: a reader that gets
+    the rows through a store or a shuffle can still sort them as the view does."""
+    return ranked(VIEWS[view](rides, ordered=False), view_order(view))
 
 
 # ---------------------------------------------------------------- row level
@@ -264,7 +286,7 @@ def measures_by_dow(rides: DataFrame, ordered: bool = True) -> DataFrame:
     ts = _time(rides)
     keys = {"dow": day_name_full(ts), "hour": F.hour(ts)}
     out = multi_grain(rides, keys, M7, grouping_sets=[["dow", "hour"], ["dow"], ["hour"]])
-    return _order(out, "dow", "hour") if ordered else out
+    return _order(out, "measures_by_dow") if ordered else out
 
 
 # The grouping sets of A3.
@@ -288,7 +310,7 @@ def measures_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
             "condition": F.col("condition"), "severity": F.col("severity")}
     out = multi_grain(derived, keys, M7, grouping_sets=WEATHER_SETS, from_states=states)
     out = out.select("dow", "hour", "condition", "severity", *[m[0] for m in M7])
-    return _order(out, "dow", "hour", "condition", "severity") if ordered else out
+    return _order(out, "measures_by_weather") if ordered else out
 
 
 # ---------------------------------------------------------------- single grain
@@ -296,13 +318,13 @@ def measures_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
 def rides_over_time(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A4 + O3: hourly series, M6."""
     out = rides.groupBy(hour_bucket(_time(rides)).alias("ts_hour")).agg(*_aggs(rides, M6))
-    return _order(out, "ts_hour") if ordered else out
+    return _order(out, "rides_over_time") if ordered else out
 
 
 def rides_over_day(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A5 + O3: daily series, M6."""
     out = rides.groupBy(day_bucket(_time(rides)).alias("ts_day")).agg(*_aggs(rides, M6))
-    return _order(out, "ts_day") if ordered else out
+    return _order(out, "rides_over_day") if ordered else out
 
 
 def avg_rides_per_dow(rides: DataFrame) -> DataFrame:
@@ -322,14 +344,14 @@ def rides_by_weather(rides: DataFrame, ordered: bool = True) -> DataFrame:
     """A7 + X13 + O4: per weather label, missing labels as ``Unknown``."""
     out = rides.groupBy(or_unknown("condition").alias("condition"),
                         or_unknown("severity").alias("severity")).agg(*_aggs(rides, M_WEATHER))
-    return out.orderBy(F.col("total_rides").desc()) if ordered else out
+    return _order(out, "rides_by_weather") if ordered else out
 
 
 def measure_vs_rides(rides: DataFrame, measure: str, ordered: bool = True) -> DataFrame:
     """A8–A10 (+ F5–F7, O5): scatter table of one weather measure against rides."""
     out = (rides.filter(F.col(measure).isNotNull())
            .groupBy("pickup_hour", "condition", "severity", measure).agg(*_aggs(rides, M3)))
-    return _order(out, "pickup_hour") if ordered else out
+    return _order(out, f"{measure}_vs_rides") if ordered else out
 
 
 def precipitation_vs_rides(rides: DataFrame, ordered: bool = True) -> DataFrame:

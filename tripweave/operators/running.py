@@ -24,6 +24,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     there, and a lost executor never repeats the work before it."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    return read_back(df, path)
+
+
+def read_back(df: DataFrame, path: str) -> DataFrame:
+    """What ``df`` wrote to ``path``, whose schema is known, so that a table
+    without rows or files is read too."""
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -50,3 +56,11 @@ def running(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
     return (local.join(before, [*key, "_piece"], "left")
             .select(*df.columns, *[_JOIN[how](F.col(n), F.coalesce(F.col(f"_b_{n}"), F.lit(0))).alias(n)
                                    for n, (how, _) in values.items()]))
+
+
+def ranked(df: DataFrame, order: Sequence[Column], name: str = "row_rank") -> DataFrame:
+    """``df`` with its place in the total ``order``, from 1: places within range
+    partitions plus the sizes of those before, so no task sorts all rows and the
+    order outlives any later shuffle or write.  Rows equal in all of ``order`` must
+    be equal in all columns."""
+    return running(df, [], order, {name: ("sum", F.lit(1).cast("bigint"))})

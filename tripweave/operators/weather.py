@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions.timecols import hour_bucket, year_window
 from tripweave.functions.weathercodes import (
     condition_of, first_code, parse_precipitation, severity_of, tolerant_float,
 )
+from tripweave.operators.running import read_back
 from tripweave.schemas import OBSERVATION_COLUMNS, WEATHER_COLUMNS
 
 
@@ -86,3 +87,46 @@ def clean_weather(obs: DataFrame, *, window: tuple | None = None,
         stamped = stamped.filter(year_window(stamped, ["HOUR"], *window))
     return _typed(first_per_hour(stamped, tie_break),
                   blank_condition_as_null=blank_condition_as_null).select(*WEATHER_COLUMNS)
+
+
+# ---------------------------------------------------------------- rejected text
+
+#: What the observations are parted into: ``dropped`` has no usable time,
+#: ``partial`` lacks a measure whose text does not parse.
+CLEAN, PARTIAL, DROPPED = "clean", "partial", "dropped"
+
+
+def rejected_fields() -> Column:
+    """(field, text, reason) of every field of an observation whose text the rules
+    turn into NULL or an empty condition; a NULL measure is absent, not rejected."""
+    def bad(field: str, when: Column, reason: Column | str) -> Column:
+        return F.when(when, F.struct(F.lit(field).alias("field"), F.col(field).alias("text"),
+                                     (F.lit(reason) if isinstance(reason, str) else reason).alias("reason")))
+
+    number = {"HourlyPrecipitation": parse_precipitation, "HourlyRelativeHumidity": tolerant_float,
+              "HourlyDryBulbTemperature": tolerant_float}
+    weather = "HourlyPresentWeatherType"
+    return F.array_compact(F.array(
+        bad("DATE", F.col("DATE").try_cast("timestamp_ntz").isNull(),
+            F.when(F.col("DATE").isNull(), "missing").otherwise("not a timestamp")),
+        *[bad(c, F.col(c).isNotNull() & parse(c).isNull(), "not a number") for c, parse in number.items()],
+        bad(weather, condition_of(first_code(weather)) == "", "no condition"),
+    ))
+
+
+def split_observations(obs: DataFrame, path: str, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of one pass over the observations, which is written to
+    ``path`` in a folder per state.  ``accepted`` are the raw rows with a usable
+    time, as ``clean_weather`` takes them; ``rejected`` has a row per refused
+    field, with its text, the reason, the state and the whole source row."""
+    kept = [*OBSERVATION_COLUMNS, *keep]
+    refused = obs.select(*kept, rejected_fields().alias("refused"))
+    state = (F.when(F.exists("refused", lambda r: r["field"] == "DATE"), DROPPED)
+             .when(F.size("refused") > 0, PARTIAL).otherwise(CLEAN))
+    parted = refused.withColumn("state", state)
+    parted.write.partitionBy("state").parquet(path)
+    rows = read_back(parted, path)
+    # both conditions are on the folder name: each output reads its own folders
+    return (rows.filter(F.col("state").isin(CLEAN, PARTIAL)).select(*kept),
+            rows.filter(F.col("state").isin(PARTIAL, DROPPED)).select(
+                *kept, "state", F.explode("refused").alias("r")).select(*kept, "state", "r.*"))

@@ -35,7 +35,8 @@ zones AS (
 OBS = """
 obs AS (
   SELECT trip_id AS station_seq,
-         strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S') AS DATE,
+         CASE WHEN extract(hour FROM pickup_datetime) = 5 THEN strftime(pickup_datetime, '%d.%m.%Y %H:%M')
+              ELSE strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S') END AS DATE,
          CASE trip_id % 5 WHEN 0 THEN 'T'
                           WHEN 1 THEN CAST(base_passenger_fare AS VARCHAR) || 's'
                           WHEN 2 THEN CAST(base_passenger_fare AS VARCHAR)
@@ -45,8 +46,7 @@ obs AS (
          CASE trip_id % 7 WHEN 0 THEN '-RA:02 BR:1 |RA |' WHEN 1 THEN '+SN:03'
                           WHEN 2 THEN '|FG:2' WHEN 3 THEN 'HZ:7 |FU |HZ' WHEN 4 THEN NULL
                           WHEN 5 THEN 'RA BR' WHEN 6 THEN '+FG' END AS HourlyPresentWeatherType
-  FROM raw
-  WHERE extract(hour FROM pickup_datetime) <> 5)"""
+  FROM raw)"""
 
 PARSED = """
 parsed AS (
@@ -300,6 +300,34 @@ SELECT DISTINCT CAST(date_trunc('day', pickup_datetime) AS TIMESTAMP) AS pickup_
        pickup_borough, dropoff_borough
 FROM rides"""
 
+_ORDERS = {
+    "measures_by_dow": "dow NULLS LAST, hour NULLS LAST",
+    "measures_by_weather": "dow NULLS LAST, hour NULLS LAST, condition NULLS LAST, severity NULLS LAST",
+    "rides_over_time": "ts_hour",
+    "rides_over_day": "ts_day",
+    "rides_by_weather": "total_rides DESC, condition, severity",
+    **{f"{m}_vs_rides": f"pickup_hour, condition NULLS LAST, severity NULLS LAST, {m}"
+       for m in ("precipitation", "temperature", "humidity")},
+}
+for _k, _o in _ORDERS.items():
+    SQL[f"{_k}_ranked"] = f"SELECT *, row_number() OVER (ORDER BY {_o}) AS row_rank FROM ({SQL[_k]}) x"
+
+_BAD = [
+    ("DATE", "not a timestamp", "TRY_CAST(DATE AS TIMESTAMP) IS NULL"),
+    ("HourlyPrecipitation", "not a number", "HourlyPrecipitation IS NOT NULL AND TRY_CAST(CASE WHEN HourlyPrecipitation = 'T' "
+     "THEN '0' ELSE regexp_replace(HourlyPrecipitation, 's$', '') END AS FLOAT) IS NULL"),
+    *((c, "not a number", f"{c} IS NOT NULL AND TRY_CAST({c} AS FLOAT) IS NULL")
+      for c in ("HourlyRelativeHumidity", "HourlyDryBulbTemperature")),
+    ("HourlyPresentWeatherType", "no condition",
+     "regexp_extract(split_part(HourlyPresentWeatherType, '|', 1), '[+-]?(\\w+)(:|$)', 1) = ''"),
+]
+SQL["rejected_observations"] = _with(RAW_EVENTS, OBS) + "\nUNION ALL ".join(
+    f"SELECT station_seq, DATE, '{field}' AS field, {field} AS text, "
+    f"{'CASE WHEN DATE IS NULL THEN ' + repr('missing') + ' ELSE ' + repr(why) + ' END' if field == 'DATE' else repr(why)} AS reason, "
+    f"CASE WHEN TRY_CAST(DATE AS TIMESTAMP) IS NULL THEN 'dropped' ELSE 'partial' END AS state FROM obs WHERE {cond}"
+    for field, why, cond in _BAD)
+SQL["rides_without_rejected"] = SQL["rides_enriched"]
+
 # The published views: the ten of the minute summary, and all of them by name.
 PUBLISHED = ("measures_by_time measures_by_dow measures_by_weather rides_over_time rides_over_day rides_by_weather "
              "precipitation_vs_rides temperature_vs_rides humidity_vs_rides pickup_dropoff_heatmap").split()

@@ -22,7 +22,7 @@ from tripweave.operators import measures as M
 from tripweave.operators.checks import RideAudit, ValidationError, hour_uniqueness
 from tripweave.operators.enrich import enrich, join_drop_report, typed_rides
 from tripweave.operators.trips import clean_trips
-from tripweave.operators.weather import clean_weather
+from tripweave.operators.weather import clean_weather, split_observations
 from tripweave.operators.zones import with_zones
 from tripweave.plans.backfill import backfill, months_ledger, read_backfilled
 from tripweave.plans.deltas import SummaryDeltas
@@ -139,6 +139,28 @@ def _view_from_pairs(builder):
     return run
 
 
+def _view_ranked(view):
+    """The view with the place of each row in its order."""
+    def run(spark, sf_dir):
+        return M.ranked_view(view, rides(spark, sf_dir))
+    run.__name__ = f"q_{view}_ranked"
+    return run
+
+
+def q_rejected_observations(spark, sf_dir):
+    """Every text that a rule refuses, with the reason."""
+    _, _, obs = inputs(spark, sf_dir)
+    _, rejected = split_observations(obs, scratch_path(spark, "observations"), keep=TIE_BREAK)
+    return rejected.select("station_seq", "DATE", "field", "text", "reason", "state")
+
+
+def q_rides_without_rejected(spark, sf_dir):
+    """Rides from the accepted observations of that pass, which lose nothing."""
+    raw, zones, obs = inputs(spark, sf_dir)
+    accepted, _ = split_observations(obs, scratch_path(spark, "observations"), keep=TIE_BREAK)
+    return build_rides(raw, zones, accepted, row_id="trip_id", tie_break=TIE_BREAK)
+
+
 def _two_deltas(spark, sf_dir) -> SummaryDeltas:
     """Two runs that share nearly every minute, hour and place pair, the second
     one sent twice."""
@@ -404,6 +426,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: _view(builder) for name, builder in M.VIEWS.items()},
     **{f"{name}_from_summary": _view_from_summary(M.VIEWS[name]) for name in sorted(M.SUMMARY_VIEWS)},
     **{f"{name}_from_summary": _view_from_pairs(M.VIEWS[name]) for name in sorted(M.PAIR_VIEWS)},
+    **{f"{name}_ranked": _view_ranked(name) for name in M.VIEW_ORDERS},
+    "rejected_observations": q_rejected_observations,
+    "rides_without_rejected": q_rides_without_rejected,
     "published_views": q_published_views,
     "publish_guards": q_publish_guards,
     "stable_row_id": q_stable_row_id,

@@ -9,9 +9,10 @@ Spark: every derived input grows with the tables it comes from.
                   ``lineitem`` (bench scale)
 * zones        <- ``nation`` joined with ``region`` (25 zones; trip keys 25–29
                   match none, so the inner zone join drops some trips)
-* observations <- the raw trips themselves: one observation per trip, hour 5
-                  excluded (so the hour join drops some trips), several per
-                  hour (so the first-per-hour rule matters)
+* observations <- the raw trips themselves: one observation per trip, those of
+                  hour 5 with a ``DATE`` that does not parse (so the hour join
+                  drops some trips), several per hour (so the first-per-hour
+                  rule matters)
 """
 
 from __future__ import annotations
@@ -115,9 +116,11 @@ def observations_from_trips(raw_trips: DataFrame) -> DataFrame:
     code = F.lit(None).cast("string")
     for i, text in reversed(list(enumerate(WEATHER_CODE_FIXTURES))):
         code = F.when(c == i, F.lit(text).cast("string")).otherwise(code)
-    return (raw_trips.filter(F.hour("pickup_datetime") != 5)
+    date = (F.when(F.hour("pickup_datetime") == 5, F.date_format("pickup_datetime", "dd.MM.yyyy HH:mm"))
+            .otherwise(F.date_format("pickup_datetime", "yyyy-MM-dd'T'HH:mm:ss")))
+    return (raw_trips
             .select(seq.alias("station_seq"),
-                    F.date_format("pickup_datetime", "yyyy-MM-dd'T'HH:mm:ss").alias("DATE"),
+                    date.alias("DATE"),
                     precip.alias("HourlyPrecipitation"),
                     (seq % 101).cast("string").alias("HourlyRelativeHumidity"),
                     (seq % 95).cast("string").alias("HourlyDryBulbTemperature"),
