@@ -491,3 +491,54 @@ def test_license_scan_misses_no_short_notice(spark, texts):
     docs = [(i, f"a{i} b{i} c{i} {notice} d{i} e{i} f{i}") for i in range(12_000)]   # a miss in 1,000 would show
     got = {r["doc_id"] for r in rows(license_scan.scan(texts(docs))) if r["license_id"] == "MIT"}
     assert got == set(range(12_000))
+
+
+def test_license_scan_equals_brute_force_over_its_windows(spark, texts):
+    """Templates of all lengths in texts with words changed, put in and left out."""
+    r = random.Random(4)
+    held = {f"t{n}": " ".join(f"w{r.randrange(300)}" for _ in range(n)) for n in (3, 4, 7, 9, 18, 19, 40, 120, 600)}
+    docs = []
+    for name in sorted(held):
+        for _ in range(25):
+            words, rate = [], r.choice((0, 0, 0.02, 0.06, 0.1))
+            for w in held[name].split():
+                kind = r.choice("cio") if r.random() < rate else ""
+                words += {"": [w], "c": [f"x{r.randrange(99)}"], "i": [w, f"x{r.randrange(99)}"], "o": []}[kind]
+            lead, tail = ([f"w{r.randrange(300)}" for _ in range(r.randrange(40))] for _ in range(2))
+            docs.append((len(docs), " ".join(lead + words + tail)))
+    docs.append((len(docs), " ".join(held.values())))
+
+    def grams(text):
+        w = text.split()
+        return [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
+
+    want = {}
+    for i, t in docs:
+        own = grams(t)
+        for name, x in held.items():
+            n, need = len(grams(x)), set(grams(x))
+            wide, step = license_scan.width(n), license_scan.stride(n)
+            best = max((len(need & set(own[max(a, 0):max(a + wide, 0)])) for a in range(-(wide // step) * step, len(own), step)),
+                       default=0)
+            if 100 * best >= 80 * len(need):
+                want[i, name] = best
+    table = spark.createDataFrame(list(held.items()), "license_id string, text string")
+    found = rows(license_scan.scan(texts(docs), table, in_window=True))
+    assert {(o["doc_id"], o["license_id"]): o["shared"] for o in found} == want
+    assert len(found) == len(want) > 150
+    # the place is that of a 3-gram of the template
+    text = dict(docs)
+    assert all(grams(text[o["doc_id"]])[o["first_word"]] in set(grams(held[o["license_id"]])) for o in found)
+
+
+def test_license_scan_settings_miss_less_than_one_in_a_million():
+    assert max(license_scan.miss_estimate(n) for n in range(1, 3000)) < 1e-6
+    assert all(license_scan.width(n) - n >= license_scan.stride(n) - 1 for n in range(1, 3000))
+
+
+def test_license_scan_matches_repeated_rows_and_long_texts(spark, texts):
+    notice = license_scan.NOTICES["MIT"]
+    long = "lorem ipsum dolor " * 100_000 + notice + " sit amet" * 300_000
+    got = rows(license_scan.scan(texts([(1, notice), (1, notice), (2, long), (None, notice)]), in_window=True))
+    assert Counter(o["doc_id"] for o in got) == {1: 2, 2: 1, None: 1}
+    assert {o["first_word"] for o in got if o["doc_id"] == 2} == {300_000}

@@ -26,7 +26,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return license_scan.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"), in_window=True)
 
 
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
