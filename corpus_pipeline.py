@@ -34,13 +34,23 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of linked ones;
-    of a repeated doc_id, and of null ones, every row of a kept document stays."""
-    found = ngram_join.classes(docs.select("doc_id", "text"))
+    """Keeps one row of each group of linked ones: that of the smallest doc_id.
+    Where a doc_id is null or there twice, all rows first get keys of their own, in
+    a written copy, and the smallest key stays: copies that share an id go, and
+    another text under the id of a copy stays."""
+    docs = docs.select(*COLUMNS)
+    unclear = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("doc_id is null or n > 1")
+    if unclear.isEmpty():
+        keyed = docs.withColumn("own_id", F.col("doc_id"))
+    else:
+        keyed = written(docs.withColumnRenamed("doc_id", "own_id")
+                        .withColumn("doc_id", F.monotonically_increasing_id()), "keyed")
+    found = ngram_join.classes(keyed.select("doc_id", "text"))
     losers = written(found.filter("component_id <> doc_id").select("doc_id").distinct(), "losers")
-    docs, maybe = docs.select(*COLUMNS), ngram_join.maybe_in(losers)
+    maybe = ngram_join.maybe_in(losers)
     # only documents that may be losers are shuffled
-    return docs.filter(~maybe).union(docs.filter(maybe).join(losers, "doc_id", "left_anti").select(*COLUMNS))
+    kept = keyed.filter(~maybe).unionByName(keyed.filter(maybe).join(losers, "doc_id", "left_anti"))
+    return kept.select(F.col("own_id").alias("doc_id"), *COLUMNS[1:])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
