@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -79,5 +80,27 @@ def text_slices(batches: Iterable[pa.RecordBatch], keys: tuple[str, ...], text:
                 start, size = i + 1, 0
 
 
+def give_back() -> None:
+    """Return freed memory of this worker process to the system: it outlives the
+    task, and the next stage needs the memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # of the GNU C library alone
+    if trim is not None:
+        trim(0)
+
+
+def released(run: Callable, *caches: dict) -> Callable:
+    """``run`` with ``caches`` emptied and their memory given back when its task ends."""
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for cache in caches:
+                cache.clear()
+            give_back()
+
+    return task
+
+
 def record_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tripweave.llm.common import prepare, record_batch, text_slices
+from tripweave.llm.common import prepare, record_batch, released, text_slices
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -72,7 +72,7 @@ def count_grams(labelled: DataFrame) -> DataFrame:
             yield record_batch({"lang": [lang] * len(met), "bucket": met, "n": total[met]}, schema)
 
     parts = (labelled.select("text", "lang").filter("text is not null and lang is not null")
-             .mapInArrow(run, "lang string, bucket int, n long"))
+             .mapInArrow(released(run), "lang string, bucket int, n long"))
     return parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -132,4 +132,4 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.select(*others).mapInArrow(run, out)
+    return docs.select(*others).mapInArrow(released(run), out)

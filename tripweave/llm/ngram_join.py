@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import discard, prepare, record_batch, text_slices, written
+from tripweave.llm.common import discard, prepare, record_batch, released, text_slices, written
 from tripweave.llm.components import components
 
 #: Counters: one for about 16 shingles, at most 2 ** 24 (16 MB when sent).
@@ -68,13 +68,10 @@ _WORDS = WordHash()
 
 
 def _released(run: Callable) -> Callable:
-    """``run`` with the word cache emptied when its task ends: a worker process
-    outlives the stage, and the next stage needs the memory."""
+    """``run`` with this module's word cache emptied when its task ends; looked up
+    there, so the cache is never part of the function that Spark ships."""
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from run(batches)
-        finally:
-            _WORDS.clear()
+        yield from released(run, _WORDS)(batches)
 
     return task
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
-from tripweave.llm.common import prepare, record_batch, text_slices, written
+from tripweave.llm.common import prepare, record_batch, released, text_slices, written
 
 BUCKETS = 1 << 18
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -65,13 +65,10 @@ _FEATURES = Features()
 
 
 def _released(run: Callable) -> Callable:
-    """``run`` with the word cache emptied when its task ends: a worker process
-    outlives the stage, and the next stage needs the memory."""
+    """``run`` with this module's word cache emptied when its task ends; looked up
+    there, so the cache is never part of the function that Spark ships."""
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            yield from run(batches)
-        finally:
-            _FEATURES.clear()
+        yield from released(run, _FEATURES)(batches)
 
     return task
 
