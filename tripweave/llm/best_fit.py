@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import prepare, record_batch, text_slices, written
+from tripweave.llm.common import prepare, record_batch, released, text_slices, written
 from tripweave.llm.token_cache import library_ids, tokenizer_text
 
 Filling = tuple[tuple[int, int], ...]   # (length, how many), longest first
@@ -219,9 +219,10 @@ _DDL = ", ".join(f"{f.name} long" for f in _PIECES)
 
 
 def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_path: str | None = None,
-           cache_chunks: int = 500_000) -> DataFrame:
+           cache_chunks: int = 500_000, keep_cache: bool = True) -> DataFrame:
     """One row per piece, with its task (part) and its rank among the pieces of
-    its length in that task.  ``cache_chunks`` bounds a worker's token cache."""
+    its length in that task.  ``cache_chunks`` bounds a worker's token cache,
+    which lasts from task to task unless ``keep_cache`` is false."""
     spark = docs.sparkSession
     prepare(spark)
     spec = spark.sparkContext.broadcast(tokenizer_text(tokenizer_path))
@@ -238,14 +239,17 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_pat
                     seen[n] += 1
             yield record_batch(dict(zip(_PIECES.names, zip(*rows, strict=True), strict=True)), _PIECES)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run, _DDL)
+    def emptied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from released(run, library_ids(spec.value, cache_chunks))(batches)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(run if keep_cache else emptied, _DDL)
 
 
 def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer_path: str | None = None,
-         cache_chunks: int = 500_000) -> DataFrame:
+         cache_chunks: int = 500_000, keep_cache: bool = True) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset)."""
     spark = docs.sparkSession
-    table = written(pieces(docs, capacity, end_id, tokenizer_path, cache_chunks), "pieces")
+    table = written(pieces(docs, capacity, end_id, tokenizer_path, cache_chunks, keep_cache), "pieces")
     # pieces of a length in each task, and how many of them lie in tasks before
     counts = written(table.groupBy("length", "part").agg(F.count("*").alias("n")), "piece-counts")
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -52,13 +52,18 @@ class ChunkIds(dict):
             self[chunk] = ids
         return ids
 
+    def clear(self) -> None:
+        super().clear()
+        self.old = {}
+
     def packed(self, text: str | None) -> bytes:
         """Ids of one whole text (null: empty)."""
         if not text:
             return b""
         if len(self) >= self.cap:
-            self.old = dict(self)
+            young = dict(self)
             self.clear()
+            self.old = young
         return b"".join(map(self.__getitem__, chunks(text)))
 
 
