@@ -54,9 +54,9 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their sequences.  The token cache is kept small:
-    workers of the stage before may still hold memory."""
-    return best_fit.pack(docs.select("doc_id", "text"), cache_chunks=100_000)
+    """Pieces of all documents with their sequences.  The token cache is kept small
+    and lasts a task: workers hold memory of the stage before, and the next."""
+    return best_fit.pack(docs.select("doc_id", "text"), cache_chunks=100_000, keep_cache=False)
 
 
 STAGES = [
