@@ -9,14 +9,15 @@ keep their size; the number of tables follows from the bits and ``miss``, the
 chance that a pair just at the threshold meets nowhere.
 
 A bucket is dealt out in tiles of about ``tile`` classes, and each pair of tiles
-is one small matrix product, so a hot bucket is spread over many tasks and no
-pair is emitted before its cosine, in double precision, has passed.  A pair that
-meets in several tables is reported in the first only.
+is one small matrix product, so a hot bucket is spread over many tasks.  A pair
+whose cosine, in double precision, has passed counts in the first table in which
+it meets.  A cell returns link counts and one root for each class, not the pairs.
 
 Rows: vectors that are null, zero, or hold null or non-finite components link
 with nothing; vectors of different length are never compared; of a repeated
 vec_id with different components the usable vector with the smallest hash
-counts, and every row returns its result; null vec_ids are returned unlinked.
+counts, and every row returns its result; null vec_ids are returned unlinked;
+an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ from pyspark.sql import functions as F
 from tripweave.llm.common import prepare, record_batch, written
 from tripweave.llm.components import components
 
-_ROWS = "table int, sig long, lo int, hi int, tile int, rep long, dim int, vector binary, sigs binary"
 
 
 def shape(n: int, threshold: float, miss: float = 1e-3, bucket: int = 24) -> tuple[int, int]:
@@ -70,13 +70,13 @@ def _signatures(vectors: np.ndarray, bits: int, tables: int, seed: int) -> np.nd
 
 
 def _hashed(reps: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
-    """One row per class and table."""
-    schema = pa.schema([("table", pa.int32()), ("sig", pa.int64()), ("rep", pa.int64()), ("dim", pa.int32()),
-                        ("vector", pa.binary()), ("sigs", pa.binary())])
+    """One row per class: its unit vector and its hash in each table."""
+    schema = pa.schema([("rep", pa.int64()), ("dim", pa.int32()), ("copies", pa.int64()), ("vector", pa.binary()),
+                        ("sigs", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column("vec_id"))
+            ids, copies = np.asarray(batch.column("vec_id")), np.asarray(batch.column("copies"))
             sizes = np.asarray(batch.column("v").value_lengths())
             flat = np.asarray(batch.column("v").flatten())
             starts = np.cumsum(sizes) - sizes
@@ -86,26 +86,40 @@ def _hashed(reps: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
                 x = x / np.abs(x).max(axis=1, keepdims=True)        # no overflow in the norm
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
                 sigs = _signatures(x, bits, tables, seed)
-                vectors = [r.astype("<f8").tobytes() for r in x]
-                packed = [s.astype("<i8").tobytes() for s in sigs]
-                for t in range(tables):
-                    yield record_batch({"table": np.full(len(rows), t), "sig": sigs[:, t], "rep": ids[rows],
-                                        "dim": np.full(len(rows), dim), "vector": vectors, "sigs": packed}, schema)
-
-    return reps.select("vec_id", "v").mapInArrow(
-        run, "table int, sig long, rep long, dim int, vector binary, sigs binary")
-
-
-def compare_cells(cells: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) linked classes, a < b, from rows sorted by cell."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def links(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+                yield record_batch({"rep": ids[rows], "dim": np.full(len(rows), dim), "copies": copies[rows],
+                                    "vector": [r.astype("<f8").tobytes() for r in x],
+                                    "sigs": [s.astype("<i8").tobytes() for s in sigs], "keys": list(sigs)}, schema)
+
+    return reps.select("vec_id", "v", "copies").mapInArrow(
+        run, "rep long, dim int, copies long, vector binary, sigs binary, keys array<long>")
+
+
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest place in the component of each of ``n`` places linked by (i, j)."""
+    root = np.arange(n)
+    while True:
+        low, now = np.minimum(root[i], root[j]), root.copy()
+        np.minimum.at(now, i, low)
+        np.minimum.at(now, j, low)
+        now = now[now]
+        if (now == root).all():
+            return root
+        root = now
+
+
+def compare_cells(cells: DataFrame, threshold: float, pairs: bool = False) -> DataFrame:
+    """(rep, root, others) from rows sorted by cell: for each class with a link
+    in a cell, one class of its component there, and the vectors of the classes
+    that it is linked with.  A link counts in the first table where both meet.
+    With ``pairs`` the links themselves, (a, b) with a < b."""
+    names = ("a", "b") if pairs else ("rep", "root", "others")
+    schema = pa.schema([(n, pa.int64()) for n in names])
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
         (table, _, lo, hi, *_), same = rows[0], rows[0][2] == rows[0][3]
-        tile = np.array([r[4] for r in rows])
-        ids = np.array([r[5] for r in rows])
-        x = np.frombuffer(b"".join(r[7] for r in rows), "<f8").reshape(len(rows), -1)
-        sigs = np.frombuffer(b"".join(r[8] for r in rows), "<i8").reshape(len(rows), -1)
+        tile, ids, copies = (np.array([r[k] for r in rows]) for k in (4, 5, 7))
+        x = np.frombuffer(b"".join(r[8] for r in rows), "<f8").reshape(len(rows), -1)
+        sigs = np.frombuffer(b"".join(r[9] for r in rows), "<i8").reshape(len(rows), -1)
         left = np.arange(len(rows)) if same else np.flatnonzero(tile == lo)
         right = left if same else np.flatnonzero(tile == hi)
         i, j = np.nonzero(x[left] @ x[right].T >= threshold)
@@ -113,9 +127,17 @@ def compare_cells(cells: DataFrame, threshold: float) -> DataFrame:
         keep = ids[i] < ids[j] if same else ids[i] != ids[j]
         i, j = i[keep], j[keep]
         if table and len(i):
-            first = ~(sigs[i, :table] == sigs[j, :table]).any(axis=1)
-            i, j = i[first], j[first]
-        return np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+            met = np.zeros(len(i), bool)
+            for t in range(table):
+                met |= sigs[i, t] == sigs[j, t]
+            i, j = i[~met], j[~met]
+        if pairs:
+            return record_batch({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])}, schema)
+        others = np.zeros(len(rows), np.int64)
+        np.add.at(others, i, copies[j])
+        np.add.at(others, j, copies[i])
+        at, root = np.flatnonzero(others), _roots(len(rows), i, j)
+        return record_batch({"rep": ids[at], "root": ids[root[at]], "others": others[at]}, schema)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, rows = None, []
@@ -124,33 +146,49 @@ def compare_cells(cells: DataFrame, threshold: float) -> DataFrame:
                 key = (*row[:4], row[6])
                 if key != cell:
                     if len(rows) > 1:
-                        a, b = links(rows)
-                        yield record_batch({"a": a, "b": b}, schema)
+                        yield links(rows)
                     cell, rows = key, []
                 rows.append(row)
         if len(rows) > 1:
-            a, b = links(rows)
-            yield record_batch({"a": a, "b": b}, schema)
+            yield links(rows)
 
-    return cells.mapInArrow(run, "a long, b long")
+    return cells.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def near_pairs(reps: DataFrame, n: int, threshold: float = 0.95, miss: float = 1e-3, tile: int = 128,
+def near_pairs(reps: DataFrame, n: int, threshold: float = 0.95, miss: float = 1e-3, tile: int = 256,
                seed: int = 11) -> DataFrame:
-    """(a, b) class pairs with cosine >= threshold, each once."""
+    """(a, b) class pairs of reps (vec_id, v) with cosine >= threshold, each once:
+    quadratic in the size of a group, so ``dedup`` asks for ``near_links``."""
+    return compare_cells(_cells(reps.withColumn("copies", F.lit(1).cast("long")), n, threshold, miss, tile, seed),
+                         threshold, pairs=True)
+
+
+def near_links(reps: DataFrame, n: int, threshold: float = 0.95, miss: float = 1e-3, tile: int = 256,
+               seed: int = 11) -> DataFrame:
+    """(rep, root, others) of ``compare_cells`` for all classes (vec_id, v,
+    copies) with cosine >= threshold: no more rows than classes times the cells
+    they are in, however many links a group has."""
+    return compare_cells(_cells(reps, n, threshold, miss, tile, seed), threshold)
+
+
+def _cells(reps: DataFrame, n: int, threshold: float, miss: float, tile: int, seed: int) -> DataFrame:
+    """Rows of ``compare_cells``, sorted by cell."""
     bits, tables = shape(n, threshold, miss)
-    hashed = _hashed(reps, bits, tables, seed)
+    # written: a class computed twice could fall into two buckets of a table
+    signed = written(_hashed(reps, bits, tables, seed), "signed")
     # sizes of the buckets: a count that combines map-side, of hashes alone
-    sizes = hashed.groupBy("table", "sig", "dim").agg(F.count("*").alias("n")).filter("n > 1").select(
-        "table", "sig", "dim", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    dealt = hashed.join(sizes, ["table", "sig", "dim"]).withColumn(
-        "tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    sizes = (signed.select("dim", F.posexplode("keys").alias("table", "sig")).groupBy("table", "sig", "dim")
+             .agg(F.count("*").alias("n")).filter("n > 1")
+             .select("table", "sig", "dim", F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
+    dealt = (signed.select("rep", "dim", "copies", "vector", "sigs", F.posexplode("keys").alias("table", "sig"))
+             .join(sizes, ["table", "sig", "dim"])
+             .withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     cells = dealt.select("*", other.alias("o")).select(
         "table", "sig", F.least("tile", "o").alias("lo"), F.greatest("tile", "o").alias("hi"), "tile", "rep", "dim",
-        "vector", "sigs")
+        "copies", "vector", "sigs")
     cell = ["table", "sig", "dim", "lo", "hi"]
-    return compare_cells(cells.repartition(*cell).sortWithinPartitions(*cell), threshold)
+    return cells.repartition(*cell).sortWithinPartitions(*cell)
 
 
 def dedup(embeddings: DataFrame, threshold: float = 0.95, miss: float = 1e-3) -> DataFrame:
@@ -162,12 +200,11 @@ def dedup(embeddings: DataFrame, threshold: float = 0.95, miss: float = 1e-3) ->
     n = sizes.count()
     own = member.filter("vec_id = rep").select("vec_id", "h1")
     reps = (vectors.withColumn("h1", F.xxhash64("v")).join(own, ["vec_id", "h1"], "left_semi")
-            .dropDuplicates(["vec_id"]).select("vec_id", "v"))
-    pairs = written(near_pairs(reps, n, threshold, miss), "links")
-    sided = pairs.union(pairs.select(F.col("b"), F.col("a"))).toDF("rep", "other")
-    linked = (sided.join(sizes.toDF("other", "copies"), "other").groupBy("rep")
-              .agg(F.sum("copies").alias("others")))
-    groups = components(pairs).toDF("rep", "component")
+            .dropDuplicates(["vec_id"]).join(sizes.withColumnRenamed("rep", "vec_id"), "vec_id")
+            .select("vec_id", "v", "copies"))
+    found = written(near_links(reps, n, threshold, miss), "links")
+    linked = found.groupBy("rep").agg(F.sum("others").alias("others"))
+    groups = components(found.select("rep", "root")).toDF("rep", "component")
     per_class = (sizes.join(linked, "rep", "left").join(groups, "rep", "left")
                  .select("rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
                          F.coalesce("component", "rep").alias("component_id")))
