@@ -229,6 +229,40 @@ def test_join_equals_brute_force(spark, texts, monkeypatch, tile, max_tiles):
     assert got == brute_classes(docs)
 
 
+def test_large_group_of_near_copies_ships_few_texts(spark, texts, monkeypatch):
+    """1,500 near copies, 4 of 400 words changed in each, in 75 tiles: every two link."""
+    monkeypatch.setattr(ngram_join, "TILE", 8_000)
+    shipped, verify = [], ngram_join._verify
+    monkeypatch.setattr(ngram_join, "_verify", lambda dealt, *rest: (shipped.append(dealt.count()), verify(dealt, *rest))[1])
+    r = random.Random(3)
+    base = [f"w{r.randrange(5000)}" for _ in range(400)]
+    docs = []
+    for i in range(1500):
+        w = list(base)
+        for at in r.sample(range(400), 4):
+            w[at] = f"x{r.randrange(10**9)}"
+        docs.append((i, " ".join(w)))
+    docs += [(2000, " ".join(base[:200] + [f"y{k}" for k in range(200)])), (2001, "another text of some words here")]
+    got = {r["doc_id"]: r["component_id"] for r in rows(ngram_join.classes(texts(docs)))}
+    assert got == {i: 0 for i in range(1500)} | {2000: 2000, 2001: 2001}
+    assert sum(shipped) < 4 * len(docs)
+
+
+def test_parts_meet_other_parts_only(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", 10)
+    part = {i: 0 if i < 12 else 50 if i < 24 else i if i < 27 else None for i in range(30)}
+    groups = spark.createDataFrame([(1, i, 5, part[i]) for i in part] + [(2, i, 5, 7) for i in range(5)] + [(3, 1, 5, None)],
+                                   "key long, doc_id long, n long, part long")
+    cells = {}
+    for r in rows(ngram_join.deal(groups)):
+        cells.setdefault((r["key"], r["lo"], r["hi"]), []).append((r["doc_id"], r["tile"]))
+    met = {(a, b) for (_, lo, hi), held in cells.items() for a, x in held for b, y in held
+           if a < b and (lo == hi or x != y)}
+    want = {(a, b) for a in part for b in part if a < b and (part[a] is None or part[a] != part[b])}
+    assert want <= met and not any(part[a] == part[b] for a, b in met if max(a, b) < 24)
+    assert {key for key, *_ in cells} == {1}
+
+
 def test_join_reports_every_link_on_request(spark, texts):
     docs = near_copies(5, families=6, per=6)
     _, links = ngram_join.join(texts(docs), every=True)

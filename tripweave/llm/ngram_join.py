@@ -16,9 +16,13 @@ family (small families: one cell) by their prefixes, with the length, positional
 and suffix filters, and each pair that is left is verified once by its exact
 overlap.  A cell reports the links that hold its components together, or all of
 them on request.  Hot families are thereby spread over many tasks, and no pair
-is emitted before it is verified.  A family of more than ``MAX_TILES`` tiles is
-joined shingle by shingle instead, so that chains of unrelated documents which
-happen to share rare shingles cost in proportion to what they share.
+is emitted before it is verified.  A family of more than ``PIVOT_TILES`` tiles is
+first compared with one of its tiles.  Documents which those links join into one
+component are not compared with each other again (unless all links are asked
+for), so a large group of near copies costs two cells a document.  What is left of
+a family of more than ``MAX_TILES`` tiles is joined shingle by shingle, so that
+chains of unrelated documents which happen to share rare shingles cost in
+proportion to what they share.
 
 Exact copies send one prefix per task.  Shingles are compared by 64-bit hashes.
 
@@ -50,6 +54,8 @@ FILTER_BITS = 22
 #: Shingles of a tile, and tiles of a family that is joined as a whole.
 TILE = 20_000
 MAX_TILES = 64
+#: Families of more tiles are first compared with one of their tiles.
+PIVOT_TILES = 4
 #: Prefixes are longer by one shingle for so many shingles of a set.
 EXTRA = 50
 
@@ -284,16 +290,51 @@ def _cell_links(ids: np.ndarray, tiles: np.ndarray, sets: list[np.ndarray], acro
     return out
 
 
-def _verify(groups: DataFrame, docs: DataFrame, width: int, pct: int, every: bool) -> DataFrame:
-    """(a, b) links between documents that share a ``key`` in groups (key, doc_id, n)."""
-    sizes = groups.groupBy("key").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).filter("docs > 1").select(
-        "key", F.ceil(F.col("total") / TILE).cast("int").alias("tiles"))
-    dealt = (groups.join(sizes, "key")
-             .withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
-             .select("key", "doc_id", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o"))
-             .select("key", "doc_id", "tile", F.least("tile", "o").alias("lo"), F.greatest("tile", "o").alias("hi")))
+def deal(groups: DataFrame) -> DataFrame:
+    """(key, doc_id, tile, lo, hi): the cells of each document of groups (key,
+    doc_id, n, part).  Documents of one ``part`` are in one component already
+    (null: unknown).  A part of more than a tile has tiles of its own, which meet
+    those of other parts only; all other documents of a key share mixed tiles,
+    which meet every tile.  Tiles are named by hashes: should two have the same
+    name, their documents meet in one cell, and no pair is missed."""
+    open_keys = (groups.groupBy("key")
+                 .agg(F.count("*").alias("docs"), F.count("part").alias("known"), F.min("part").alias("low"),
+                      F.max("part").alias("high"))
+                 .filter("docs > 1 and not (known = docs and low = high)").select("key"))
+    large = (groups.filter("part is not null").groupBy("key", "part").agg(F.sum("n").alias("total"))
+             .filter(F.col("total") > TILE).select("key", "part", F.col("part").cast("string").alias("label")))
+    labelled = (groups.join(open_keys, "key", "left_semi").join(large, ["key", "part"], "left")
+                .select("key", "doc_id", "n", F.coalesce("label", F.lit("")).alias("label")))
+    labels = labelled.groupBy("key", "label").agg(
+        F.greatest(F.lit(1), F.ceil(F.sum("n") / TILE)).cast("int").alias("tiles"))
+    met = labels.select("key", F.col("label").alias("other"), F.col("tiles").alias("others"))
+    name = lambda label, number: F.xxhash64(label, number.cast("int"))
+    return (labelled.join(labels, ["key", "label"])
+            .withColumn("tile", name(F.col("label"), F.pmod(F.xxhash64("doc_id"), F.col("tiles"))))
+            .join(met, "key").filter((F.col("label") == "") | (F.col("label") != F.col("other")))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+            .withColumn("o", name(F.col("other"), F.col("o")))
+            .select("key", "doc_id", "tile", F.least("tile", "o").alias("lo"), F.greatest("tile", "o").alias("hi")))
+
+
+def deal_pivots(groups: DataFrame) -> DataFrame:
+    """Cells, as ``deal`` gives them, of one tile of each key with every tile of
+    the key: a document outside the first tile is in one cell."""
+    tiles = groups.groupBy("key").agg(F.ceil(F.sum("n") / TILE).cast("int").alias("tiles"))
+    tile = F.pmod(F.xxhash64("doc_id"), F.col("tiles"))
+    all_tiles = F.sequence(F.lit(0).cast("long"), F.col("tiles").cast("long") - 1)
+    return (groups.join(tiles, "key").withColumn("tile", tile)
+            .select("key", "doc_id", "tile", F.explode(
+                F.when(F.col("tile") == 0, all_tiles).otherwise(F.array(F.lit(0).cast("long")))).alias("o"))
+            .select("key", "doc_id", "tile", F.least("tile", "o").alias("lo"), F.greatest("tile", "o").alias("hi")))
+
+
+def _verify(dealt: DataFrame, docs: DataFrame, width: int, pct: int, every: bool) -> DataFrame:
+    """(a, b) links between documents that meet in a cell of ``dealt``."""
     cell = ["key", "lo", "hi"]
-    rows = (dealt.join(docs.select("doc_id", "text").filter("text is not null").filter(maybe_in(groups)), "doc_id")
+    # texts are merged, never broadcast, at every size
+    texts = docs.select("doc_id", "text").filter("text is not null").filter(maybe_in(dealt)).hint("merge")
+    rows = (dealt.join(texts, "doc_id")
             .select(*cell, "tile", "doc_id", "text").repartition(*cell).sortWithinPartitions(*cell))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -350,14 +391,28 @@ def join(docs: DataFrame, threshold_pct: int = 80, width: int = 5, every: bool =
         "doc_id", "family")
     members = written(ids.join(family, "doc_id"), "members")
     totals = members.groupBy("family").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).filter("docs > 1")
+    linked = None
+    if not every:
+        # families of many tiles: the links to one tile first, as what these hold together is not compared again
+        several = (members.join(totals.filter(F.col("total") > TILE * PIVOT_TILES), "family", "left_semi")
+                   .select(F.col("family").alias("key"), "doc_id", "n"))
+        if not several.isEmpty():
+            linked = written(_verify(written(deal_pivots(several), "pivots"), docs, width, threshold_pct, False),
+                             "pivot-links")
+    if linked is None:
+        members = members.withColumn("part", F.lit(None).cast("long"))
+    else:
+        members = written(members.join(components(linked).toDF("doc_id", "part"), "doc_id", "left"), "parts")
     wide = totals.filter(F.col("total") > TILE * MAX_TILES).select("family")
     whole = (members.join(totals.filter(F.col("total") <= TILE * MAX_TILES), "family", "left_semi")
-             .select(F.col("family").alias("key"), "doc_id", "n"))
-    by_token = (shared.join(members.join(wide, "family", "left_semi").select("doc_id", "n"), ["doc_id", "n"], "left_semi")
-                .select(F.xxhash64("token", "leader").alias("key"), "doc_id", "n").distinct())
-    found = _verify(whole, docs, width, threshold_pct, every)
-    if wide.limit(1).count():
-        found = found.union(_verify(by_token, docs, width, threshold_pct, every))
+             .select(F.col("family").alias("key"), "doc_id", "n", "part"))
+    by_token = (shared.join(members.join(wide, "family", "left_semi").select("doc_id", "n", "part"), ["doc_id", "n"])
+                .select(F.xxhash64("token", "leader").alias("key"), "doc_id", "n", "part").distinct())
+    found = _verify(written(deal(whole), "cells"), docs, width, threshold_pct, every)
+    if not wide.isEmpty():
+        found = found.union(_verify(written(deal(by_token), "token-cells"), docs, width, threshold_pct, every))
+    if linked is not None:
+        found = found.union(linked)
     return listed, written(found.distinct(), "jaccard-links")
 
 
