@@ -105,7 +105,7 @@ def slot(hashes: np.ndarray, size: int) -> np.ndarray:
     return (hashes >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
-def _summed(rows: DataFrame, counters: Callable[[pa.RecordBatch], np.ndarray], size: int,
+def _summed(rows: DataFrame, counters: Callable[[pa.RecordBatch], Iterable[np.ndarray]], size: int,
             finish: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """``size`` counters, bumped by every task at the places ``counters`` gives
     for its batches, summed block by block and reduced to a byte each.  Memory
@@ -115,8 +115,9 @@ def _summed(rows: DataFrame, counters: Callable[[pa.RecordBatch], np.ndarray], s
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.uint32)
         for batch in batches:
-            at, n = np.unique(counters(batch), return_counts=True)
-            total[at] += n.astype(np.uint32)
+            for places in counters(batch):
+                at, n = np.unique(places, return_counts=True)
+                total[at] += n.astype(np.uint32)
         blocks = total.reshape(-1, BLOCK)
         while len(met := np.flatnonzero(blocks.any(axis=1))):   # 255 at a time: a byte a counter
             part = np.minimum(blocks[met], 255)
@@ -148,8 +149,9 @@ def rarity(docs: DataFrame, width: int) -> np.ndarray:
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 1
     size = 1 << min(max(round(np.log2(chars / 6 / 16)), TABLE_BITS[0]), TABLE_BITS[1])
 
-    def places(batch: pa.RecordBatch) -> np.ndarray:
-        return slot(np.concatenate([shingles(t, width) for t in batch.column("text").to_pylist()]), size)
+    def places(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for texts, in text_slices([batch], ()):
+            yield slot(np.concatenate([shingles(t, width) for t in texts]), size)
 
     def level(total: np.ndarray) -> np.ndarray:
         return np.where(total > 0, np.minimum(255, 1 + 8 * np.log2(np.maximum(total, 1))), 0)
@@ -166,7 +168,7 @@ def maybe_in(ids: DataFrame) -> Column:
     """A filter on doc_id, of fixed size, that holds for every doc_id in ``ids``
     and few others: a join with ``ids`` then need not shuffle all texts.  Only
     doc_ids go through Python."""
-    found = _summed(ids.select("doc_id"), lambda b: _id_place(np.asarray(b.column("doc_id"))), 1 << FILTER_BITS,
+    found = _summed(ids.select("doc_id"), lambda b: [_id_place(np.asarray(b.column("doc_id")))], 1 << FILTER_BITS,
                     lambda total: total > 0)
     sent = ids.sparkSession.sparkContext.broadcast(np.packbits(found))   # 2 ** FILTER_BITS bits
 
