@@ -54,6 +54,25 @@ def test_cache_generations_do_not_change_results():
     assert all(len(k) <= 64 for k in large)
 
 
+def test_words_hold_the_most_ids_that_fit():
+    """Widths by 16-bit parts and selectors by sliding maxima, against coding id by id."""
+    r = np.random.default_rng(8)
+    edges = np.array([0, 1, 2**16 - 1, 2**16, 2**32, 2**53 + 1, 2**60 - 1, 2**60, 2**64 - 1], np.uint64)
+    some = [edges, np.zeros(130, np.uint64), np.zeros(0, np.uint64)]
+    some += [r.integers(0, 2**63, 400, dtype=np.uint64) >> r.integers(lo, 63, 400).astype(np.uint64) for lo in (0, 30, 45, 55, 60)]
+    for x in some:
+        assert token_files.bit_widths(x).tolist() == [int(i).bit_length() for i in x]
+        want, at = [], 0
+        while at < len(x):
+            widest = [max(int(i).bit_length() for i in x[at:at + n]) for n in token_files.COUNT]
+            want.append(next((s for s in range(1, 16) if widest[s] <= token_files.BITS[s]), 0))
+            at += int(token_files.COUNT[want[-1]])
+        words, escapes = token_files.pack_words(x)
+        assert (words >> np.uint64(60)).tolist() == want
+        assert escapes.tolist() == [i for i in x.tolist() if i >= 2**60]
+        assert (token_files.unpack_words(words, escapes, len(x)) == x).all()
+
+
 def test_encode_decode_odd_rows(spark, texts):
     enc = bpe_codec.encode(texts(ODD))
     assert Counter(r["doc_id"] for r in rows(enc)) == Counter(i for i, _ in ODD)

@@ -12,10 +12,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable
 
-import numpy as np
-
 #: Places where the quick cut below would part one token: a space or line feed
 #: next to other white space, a point or comma after anything but a letter or digit.
 #: Each pattern opens with the characters that it looks for, which is quick to scan.
@@ -26,7 +25,9 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 def chunks(text: str) -> list[str]:
     """Pieces of ``text`` whose ids can be computed one by one."""
-    if _ODD_SPACE.search(text) or _ODD_POINT.search(text) or "\0" in text:
+    line = text.replace("\n", " ")
+    # printable text has no other white space than the space, which is quick to tell
+    if ("  " in line or not line.isprintable()) and ("\0" in text or _ODD_SPACE.search(text)) or _ODD_POINT.search(text):
         return _CUT.split(text)
     return (text.replace(" ", "\x00 ").replace(",", "\x00,").replace(".", "\x00.")
             .replace("\n", "\x00\n\x00").split("\x00"))
@@ -47,7 +48,8 @@ class ChunkIds(dict):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
-            ids = np.array(self.encode(chunk), "<u4").tobytes()
+            got = self.encode(chunk)
+            ids = struct.pack(f"<{len(got)}I", *got)   # a few ids: quicker than an array
         if len(chunk) <= self.longest:
             self[chunk] = ids
         return ids

@@ -39,30 +39,40 @@ from tripweave.session import scratch_path
 MAGIC = b"TID1"
 STRIDE = 1024
 BLOCK_IDS = 1 << 18
+#: Chunks in each of the two generations of a worker's cache, of about 200 bytes.
+CACHE_CHUNKS = 800_000
 #: Ids per word and bits per id of each selector; 0 is the escape.
 COUNT = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 
+_WIDTHS = np.array([i.bit_length() for i in range(1 << 16)], np.uint8)
+
+
+def bit_widths(ids: np.ndarray) -> np.ndarray:
+    """Bits that each of some unsigned 64-bit ids takes."""
+    out = np.zeros(len(ids), np.uint8)
+    for part in range(4 if len(ids) and int(ids.max()) >> 16 else 1):
+        x = _WIDTHS[(ids >> np.uint64(16 * part)).astype(np.uint16)]
+        out = np.where(x > 0, x + np.uint8(16 * part), out)
+    return out
+
+
 def pack_words(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, escapes) of unsigned ids.  Each word takes the most ids that fit;
     the last may be filled up with zeros."""
     ids = np.ascontiguousarray(ids, np.uint64)
     n = len(ids)
     choice = np.zeros(n, np.uint8)   # selector of a word that starts at each id
-    widest = int(ids.max()).bit_length() if n else 0
+    # the widest of 1, 2, 4 ... ids in a row; zeros follow the last id
+    widths = [np.concatenate([bit_widths(ids), np.zeros(240, np.uint8)])]
     for s in range(15, 0, -1):       # from one id a word to the most
-        bits = int(BITS[s])
-        if bits >= widest:
-            choice[:] = s
-            continue
-        fit = np.flatnonzero(ids < np.uint64(1 << bits))          # mostly few for a short width
-        if not len(fit):
-            continue
-        last = np.flatnonzero(np.append(np.diff(fit) != 1, True))  # ends of runs
-        ends = fit[last] + 1
-        ends[ends == n] += 240                                     # zeros follow the last id
-        choice[fit[np.repeat(ends, np.diff(last, prepend=-1)) - fit >= COUNT[s]]] = s
+        power = int(COUNT[s]).bit_length() - 1
+        while len(widths) <= power:
+            x, m = widths[-1], 1 << (len(widths) - 1)
+            widths.append(np.maximum(x[:-m], x[m:]))
+        x, rest = widths[power], int(COUNT[s]) - (1 << power)
+        np.copyto(choice, np.uint8(s), where=np.maximum(x[:n], x[rest:rest + n]) <= np.uint8(BITS[s]))
     step = COUNT[choice].astype(np.uint8).tobytes()
     starts, at = [], 0
     while at < n:
@@ -75,9 +85,10 @@ def pack_words(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for s in range(2, 16):
         rows = np.flatnonzero(selector == s)
         if len(rows):
-            shifts = (np.arange(COUNT[s]) * BITS[s]).astype(np.uint64)
-            values = padded[first[rows][:, None] + np.arange(COUNT[s])]
-            words[rows] |= np.bitwise_or.reduce(values << shifts, axis=1)
+            at, some = first[rows], words[rows]
+            for k in range(COUNT[s]):
+                some |= padded[at + k] << np.uint64(k * BITS[s])
+            words[rows] = some
     escaped = np.flatnonzero(selector == 0)
     words[escaped] |= np.arange(len(escaped), dtype=np.uint64)
     return words, ids[first[escaped]]
@@ -91,9 +102,10 @@ def unpack_words(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     for s in range(2, 16):
         rows = np.flatnonzero(selector == s)
         if len(rows):
-            shifts = (np.arange(COUNT[s]) * BITS[s]).astype(np.uint64)
             mask = np.uint64((1 << int(BITS[s])) - 1)
-            out[first[rows][:, None] + np.arange(COUNT[s])] = (words[rows][:, None] >> shifts) & mask
+            at, some = first[rows], words[rows]
+            for k in range(COUNT[s]):
+                out[at + k] = (some >> np.uint64(k * BITS[s])) & mask
     escaped = np.flatnonzero(selector == 0)
     out[first[escaped]] = escapes[(words[escaped] & np.uint64((1 << 60) - 1)).astype(np.int64)]
     return out[:n]
@@ -164,7 +176,7 @@ def write_files(docs: DataFrame, path: str | None = None, end_id: int = 0, token
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, shard = library_ids(spec.value), TaskContext.get().partitionId()
+        cache, shard = library_ids(spec.value, CACHE_CHUNKS), TaskContext.get().partitionId()
         block = start = size = 0
         ids: list[int | None] = []
         arrays: list[np.ndarray] = []
