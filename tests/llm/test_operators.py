@@ -239,6 +239,14 @@ def near_copies(seed, families=12, per=14):
     return docs
 
 
+def passage_chain(n, seed=6):
+    """Texts of 400 words, of which 50 are also in the next one."""
+    r = random.Random(seed)
+    some = lambda k: [f"w{r.randrange(5000)}" for _ in range(k)]
+    passages = [some(50) for _ in range(n + 1)]
+    return [(i, " ".join(some(100) + passages[i] + some(100) + passages[i + 1] + some(100))) for i in range(n)]
+
+
 @pytest.mark.parametrize("tile,max_tiles", [(20_000, 64), (300, 64), (300, 1)])
 def test_join_equals_brute_force(spark, texts, monkeypatch, tile, max_tiles):
     monkeypatch.setattr(ngram_join, "TILE", tile)
@@ -267,6 +275,35 @@ def test_large_group_of_near_copies_ships_few_texts(spark, texts, monkeypatch):
     assert sum(shipped) < 4 * len(docs)
 
 
+def test_passage_chain_in_a_crowded_table_ships_few_texts(spark, texts, monkeypatch):
+    """240 texts, each with a passage of the one before and one of the next, too
+    little for a link; 4,096 counters for 95,000 shingles; and four near copies."""
+    monkeypatch.setattr(ngram_join, "TABLE_BITS", (12, 12))
+    monkeypatch.setattr(ngram_join, "TILE", 2_000)
+    monkeypatch.setattr(ngram_join, "MAX_TILES", 4)
+    shipped, verify = [], ngram_join._verify
+    monkeypatch.setattr(ngram_join, "_verify", lambda dealt, *rest: (shipped.append(dealt.count()), verify(dealt, *rest))[1])
+    docs = passage_chain(240)
+    docs += [(1000 + i, docs[100][1].replace(" ", "  ") + f" end{i} of it") for i in range(4)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows(ngram_join.classes(texts(docs)))}
+    assert got == brute_classes(docs)
+    assert sum(shipped) < len(docs)
+
+
+def test_near_copies_of_two_sizes_stay_close(spark):
+    """Pairs go by what their prefixes share; a shingle of many documents keeps them."""
+    r = np.random.default_rng(8)
+    held = {i: r.choice(60, 25, replace=False).tolist() for i in range(40)}
+    got = rows(ngram_join._close(spark.createDataFrame(
+        [(t, 0, i, 60 + i) for i, ts in held.items() for t in ts] + [(99, 5, i, 200) for i in range(500, 700)],
+        "token long, leader long, doc_id long, n long"), 80))
+    behind = lambda n: -(-n * 80 // 100) - 1 - n // ngram_join.EXTRA
+    want = {(a, b) for a in held for b in held if a < b and 100 * (60 + a) >= 80 * (60 + b) and
+            len(set(held[a]) & set(held[b])) >= max(1, -(-80 * (120 + a + b) // 180) - max(behind(60 + a), behind(60 + b)))}
+    assert want and len(want) < 780
+    assert {(x["a"], x["b"]) for x in got} == want | {(5, i) for i in range(500, 700)}
+
+
 def test_parts_meet_other_parts_only(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "TILE", 10)
     part = {i: 0 if i < 12 else 50 if i < 24 else i if i < 27 else None for i in range(30)}

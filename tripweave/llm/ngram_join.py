@@ -1,15 +1,20 @@
 """N-gram Jaccard join (operator 5): rare-first prefix filtering.
 
 A document is its set of distinct word shingles.  Shingles are ordered from rare
-to frequent by a count over all documents (a table of hashed counters, summed
-from all tasks).  Two sets that reach the threshold share one of
+to frequent by the frequencies of their words, and behind all others come those
+whose own count stands out (tables of hashed counters, summed from all tasks, of
+a fixed size: in a large corpus they tell only frequent shingles apart, and words
+are what keeps shingles that meet by chance out of the prefixes).  Two sets that reach the threshold share one of
 the first ``n - ceil(t n) + 1`` shingles of each, so only these prefixes are
 shuffled: documents meet on a prefix shingle.  Sorted by size within a shingle,
 documents are parted where the next one is too long for the one before (length
 filter).  Prefixes are longer by ``n // EXTRA``: the first ``k`` shingles that two
 linked sets share lie in prefixes longer by ``k - 1``, so a document that meets
 others on fewer shingles than its smallest partner would force is out, as one
-is that shares a chance shingle.  The rest form families.
+is that shares a chance shingle.  The rest form families.  Those of more than a
+tile fall apart: pairs that share too few prefix shingles for their two sizes are
+not linked, so a family holds together by what links may hold (a shingle of more
+than ``PAIRED`` documents keeps them together, without pairs).
 
 Each family is verified in cells.  A cell joins the documents of two tiles of a
 family (small families: one cell) by their prefixes, with the length, positional
@@ -34,6 +39,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -49,6 +55,8 @@ from tripweave.llm.components import components
 
 #: Counters: one for about 16 shingles, at most 2 ** 24 (16 MB when sent).
 TABLE_BITS = (16, 24)
+#: Counters of words: 2 ** 20.
+WORD_BITS = 20
 BLOCK = 4096
 FILTER_BITS = 22
 #: Shingles of a tile, and tiles of a family that is joined as a whole.
@@ -56,6 +64,8 @@ TILE = 20_000
 MAX_TILES = 64
 #: Families of more tiles are first compared with one of their tiles.
 PIVOT_TILES = 4
+#: Documents of a shingle that are compared in pairs.
+PAIRED = 64
 #: Prefixes are longer by one shingle for so many shingles of a set.
 EXTRA = 50
 
@@ -85,19 +95,32 @@ def _released(run: Callable) -> Callable:
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: str | None, width: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit shingle hashes.  ``bytes.lower`` changes A-Z only,
-    and ``bytes.split`` parts at space and the ASCII controls 9 to 13."""
+def word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of the words in turn.  ``bytes.lower`` changes A-Z only, and
+    ``bytes.split`` parts at space and the ASCII controls 9 to 13."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+
+
+def _windows(h: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of the shingles of words ``h`` in turn."""
     width = min(width, len(h))
-    out = np.full(len(h) - width + 1, width, np.uint64)
+    out = np.full(len(h) - width + 1 if width else 0, width, np.uint64)
     for k in range(width):
         out = (out ^ h[k:len(h) - width + 1 + k]) * _MIX
         out ^= out >> np.uint64(31)
-    return np.unique(out)
+    return out
+
+
+def _distinct(h: np.ndarray) -> np.ndarray:
+    """Sorted distinct values: a sort is quicker here than np.unique's hash table."""
+    h = np.sort(h)
+    return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
+
+
+def shingles(text: str | None, width: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit shingle hashes."""
+    return _distinct(_windows(word_hashes(text), width))
 
 
 def slot(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -110,7 +133,8 @@ def _summed(rows: DataFrame, counters: Callable[[pa.RecordBatch], Iterable[np.nd
     """``size`` counters, bumped by every task at the places ``counters`` gives
     for its batches, summed block by block and reduced to a byte each.  Memory
     is bounded by the table in every task, and on the driver by ``size`` bytes."""
-    schema = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("block", pa.int32()), ("digit", pa.int32()), ("counts", pa.binary())])
+    reduced = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.uint32)
@@ -119,44 +143,54 @@ def _summed(rows: DataFrame, counters: Callable[[pa.RecordBatch], Iterable[np.nd
                 at, n = np.unique(places, return_counts=True)
                 total[at] += n.astype(np.uint32)
         blocks = total.reshape(-1, BLOCK)
-        while len(met := np.flatnonzero(blocks.any(axis=1))):   # 255 at a time: a byte a counter
-            part = np.minimum(blocks[met], 255)
-            blocks[met] -= part
+        for digit in range(4):   # a byte a counter at a time, from the lowest
+            part = blocks.view(np.uint8).reshape(-1, BLOCK, 4)[:, :, digit if sys.byteorder == "little" else 3 - digit]
+            met = np.flatnonzero(part.any(axis=1))
             # mostly zeros and ones: a quarter of a byte a counter
-            yield record_batch({"block": met, "counts": [zlib.compress(r.astype(np.uint8), 1) for r in part]}, schema)
+            yield record_batch({"block": met, "digit": np.full(len(met), digit),
+                                "counts": [zlib.compress(part[m].tobytes(), 1) for m in met]}, schema)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+            for block, digit, counts in zip(batch.column("block").to_pylist(), batch.column("digit").to_pylist(),
+                                            batch.column("counts"), strict=True):
                 total = totals.setdefault(block, np.zeros(BLOCK, np.int64))
-                total += np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint8)
+                total += np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint8).astype(np.int64) << (8 * digit)
         for block, total in totals.items():
-            yield record_batch({"block": [block], "counts": [finish(total).astype(np.uint8).tobytes()]}, schema)
+            yield record_batch({"block": [block], "counts": [finish(total).astype(np.uint8).tobytes()]}, reduced)
 
-    ddl = "block int, counts binary"
     out = np.zeros((size // BLOCK, BLOCK), np.uint8)
-    for r in rows.mapInArrow(count, ddl).repartition("block").mapInArrow(add, ddl).collect():
+    counted = rows.mapInArrow(count, "block int, digit int, counts binary").repartition("block")
+    for r in counted.mapInArrow(add, "block int, counts binary").collect():
         out[r["block"]] = np.frombuffer(r["counts"], np.uint8)
     return out.ravel()
 
 
 def rarity(docs: DataFrame, width: int) -> np.ndarray:
-    """Level of each counter: about 8 log2 of how many documents hold a shingle
-    that falls there.  One byte a counter; the number of counters follows the
-    characters of the corpus (six to a word) within ``TABLE_BITS``."""
+    """A byte for each counter of shingles, then for each of words: about 8 log2 of
+    how many documents hold a shingle that falls there, or of how often its words
+    are there.  The number of shingle counters follows the characters of the corpus
+    (six to a word) within ``TABLE_BITS``; where many shingles share a counter, most
+    counts are chance, and those no higher than chance makes them become 0."""
     texts = docs.select("text").filter("text is not null")
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 1
     size = 1 << min(max(round(np.log2(chars / 6 / 16)), TABLE_BITS[0]), TABLE_BITS[1])
+    words = 1 << WORD_BITS
 
     def places(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for texts, in text_slices([batch], ()):
-            yield slot(np.concatenate([shingles(t, width) for t in texts]), size)
+            hashes = [word_hashes(t) for t in texts]
+            yield slot(np.concatenate([_distinct(_windows(h, width)) for h in hashes]), size)
+            yield slot(np.concatenate(hashes), words) + size
 
     def level(total: np.ndarray) -> np.ndarray:
         return np.where(total > 0, np.minimum(255, 1 + 8 * np.log2(np.maximum(total, 1))), 0)
 
-    return _summed(texts, places, size, level)
+    out = _summed(texts, places, size + words, level)
+    usual = 2 ** ((np.median(out[:size]) - 1) / 8)
+    out[:size][out[:size] <= level(np.array(max(1, usual + 3 * usual ** 0.5))).astype(np.uint8)] = 0
+    return out
 
 
 def _id_place(ids: np.ndarray) -> np.ndarray:
@@ -189,8 +223,20 @@ def must_meet(n: Column, pct: int) -> Column:
     return 1 + F.floor(F.ceil(n * pct / 100) / EXTRA)
 
 
-def rare_first(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    return h[np.lexsort((h, levels[slot(h, len(levels))]))]
+def rare_first(words: np.ndarray, levels: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of a text's words, and their names from rare to frequent:
+    those whose counter stands out come last; others go by the frequencies of their
+    words, whose product tells how often chance makes a shingle, however large the
+    corpus.  A name is both (19 bits), then 45 bits of the hash: names sort as they
+    should in every text."""
+    h = _windows(words, width)
+    if not len(h):
+        return h, h
+    shingle_levels, word_levels = levels[:-1 << WORD_BITS], levels[-1 << WORD_BITS:]
+    total = np.concatenate([[0], np.cumsum(word_levels[slot(words, len(word_levels))], dtype=np.uint64)])
+    chance = np.minimum(total[len(total) - len(h):] - total[:len(h)], 2047).astype(np.uint64)
+    high = shingle_levels[slot(h, len(shingle_levels))].astype(np.uint64) << np.uint64(11) | chance
+    return _distinct(h), _distinct(high << np.uint64(45) | h >> np.uint64(19))
 
 
 def _prefixes(docs: DataFrame, levels, width: int, pct: int) -> DataFrame:
@@ -204,13 +250,13 @@ def _prefixes(docs: DataFrame, levels, width: int, pct: int) -> DataFrame:
         for ids, texts in text_slices(batches, ("doc_id",)):
             rows = []
             for doc_id, text in zip(ids, texts, strict=True):
-                h = shingles(text, width)
+                h, ordered = rare_first(word_hashes(text), table, width)
                 s = xxhash.xxh3_128_intdigest(h.tobytes())
                 s1, s2 = (s & (1 << 63) - 1), s >> 65
                 tokens: list = []
                 if len(h) and (s1, s2) not in met and doc_id is not None:
                     met.add((s1, s2))
-                    tokens = rare_first(h, table)[:prefix_length(len(h), pct) + len(h) // EXTRA].view(np.int64)
+                    tokens = ordered[:prefix_length(len(h), pct) + len(h) // EXTRA].view(np.int64)
                 rows.append((doc_id, len(h), s1, s2, tokens))
             yield record_batch(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
 
@@ -218,6 +264,63 @@ def _prefixes(docs: DataFrame, levels, width: int, pct: int) -> DataFrame:
         _released(run), "doc_id long, n long, s1 long, s2 long, tokens array<long>")
 
 
+def must_share(n: Column, m: Column, pct: int) -> Column:
+    """Shingles that the longer prefixes of two linked sets of ``n`` and ``m`` share
+    at least: of their overlap, no more than what one of the sets has behind its
+    prefix is missing."""
+    behind = lambda n: F.ceil(n * pct / 100) - 1 - F.floor(n / EXTRA)
+    return F.greatest(F.lit(1), F.ceil((n + m) * pct / (100 + pct)) - F.greatest(behind(n), behind(m)))
+
+
+def _close(rows: DataFrame, pct: int) -> DataFrame:
+    """(a, b) edges between documents of rows (token, leader, doc_id, n) that hold
+    together all that can be linked: pairs that share enough shingles held by at
+    most ``PAIRED`` documents, and the documents of every other shingle."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64()), ("m", pa.int64())])
+    columns = ("token", "leader", "doc_id", "n")
+
+    def edges(token: np.ndarray, leader: np.ndarray, doc: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        start = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (leader[1:] != leader[:-1])]))
+        size = np.diff(np.append(start, len(token)))
+        end, held = np.repeat(start + size, size), np.repeat(size, size)
+        star = np.flatnonzero(held > PAIRED)
+        x, at, found = np.flatnonzero(held <= PAIRED), 0, []
+        while len(x):     # each with the next, the next but one ...; the next ones are no smaller
+            at += 1
+            x = x[x + at < end[x]]
+            x = x[100 * n[x] >= pct * n[x + at]]
+            found.append((x, x + at))
+        x, y = (np.concatenate([f[i] for f in found] or [star[:0]]) for i in (0, 1))
+        x, y = np.where(doc[x] < doc[y], x, y), np.where(doc[x] < doc[y], y, x)
+        x, y = x[doc[x] != doc[y]], y[doc[x] != doc[y]]
+        none = np.zeros(len(star), np.int64)
+        return record_batch({"a": np.concatenate([doc[x], leader[star]]), "b": np.concatenate([doc[y], doc[star]]),
+                             "n": np.concatenate([n[x], none]), "m": np.concatenate([n[y], none])}, schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, np.int64)] * 4
+        for batch in batches:
+            now = [np.concatenate([r, np.asarray(batch.column(c))]) for r, c in zip(rest, columns, strict=True)]
+            if not len(now[0]):
+                continue
+            last = np.flatnonzero((now[0] != now[0][-1]) | (now[1] != now[1][-1]))
+            last = last[-1] + 1 if len(last) else 0      # from here on the group may go on
+            if len(now[0]) - last > PAIRED:              # it is a large one: some of its rows keep saying so
+                yield edges(*now)
+                rest = [c[-PAIRED - 1:] for c in now]
+            else:
+                if last:
+                    yield edges(*(c[:last] for c in now))
+                rest = [c[last:] for c in now]
+        if len(rest[0]):
+            yield edges(*rest)
+
+    found = (rows.select(*columns).repartition("token", "leader").sortWithinPartitions("token", "leader", "n")
+             .mapInArrow(run, "a long, b long, n long, m long"))
+    return (found.groupBy("a", "b", "n", "m").agg(F.count("*").alias("met"))
+            .filter((F.col("m") == 0) | (F.col("met") >= must_share(F.col("n"), F.col("m"), pct))).select("a", "b"))
+
+
 def _cell_links(ids: np.ndarray, tiles: np.ndarray, sets: list[np.ndarray], across: bool, pct: int,
                 every: bool) -> list[tuple[int, int]]:
     """Links in one cell, by a prefix join in memory.  ``across``: only pairs of
@@ -392,7 +495,17 @@ def join(docs: DataFrame, threshold_pct: int = 80, width: int = 5, every: bool =
     family = components(chains.join(ids, ["doc_id", "n"], "left_semi").select("leader", "doc_id").distinct()).toDF(
         "doc_id", "family")
     members = written(ids.join(family, "doc_id"), "members")
-    totals = members.groupBy("family").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).filter("docs > 1")
+    sizes = lambda members: members.groupBy("family").agg(
+        F.sum("n").alias("total"), F.count("*").alias("docs")).filter("docs > 1")
+    large = written(members.join(sizes(members).filter(F.col("total") > TILE).select("family"), "family", "left_semi")
+                    .select("doc_id", "n"), "large")
+    if not large.isEmpty():
+        # families of more than a tile fall apart into documents that share as much as linked ones must
+        family = components(written(_close(shared.join(large, ["doc_id", "n"]), threshold_pct), "close")).toDF(
+            "doc_id", "family")
+        members = written(members.join(large, ["doc_id", "n"], "left_anti").select("doc_id", "n", "family")
+                          .unionByName(large.join(family, "doc_id")), "members")
+    totals = sizes(members)
     linked = None
     if not every:
         # families of many tiles: the links to one tile first, as what these hold together is not compared again
