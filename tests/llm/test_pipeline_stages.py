@@ -1,9 +1,12 @@
 """Each stage of the corpus pipeline on odd rows: nulls, repeated ids, clashing
 columns, empty tables."""
 
+import random
+
 import pytest
 
 import corpus_pipeline as P
+from tripweave.llm import ngram_join
 from tripweave.llm.common import written
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, score double, n long, component_id long"
@@ -63,6 +66,22 @@ def test_near_duplicate_stage_keeps_the_smallest_id(spark, docs, sf_dir):
     assert [i for i, _ in texts(P.join_near_duplicates(spark, docs(rows), sf_dir))] == [-3, 2, 7]
 
 
+def test_near_duplicate_stage_ships_few_texts_of_a_passage_chain(spark, docs, sf_dir, monkeypatch):
+    """Texts that share a passage with the next, too little for a link, with more
+    shingles than the counters tell apart; and a near copy."""
+    for name, value in (("TABLE_BITS", (12, 12)), ("TILE", 2_000), ("MAX_TILES", 4)):
+        monkeypatch.setattr(ngram_join, name, value)
+    shipped, verify = [], ngram_join._verify
+    monkeypatch.setattr(ngram_join, "_verify", lambda dealt, *rest: (shipped.append(dealt.count()), verify(dealt, *rest))[1])
+    r = random.Random(12)
+    some = lambda k: [f"w{r.randrange(5000)}" for _ in range(k)]
+    passages = [some(50) for _ in range(201)]
+    rows = [(i, " ".join(some(100) + passages[i] + some(100) + passages[i + 1] + some(100))) for i in range(200)]
+    got = texts(P.join_near_duplicates(spark, docs(rows + [(300, rows[50][1] + " end")]), sf_dir))
+    assert got == sorted(rows, key=repr)
+    assert sum(shipped) < len(rows)
+
+
 def test_pieces_of_all_rows_are_packed(spark, docs, sf_dir):
     got = P.pack_sequences(spark, docs(ROWS), sf_dir).collect()
     assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got) >= len(ROWS)
